@@ -166,9 +166,9 @@ g AS (SELECT event_id,
   {sql_clip('-55.0::DOUBLE * u2 / 10 + 18.0::DOUBLE * a + 10.0::DOUBLE * b')} AS risk,
   {sql_clip('-15.0::DOUBLE * a - 4.5::DOUBLE * b - 6.0::DOUBLE * c - 5.0::DOUBLE * a - 1.5::DOUBLE * b - 1.2::DOUBLE * c')} AS defensive
   FROM f)
-SELECT event_id, {r('trend', 4)} AS trend_score, {r('breadth', 4)} AS breadth_score, {r('risk', 4)} AS risk_score,
-  {r('defensive', 4)} AS defensive_flow_score,
-  {r(sql_clip('0.35::DOUBLE * trend + 0.30::DOUBLE * breadth + 0.20::DOUBLE * risk + 0.15::DOUBLE * defensive'), 4)} AS total_score FROM g""")
+SELECT event_id, {r('trend', 8)} AS trend_score, {r('breadth', 8)} AS breadth_score, {r('risk', 8)} AS risk_score,
+  {r('defensive', 8)} AS defensive_flow_score,
+  {r(sql_clip('0.35::DOUBLE * trend + 0.30::DOUBLE * breadth + 0.20::DOUBLE * risk + 0.15::DOUBLE * defensive'), 8)} AS total_score FROM g""")
 def p18(t):
     z = F.lit(0.0)
     a, b, c = (F.coalesce(F.col(x), z) / 50 for x in ("s1", "s2", "s3"))
@@ -177,12 +177,12 @@ def p18(t):
          "adv_dec_ratio": F.col("u1") + F.col("u2"), "highs": F.col("u1"), "lows": F.col("u2"), "universe": F.lit(100),
          "vol_20d": F.col("u2") / 10, "dd_5d": a, "dd_20d": b, "fx_ret_20d": a, "inverse_ret_20d": b, "bond_ret_20d": c,
          "gold_ret_20d": a, "short_rate_chg": b, "bond_rate_chg": c}
-    return t.scores.select("event_id", *[F.round(v, 4).alias(k) for k, v in N.state_components(f).items()])
+    return t.scores.select("event_id", *[F.round(v, 8).alias(k) for k, v in N.state_components(f).items()])
 
 
 @query("p19_overnight_biases", f"""
-SELECT event_id, {r('fut', 4)} AS futures_bias, {r('world', 4)} AS global_risk_bias, {r('fx', 4)} AS fx_bias,
-       {r(sql_clip('0.45::DOUBLE * fut + 0.35::DOUBLE * world + 0.20::DOUBLE * fx'), 4)} AS next_day_score
+SELECT event_id, {r('fut', 8)} AS futures_bias, {r('world', 8)} AS global_risk_bias, {r('fx', 8)} AS fx_bias,
+       {r(sql_clip('0.45::DOUBLE * fut + 0.35::DOUBLE * world + 0.20::DOUBLE * fx'), 8)} AS next_day_score
 FROM (SELECT event_id,
   {sql_clip("coalesce((coalesce(10 * a * 0.4::DOUBLE, 0) + coalesce(10 * b * 0.2::DOUBLE, 0) + coalesce(10 * c * 0.2::DOUBLE, 0) + 10 * d * 0.2::DOUBLE) / ((a IS NOT NULL)::INT * 0.4::DOUBLE + (b IS NOT NULL)::INT * 0.2::DOUBLE + (c IS NOT NULL)::INT * 0.2::DOUBLE + 0.2::DOUBLE), 0::DOUBLE)")} AS fut,
   {sql_clip("(coalesce(8 * c * 0.45::DOUBLE, 0) + 8 * d * 0.45::DOUBLE + -3 * coalesce(a, 0) * 0.10::DOUBLE) / ((c IS NOT NULL)::INT * 0.45::DOUBLE + 0.45::DOUBLE + 0.10::DOUBLE) - (greatest(5 * coalesce(a, 0), 0::DOUBLE) + greatest(4 * coalesce(b, 0), 0::DOUBLE) + least(0.25::DOUBLE * (event_id % 7), 1::DOUBLE))")} AS world,
@@ -191,7 +191,7 @@ FROM (SELECT event_id,
 def p19(t):
     a, b, c, d = (F.col(x) / 30 for x in ("s1", "s2", "s3", "u1"))
     f = {"night": a, "proxy": b, "sp500": c, "nasdaq": d, "oil": a, "us10y": b, "risk_headlines": F.col("event_id") % 7, "fx": b}
-    return t.scores.select("event_id", *[F.round(v, 4).alias(k) for k, v in N.overnight_biases(f).items()])
+    return t.scores.select("event_id", *[F.round(v, 8).alias(k) for k, v in N.overnight_biases(f).items()])
 
 
 @query("p20_any_feature_present", """

@@ -123,11 +123,11 @@ CTES["classification"] = """
 SELECT lpad(c_custkey::VARCHAR, 6, '0') AS ticker, r_name AS market, n_name AS theme_bucket, c_mktsegment AS asset_type
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 CTES["snapshots"] = f"""
-SELECT event_id, ts AS asof, ts::DATE AS session_date, {sql_map(EVENT_CODE, 'event_type')} AS signal_code,
+SELECT event_id, ts AS asof_ts, ts::DATE AS session_date, {sql_map(EVENT_CODE, 'event_type')} AS signal_code,
        ({_CENTS.format('value')} - 5000)::DOUBLE / 500000.0::DOUBLE AS change_pct, value AS metric_value,
        props AS detail_json, user_id FROM events"""
 CTES["bars"] = f"""
-SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS asof, {sql_map(EVENT_CODE, 'event_type')} AS signal_code,
+SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS asof_ts, {sql_map(EVENT_CODE, 'event_type')} AS signal_code,
        sum({_CENTS.format('value')} - 5000)::DOUBLE / count(*) / 500000.0::DOUBLE AS change_pct, count(*) AS n
 FROM events GROUP BY 1, 2"""
 CTES["spine"] = "SELECT DISTINCT o_orderdate::DATE AS asof_date FROM orders"

@@ -125,7 +125,7 @@ class Sample:
     def snapshots(self) -> DataFrame:
         """One row per event."""
         return self.table("events").select(
-            "event_id", F.col("ts").alias("asof"), F.col("ts").cast("date").alias("session_date"),
+            "event_id", F.col("ts").alias("asof_ts"), F.col("ts").cast("date").alias("session_date"),
             mapped(EVENT_CODE, "event_type").alias("signal_code"), ((cents("value") - 5000) / 500000.0).alias("change_pct"),
             F.col("value").alias("metric_value"), F.col("props").alias("detail_json"), "user_id")
 
@@ -133,7 +133,7 @@ class Sample:
     def bars(self) -> DataFrame:
         """Fifteen-minute means per code; bounded by the calendar."""
         slot = F.window(F.col("ts"), "15 minutes")["start"]
-        return self.table("events").groupBy(slot.alias("asof"), mapped(EVENT_CODE, "event_type").alias("signal_code")).agg(
+        return self.table("events").groupBy(slot.alias("asof_ts"), mapped(EVENT_CODE, "event_type").alias("signal_code")).agg(
             (F.sum(cents("value") - 5000).cast("double") / F.count(F.lit(1)) / 500000.0).alias("change_pct"),
             F.count(F.lit(1)).alias("n"))
 
