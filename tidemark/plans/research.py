@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import labels as L
 from tidemark.functions.numeric import row_mean, row_std
+from tidemark.operators import metrics as M
 from tidemark.operators import windows as W
 from tidemark.operators.windows import Axis
 
@@ -28,3 +30,29 @@ def axis_features(df: DataFrame, ax: Axis, axes: Sequence[str]) -> DataFrame:
     cols["axis_max"] = F.greatest(*axes)
     cols["axis_min"] = F.least(*axes)
     return df.withColumns(cols)
+
+
+def predictive_power(df: DataFrame, keys: Sequence[str], features: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    """A16. Pearson and Spearman of each feature against each target, all pairs in one long frame."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(t).alias("target"), F.col(f).cast("double").alias("x"), F.col(t).cast("double").alias("y"))
+                      for f in features for t in targets])
+    long = df.select(*keys, F.explode(pairs).alias("__p")).select(*keys, "__p.*")
+    long = long.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    group = [*keys, "feature", "target"]
+    linear = long.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), M.safe_corr("x", "y").alias("pearson"))
+    return linear.join(M.spearman(long, group, "x", "y"), group, "left")
+
+
+def combo_summary(df: DataFrame, axes: Sequence[str], result: str, keys: Sequence[str], min_rows: int = 10) -> DataFrame:
+    """A17. Outcome per combination of axis buckets."""
+    combo = F.concat_ws("|", *[L.axis_bucket(a) for a in axes])
+    out = df.withColumn("combo", combo).where(F.col(result).isNotNull()).groupBy(*keys, "combo").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(result).alias("mean_return"), M.share(F.col(result) > 0).alias("win_rate"))
+    return out.where(F.col("n") >= min_rows)
+
+
+def importance_stability(df: DataFrame, keys: Sequence[str], coefficient: str) -> DataFrame:
+    """A23. Mean and sign stability of coefficients over the years."""
+    c = F.col(coefficient)
+    return df.groupBy(*keys).agg(F.avg(c).alias("mean_coefficient"), F.avg(F.abs(c)).alias("mean_abs"), F.count_if(c > 0).alias("positive_years"),
+                                 F.count_if(c < 0).alias("negative_years"), F.count(F.lit(1)).alias("years"))
