@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.expressions import rd
-from tidemark.catalog.registry import query, r, sql_roll
+from tidemark.catalog.registry import query, r, sql_clip, sql_roll
 from tidemark.functions import labels as L
 from tidemark.functions import numeric as N
 from tidemark.functions import text as X
@@ -69,13 +69,13 @@ def a3(t):
 
 
 @query("a4_conditional_row", f"""
-SELECT asof_ts, {r("avg(change_pct) FILTER (signal_code IN ('1001', '2001', '1028'))")} AS index_change, {r("max(change_pct) FILTER (signal_code = 'FUT')")} AS futures_change,
-  {r("max(change_pct) FILTER (signal_code = 'USDKRW')")} AS fx_change FROM bars GROUP BY 1""")
+SELECT asof_ts, {r("avg(change_pct) FILTER (signal_code IN ('1001', '2001', '1028'))", 10)} AS index_change, {r("max(change_pct) FILTER (signal_code = 'FUT')", 10)} AS futures_change,
+  {r("max(change_pct) FILTER (signal_code = 'USDKRW')", 10)} AS fx_change FROM bars GROUP BY 1""")
 def a4(t):
     pick = lambda code: F.max(F.when(F.col("signal_code") == code, F.col("change_pct")))
     return t.bars.groupBy("asof_ts").agg(
-        rd(F.avg(F.when(F.col("signal_code").isin("1001", "2001", "1028"), F.col("change_pct")))).alias("index_change"),
-        rd(pick("FUT")).alias("futures_change"), rd(pick("USDKRW")).alias("fx_change"))
+        rd(F.avg(F.when(F.col("signal_code").isin("1001", "2001", "1028"), F.col("change_pct"))), 10).alias("index_change"),
+        rd(pick("FUT"), 10).alias("futures_change"), rd(pick("USDKRW"), 10).alias("fx_change"))
 
 
 BREADTH = f"""(SELECT ticker, date, {sql_roll('avg', 'close', 20, 20, P)} AS ma20, {sql_roll('avg', 'close', 60, 60, P)} AS ma60, close, close - lag(close) OVER ({P}) AS chg,
@@ -350,8 +350,8 @@ def a25(t):
 
 
 @query("a26_surprise_aggregates", f"""
-SELECT ts::DATE AS day, count(*) AS n, sum((s2 IS NOT NULL)::INT)::BIGINT AS has_consensus, max(abs(s1)) AS max_abs_z, {r('avg(greatest(-1, least(1, s1 / 3)))')} AS score,
-  {r("avg(greatest(-1, least(1, s1 / 3))) FILTER (event_type = 'click')")} AS click_score FROM scores GROUP BY 1""")
+SELECT ts::DATE AS day, count(*) AS n, sum((s2 IS NOT NULL)::INT)::BIGINT AS has_consensus, max(abs(s1)) AS max_abs_z, {r('avg(' + sql_clip('s1 / 3', -1, 1) + ')')} AS score,
+  {r("avg(" + sql_clip('s1 / 3', -1, 1) + ") FILTER (event_type = 'click')")} AS click_score FROM scores GROUP BY 1""")
 def a26(t):
     signed = N.clip(F.col("s1") / 3, -1, 1)
     return t.scores.groupBy(F.col("ts").cast("date").alias("day")).agg(

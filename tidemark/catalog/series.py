@@ -211,7 +211,7 @@ def labelled(t):
     return t.scope_prices.select("market_scope", "date", "close", L.ladder(z, [(">=", 0.5, "up"), (">", -0.5, "flat")], "down").alias("label"))
 
 
-CHANGED = f"(SELECT *, lag(label) OVER ({PS}) AS previous, (lag(label) OVER ({PS}) IS NOT NULL AND lag(label) OVER ({PS}) IS DISTINCT FROM label)::INT AS changed FROM {LABELLED})"
+CHANGED = f"(SELECT *, lag(label) OVER ({PS}) AS previous, coalesce(lag(label) OVER ({PS}) <> label, false)::INT AS changed FROM {LABELLED})"
 
 
 def changed(t):
@@ -310,10 +310,10 @@ def w36(t):
 
 
 @query("w37_carry_latest_rates", """
-SELECT series_id, DATE '2002-01-15' AS asof_date, value, 'carry_forward:obs' AS source FROM daily_obs
-QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY asof_date DESC) = 1""")
+SELECT series_id, DATE '2002-01-15' AS asof_date, value, 'carry_forward:obs' AS source FROM daily_obs WHERE asof_date = (SELECT max(asof_date) FROM daily_obs)""")
 def w37(t):
-    return A.carry_latest_to(t.daily_obs.withColumn("source", F.lit("obs")), ["series_id"], "asof_date", F.lit("2002-01-15").cast("date"))
+    rates = t.daily_obs.withColumns({"source": F.lit("obs"), "market": F.lit("KR")})
+    return A.carry_latest_to(rates, ["market"], "asof_date", F.lit("2002-01-15").cast("date")).drop("market")
 
 
 EVENTS = f"(SELECT ticker, date, row_number() OVER ({P}) AS rn, (coalesce(abs({ret_sql(1)}), 0) >= 0.5)::INT AS evt FROM market_prices)"

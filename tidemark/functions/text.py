@@ -28,6 +28,16 @@ def parse_number(c: Column | str) -> Column:
     return F.when(negative, -F.abs(body)).otherwise(body)
 
 
+def clean_text_number(c: Column | str) -> Column:
+    """Vendor number: thousands separators dropped; empty text and ``.`` are null."""
+    return F.regexp_replace(F.trim(as_col(c)), ",", "").try_cast("double")
+
+
+def compact_number(c: Column | str) -> Column:
+    """Number from exchange text: everything but digits, dot and minus is dropped."""
+    return F.regexp_replace(as_col(c).cast("string"), "[^0-9.\\-]", "").try_cast("double")
+
+
 def sorted_distinct_text(c: Column | str, sep: str = ";", width: int = 200) -> Column:
     """Aggregate: sorted distinct values joined, cut to ``width`` characters (A2)."""
     return F.substring(F.array_join(F.array_sort(F.collect_set(as_col(c))), sep), 1, width)

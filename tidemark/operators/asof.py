@@ -148,10 +148,10 @@ def carry_forward_days(df: DataFrame, keys: list[str], date: str, values: list[s
 
 
 def carry_latest_to(df: DataFrame, keys: list[str], date: str, target: Column, source: str = "source") -> DataFrame:
-    """W37. Latest row per key re-dated to ``target`` where it is older, source prefixed."""
-    rest = [c for c in df.columns if c not in keys]
-    latest = df.where(F.col(date) <= target).groupBy(*keys).agg(F.max_by(F.struct(*rest), date).alias("__r"))
-    latest = latest.select(*keys, "__r.*").where(F.col(date) < target)
+    """W37. Rows of the newest date per key (a market), re-dated to ``target``, source prefixed."""
+    past = df.where(F.col(date) < target)
+    newest = past.groupBy(*keys).agg(F.max(date).alias(date))
+    latest = past.join(newest, [*keys, date], "left_semi")
     return latest.withColumn(source, F.concat(F.lit("carry_forward:"), F.col(source))).withColumn(date, target)
 
 

@@ -78,7 +78,7 @@ def year_over_year(ax: Axis, c: Column | str) -> Column:
 def change_columns(ax: Axis, c: str) -> dict[str, Column]:
     """W26. Previous label, whether it changed."""
     prev = F.lag(c).over(ax.by)
-    return {"previous": prev, "changed": (prev.isNotNull() & ~prev.eqNullSafe(F.col(c))).cast("int")}
+    return {"previous": prev, "changed": F.coalesce((prev != F.col(c)).cast("int"), F.lit(0))}
 
 
 # -- rolling statistics -------------------------------------------------------

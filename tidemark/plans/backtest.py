@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import labels as L
+from tidemark.operators.relational import explode_grid
 
 PROBS = {"down": "prob_down", "sideways": "prob_sideways", "up": "prob_up"}
 
@@ -22,3 +23,26 @@ def decide(predictions: DataFrame, thresholds: DataFrame, keys: Sequence[str]) -
     tuned = L.threshold_label("prob_down", "prob_up", "down_threshold", "up_threshold")
     direction = F.when(F.col("down_threshold").isNull(), L.argmax_label(PROBS)).otherwise(tuned)
     return with_confidence(rows.withColumn("predicted_direction", direction))
+
+
+def threshold_grid(values: Sequence[float]) -> list[dict]:
+    """J24. Every down / up threshold pair in a fixed order."""
+    return [{"down_threshold": float(d), "up_threshold": float(u), "grid_index": i * len(values) + j}
+            for i, d in enumerate(values) for j, u in enumerate(values)]
+
+
+def threshold_counts(predictions: DataFrame, keys: Sequence[str], grid: Sequence[dict], classes: Sequence[str] = tuple(PROBS)) -> DataFrame:
+    """M10, T5. Class counts of every grid point per key.
+
+    Equal probability rows are grouped first (counted per actual label), then each
+    distinct row meets the grid; the counts combine map-side.
+    """
+    base = predictions.groupBy(*keys, "actual_label", "prob_down", "prob_up").agg(F.count(F.lit(1)).alias("__n"))
+    rows = explode_grid(base, grid)
+    rows = rows.withColumn("__d", L.threshold_label("prob_down", "prob_up", "down_threshold", "up_threshold"))
+    a, p, n = F.col("actual_label"), F.col("__d"), F.col("__n")
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
+    aggs = [F.sum("__n").alias("n")]
+    for c in classes:
+        aggs += [total((a == c) & (p == c)).alias(f"tp_{c}"), total(a == c).alias(f"act_{c}"), total(p == c).alias(f"pred_{c}")]
+    return rows.groupBy(*keys, "grid_index", "down_threshold", "up_threshold").agg(*aggs)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.operators import windows as W
+from tidemark.operators.relational import pick_first
 from tidemark.operators.windows import Axis
 
 
@@ -21,3 +23,19 @@ def universe_breadth(prices: DataFrame, ticker: str, date: str, close: str, min_
         F.count(F.lit(1)).alias("universe"), F.avg((F.col(close) > F.col("ma20")).cast("int")).alias("above_ma20"),
         F.avg((F.col(close) > F.col("ma60")).cast("int")).alias("above_ma60"), ((up + 1) / (down + 1)).alias("adv_dec_ratio"),
         F.count_if(F.col(close) >= F.col("hi")).alias("new_highs"), F.count_if(F.col(close) <= F.col("lo")).alias("new_lows"))
+
+
+def representative(df: DataFrame, keys: list[str], ticker: str, preferred: list[str], liquidity: str) -> DataFrame:
+    """T8. Preferred ticker first, then the most liquid."""
+    place = F.array_position(F.array(*[F.lit(p) for p in preferred]), F.col(ticker))
+    order = F.when(place > 0, place).otherwise(999)
+    return pick_first(df.withColumn("__pref", order), keys, [F.asc("__pref"), F.desc(liquidity), F.asc(ticker)]).drop("__pref")
+
+
+def strength_panel(df: DataFrame, date: str, member: str, score: str, top: int = 3, bottom: int = 2) -> DataFrame:
+    """T13. Leaders and laggards of every date (fixed membership per date)."""
+    w = Window.partitionBy(date)
+    rows = df.withColumn("place", F.row_number().over(w.orderBy(F.desc(score), F.asc(member))))
+    rows = rows.withColumn("__low", F.row_number().over(w.orderBy(F.asc(score), F.asc(member))))
+    keep = rows.where((F.col("place") <= top) | (F.col("__low") <= bottom))
+    return keep.withColumn("side", F.when(F.col("place") <= top, "top").otherwise("bottom")).drop("__low")
