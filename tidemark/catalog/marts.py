@@ -1 +1,346 @@
-"""Registered queries."""
+"""Composite marts K1-K19, K29 over the sample tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.catalog.expressions import FIVE, rd
+from tidemark.catalog.registry import CTES, query, r, sql_clip, sql_mean, sql_roll
+from tidemark.plans import context as C
+from tidemark.plans import macro as M
+from tidemark.plans.specs import (
+    ASSET_CODES, CYCLICAL_SECTORS, DAILY_SERIES, DAILY_SHOCKS, DEFENSIVE_SECTORS, FORECAST_TERMS, FORECAST_WEIGHTS, MARKET_SCOPES, MONTHLY_EVENTS, SURPRISE_GROUPS,
+    SURPRISE_SPECS)
+
+START, END = "1995-06-01", "2001-06-30"
+
+
+def day(d: str):
+    return F.lit(d).cast("date")
+
+
+def d_(x: float) -> str:
+    return f"({x})::DOUBLE"
+
+
+# -- K1, K2 -----------------------------------------------------------------------------
+
+def proxy_sql(source: str, key: str) -> str:
+    p = f"PARTITION BY {key} ORDER BY date"
+    ret = lambda n: f"close / nullif(lag(close, {n}) OVER ({p}), 0) - 1"
+    flag = lambda cond: f"coalesce(({cond})::INT, 0)::DOUBLE"
+    return f"""SELECT *, {sql_roll('stddev_samp', 'dr', 20, 10, p)} * sqrt(252) AS vol_20d, {sql_roll('min', 'dd', 60, 20, p)} AS mdd_3m, {flag('ret_1m > 0')} AS ret_pos_1m FROM (
+      SELECT *, {ret(1)} AS dr, {ret(20)} AS ret_1m, {ret(60)} AS ret_3m, {flag('close > ' + sql_roll('avg', 'close', 20, 10, p))} AS above_sma20,
+        {flag('close > ' + sql_roll('avg', 'close', 60, 20, p))} AS above_sma60, {flag('close > ' + sql_roll('avg', 'close', 120, 40, p))} AS above_sma120,
+        {flag('close >= ' + sql_roll('max', 'close', 20, 10, p))} AS new_high_ratio_20d, {flag('close <= ' + sql_roll('min', 'close', 20, 10, p))} AS new_low_ratio_20d,
+        value / nullif({sql_roll('avg', 'value', 20, 10, p)}, 0) AS trading_value_expansion_ratio, close / {sql_roll('max', 'close', 60, 20, p)} - 1 AS dd FROM {source})"""
+
+
+CTES["k1_members"] = proxy_sql("(SELECT ticker AS market_scope, date, close, value FROM market_prices WHERE ticker IN ('KOSPI', 'KOSDAQ'))", "market_scope")
+CTES["k1_pair"] = "SELECT a.date, a.close AS ca, b.close AS cb, a.value + b.value AS value, " + ", ".join(
+    f"(a.{f} + b.{f}) / 2 AS m_{f}" for f in C.FLAGS) + " FROM k1_members a JOIN k1_members b ON a.date = b.date AND a.market_scope = 'KOSPI' AND b.market_scope = 'KOSDAQ'"
+CTES["k1_level"] = """SELECT 'ALL' AS market_scope, date, product(1 + r) OVER (ORDER BY date) * 100 AS close, value, m_ret_pos_1m, m_above_sma20, m_above_sma60, m_above_sma120, m_new_high_ratio_20d, m_new_low_ratio_20d
+FROM (SELECT *, coalesce(ca / nullif(lag(ca) OVER (ORDER BY date), 0) - 1, 0) * 0.6::DOUBLE + coalesce(cb / nullif(lag(cb) OVER (ORDER BY date), 0) - 1, 0) * 0.4::DOUBLE AS r FROM k1_pair)"""
+CTES["k1_all"] = proxy_sql("k1_level", "market_scope")
+K1_COLS = ["ret_1m", "ret_3m", "vol_20d", "mdd_3m", "trading_value_expansion_ratio"]
+CTES["k1_every"] = f"""SELECT market_scope, date, {', '.join(K1_COLS + C.FLAGS)} FROM k1_members UNION ALL
+SELECT market_scope, date, {', '.join(K1_COLS)}, {', '.join(f'm_{f}' for f in C.FLAGS)} FROM k1_all"""
+
+
+def stress_sql(v: str, d: str) -> str:
+    return f"CASE WHEN {v} IS NOT NULL AND {d} IS NOT NULL THEN " + r(sql_clip(
+        f"(greatest(0::DOUBLE, ({v} - 0.12::DOUBLE) / 0.18::DOUBLE) + abs(least({d}, 0::DOUBLE)) / 0.15::DOUBLE) * 1.5::DOUBLE", 0, 3), 4) + " END"
+
+
+CTES["k2_risk"] = f"""
+SELECT *, {stress_sql('vol_20d', 'mdd_3m')} AS market_stress_score, {r(sql_clip(sql_mean('gold_proxy_ret_1m', 'bond_proxy_ret_1m', 'inverse_etf_ret_1m') + ' * 30'), 4)} AS defensive_asset_strength_score,
+  CASE WHEN mdd_3m IS NOT NULL THEN {r(sql_clip('abs(least(mdd_3m, 0::DOUBLE)) / 0.15::DOUBLE * 3', 0, 3), 4)} END AS drawdown_pressure_score,
+  CASE WHEN vol_20d IS NULL THEN NULL WHEN vol_20d < 0.12 THEN 'low' WHEN vol_20d < 0.22 THEN 'normal' WHEN vol_20d < 0.35 THEN 'high' ELSE 'stress' END AS volatility_regime_label
+FROM (SELECT a.date AS asof_date, a.vol_20d, a.mdd_3m, w.* EXCLUDE (date) FROM k1_all a LEFT JOIN (
+  SELECT date, max(ret) FILTER (ticker = 'USDKRW') AS usdkrw_ret_1m, max(ret) FILTER (ticker = 'GOLD') AS gold_proxy_ret_1m, max(ret) FILTER (ticker = 'BOND') AS bond_proxy_ret_1m,
+    max(ret) FILTER (ticker = 'INVERSE') AS inverse_etf_ret_1m FROM (SELECT ticker, date, close / nullif(lag(close, 20) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS ret FROM market_prices) GROUP BY 1) w ON w.date = a.date
+  WHERE a.date BETWEEN DATE '{START}' AND DATE '{END}')"""
+CTES["k1_scored"] = f"""
+SELECT *, {r(sql_mean('trend_score', 'breadth_score', '-stress', 'defensive_flow_score'), 4)} AS market_state_score,
+  {r(sql_clip('(trend_score + breadth_score) / 2.0::DOUBLE - stress', 0, 3), 4)} AS risk_on_score, {r(sql_clip('stress - (trend_score + breadth_score) / 4.0::DOUBLE', 0, 3), 4)} AS risk_off_score
+FROM (SELECT e.*, e.date AS asof_date, k.* EXCLUDE (date), d.defensive_asset_strength_score AS defensive_flow_score, {r(sql_clip('e.ret_1m * 18 + e.ret_3m * 8'), 4)} AS trend_score,
+  {r(sql_clip('(' + sql_mean('e.above_sma20', 'e.above_sma60', 'e.above_sma120', 'e.ret_pos_1m') + ' - 0.5) * 6'), 4)} AS breadth_score, {stress_sql('e.vol_20d', 'e.mdd_3m')} AS stress
+  FROM k1_every e LEFT JOIN (SELECT date, max(ret_1m) FILTER (market_scope = 'KOSPI') AS kospi_ret_1m, max(ret_1m) FILTER (market_scope = 'KOSDAQ') AS kosdaq_ret_1m,
+    max(ret_3m) FILTER (market_scope = 'KOSPI') AS kospi_ret_3m, max(ret_3m) FILTER (market_scope = 'KOSDAQ') AS kosdaq_ret_3m FROM k1_members GROUP BY 1) k ON k.date = e.date
+  LEFT JOIN k2_risk d ON d.asof_date = e.date WHERE e.date BETWEEN DATE '{START}' AND DATE '{END}')"""
+STATE = """CASE WHEN {0} IS NULL THEN NULL WHEN {0} >= 1.5 THEN 'strong_up' WHEN {0} >= 0.4 THEN 'up' WHEN {0} <= -1.5 THEN 'strong_down' WHEN {0} <= -0.4 THEN 'down' ELSE 'neutral' END"""
+K1_SCORES = ["market_state_score", "trend_score", "breadth_score", "defensive_flow_score", "risk_on_score", "risk_off_score"]
+K1_RATIOS = ["kospi_ret_1m", "kospi_ret_3m", "kosdaq_ret_1m", "kosdaq_ret_3m"]
+
+
+def k1_frames(t):
+    return C.market_context(t.market_prices, day(START), day(END))
+
+
+@query("k1_market_context", f"""
+SELECT asof_date, market_scope, {STATE.format('market_state_score')} AS market_state_label, {', '.join(r(c, 4) + f' AS {c}' for c in K1_SCORES)}, {r('-stress', 4)} AS risk_score,
+  {', '.join(r(c) + f' AS {c}' for c in K1_RATIOS)}, {r('vol_20d')} AS market_vol_20d, {r('mdd_3m')} AS market_mdd_3m, above_sma20 AS market_breadth_above_sma20, new_high_ratio_20d,
+  {r('trading_value_expansion_ratio')} AS trading_value_expansion_ratio FROM k1_scored""")
+def k1(t):
+    market, _ = k1_frames(t)
+    return market.select("asof_date", "market_scope", "market_state_label", *K1_SCORES, "risk_score", *[rd(c).alias(c) for c in K1_RATIOS],
+                         rd("market_vol_20d").alias("market_vol_20d"), rd("market_mdd_3m").alias("market_mdd_3m"), "market_breadth_above_sma20", "new_high_ratio_20d",
+                         rd("trading_value_expansion_ratio").alias("trading_value_expansion_ratio"))
+
+
+K2_OUT = ["usdkrw_ret_1m", "gold_proxy_ret_1m", "bond_proxy_ret_1m", "inverse_etf_ret_1m"]
+
+
+@query("k2_risk_context", f"""
+SELECT asof_date, {', '.join(r(c) + f' AS {c}' for c in K2_OUT)}, defensive_asset_strength_score, market_stress_score, drawdown_pressure_score, volatility_regime_label,
+  (coalesce(market_stress_score >= 2.2, false) OR coalesce(mdd_3m <= -0.15, false))::INT AS crash_warning_flag FROM k2_risk""")
+def k2(t):
+    _, risk = k1_frames(t)
+    return risk.select("asof_date", *[rd(c).alias(c) for c in K2_OUT], "defensive_asset_strength_score", "market_stress_score", "drawdown_pressure_score",
+                       "volatility_regime_label", "crash_warning_flag")
+
+
+# -- K3 ------------------------------------------------------------------------------------
+
+TB = "PARTITION BY theme_bucket ORDER BY date"
+tret = lambda n: f"close / nullif(lag(close, {n}) OVER ({TB}), 0) - 1"
+CTES["k3_raw"] = f"""SELECT *, coalesce(theme_ret_1m, 0) * 0.65::DOUBLE + coalesce(theme_ret_3m, 0) * 0.35::DOUBLE AS raw FROM (
+  SELECT *, CASE WHEN ok THEN row_number() OVER (PARTITION BY theme_bucket, ok, island ORDER BY date) ELSE 0 END AS theme_persistence_days FROM (
+    SELECT *, sum((NOT ok)::INT) OVER ({TB}) AS island FROM (SELECT *, {tret(5)} AS theme_ret_1w, {tret(20)} AS theme_ret_1m, {tret(60)} AS theme_ret_3m, coalesce({tret(20)} > 0, false) AS ok,
+      coalesce((close > {sql_roll('avg', 'close', 60, 20, TB)})::INT, 0)::DOUBLE AS theme_above_sma60_ratio FROM theme_prices))) WHERE date BETWEEN DATE '{START}' AND DATE '{END}'"""
+CTES["k3_theme"] = f"""SELECT *, m - lag(m, 20) OVER ({TB}) AS rotation, row_number() OVER (PARTITION BY date ORDER BY m DESC, theme_bucket) AS rk FROM (
+  SELECT *, {sql_clip('CASE WHEN count(raw) OVER d > 1 AND max(raw) OVER d > min(raw) OVER d THEN (raw - avg(raw) OVER d) / stddev_pop(raw) OVER d ELSE 0 END')} AS m, value / sum(value) OVER d AS conc
+  FROM k3_raw WINDOW d AS (PARTITION BY date))"""
+
+
+@query("k3_theme_context", f"""
+SELECT theme_bucket, date AS asof_date, {r('theme_ret_1w')} AS theme_ret_1w, {r('theme_ret_1m')} AS theme_ret_1m, {r('theme_ret_3m')} AS theme_ret_3m, {r('m', 5)} AS theme_momentum_score, {r('rotation', 5)} AS theme_rotation_score,
+  theme_persistence_days, {r('conc')} AS theme_concentration_score, rk AS leading_theme_rank, theme_above_sma60_ratio FROM k3_theme""")
+def k3(t):
+    out = C.theme_context(t.theme_prices, day(START), day(END))
+    return out.select("theme_bucket", "asof_date", *[rd(c).alias(c) for c in ("theme_ret_1w", "theme_ret_1m", "theme_ret_3m", "theme_concentration_score")],
+                      rd("theme_momentum_score", 5).alias("theme_momentum_score"), rd("theme_rotation_score", 5).alias("theme_rotation_score"), "theme_persistence_days",
+                      "leading_theme_rank", "theme_above_sma60_ratio")
+
+
+@query("k3_crosswalk_themes", f"""
+SELECT r_name AS quant_theme_bucket, theme_bucket, date AS asof_date, {r('m', 5)} AS theme_momentum_score FROM k3_theme JOIN region ON 'theme_' || (r_regionkey % 3 + 1) = theme_bucket WHERE r_regionkey <> 4""")
+def k3_walk(t):
+    walk = t.table("region").select(F.col("r_name").alias("quant_theme_bucket"), F.concat(F.lit("theme_"), (F.col("r_regionkey") % 3 + 1).cast("string")).alias("theme_bucket"),
+                                    F.col("r_name").alias("theme_name"), (F.col("r_regionkey") != 4).cast("int").alias("is_active"))
+    out = C.crosswalk_themes(C.theme_context(t.theme_prices, day(START), day(END)), walk)
+    return out.select("quant_theme_bucket", "theme_bucket", "asof_date", rd("theme_momentum_score", 5).alias("theme_momentum_score"))
+
+
+# -- K4 ------------------------------------------------------------------------------------
+
+CODES = {"foreign": "1001", "institution": "2001", "retail": "1028"}
+FDAYS = ("2024-01-03", "2024-01-28")
+CTES["k4_close"] = "SELECT session_date AS asof_date, " + ", ".join(
+    f"arg_max(metric_value, asof_ts) FILTER (signal_code = '{c}') - 50 AS {k}" for k, c in CODES.items()) + f" FROM snapshots WHERE session_date BETWEEN DATE '{FDAYS[0]}' AND DATE '{FDAYS[1]}' GROUP BY 1"
+CTES["k4_flow"] = f"""
+SELECT s.asof_date, g.scope AS market_scope, a.f, a.i, a.re, a.sm, a.co, coalesce((a.asof_date IS NOT NULL)::INT, 0) AS flow_context_available, CASE WHEN a.asof_date IS NOT NULL THEN 'intraday_aggregate_recent_only' ELSE 'not_available' END AS source_quality
+FROM (SELECT DISTINCT ts::DATE AS asof_date FROM events) s CROSS JOIN (VALUES ('ALL'), ('KOSPI'), ('KOSDAQ')) g(scope) LEFT JOIN (
+  SELECT asof_date, "foreign" / den AS f, institution / den AS i, retail / den AS re, ("foreign" + institution - coalesce(retail, 0)) / den AS sm, greatest(abs("foreign") / den, abs(institution) / den, abs(retail) / den) AS co FROM (
+    SELECT *, nullif(coalesce(abs("foreign"), 0) + coalesce(abs(institution), 0) + coalesce(abs(retail), 0), 0) AS den FROM k4_close)) a ON a.asof_date = s.asof_date AND g.scope = 'ALL'
+WHERE s.asof_date BETWEEN DATE '{FDAYS[0]}' AND DATE '{FDAYS[1]}'""".replace('"foreign"', "foreign_")
+CTES["k4_close"] = CTES["k4_close"].replace(" AS foreign", " AS foreign_")
+
+
+def k4_frame(t):
+    days = t.table("events").select(F.col("ts").cast("date").alias("asof_date")).distinct()
+    signals = t.snapshots.withColumn("metric_value", F.col("metric_value") - 50)
+    return C.flow_context(signals, days, MARKET_SCOPES, CODES, day(FDAYS[0]), day(FDAYS[1]))
+
+
+@query("k4_flow_context", f"""
+SELECT asof_date, market_scope, {r('f')} AS foreign_net_buy_ratio, {r('i')} AS institution_net_buy_ratio, {r('re')} AS retail_net_buy_ratio, {r('sm')} AS smart_money_score, {r('co')} AS flow_concentration_score,
+  flow_context_available, source_quality FROM k4_flow""")
+def k4(t):
+    return k4_frame(t).select("asof_date", "market_scope", *[rd(c).alias(c) for c in ("foreign_net_buy_ratio", "institution_net_buy_ratio", "retail_net_buy_ratio", "smart_money_score",
+                                                                                      "flow_concentration_score")], "flow_context_available", "source_quality")
+
+
+# -- K5 ------------------------------------------------------------------------------------
+
+SP = "PARTITION BY series_id ORDER BY asof_date"
+CTES["k5_filled"] = f"""SELECT series_id, asof_date, last_value(value IGNORE NULLS) OVER ({SP}) AS v FROM (SELECT DISTINCT asof_date FROM daily_obs) CROSS JOIN (SELECT unnest({DAILY_SERIES}) AS series_id)
+ LEFT JOIN daily_obs USING (series_id, asof_date)"""
+
+
+def z252(x: str) -> str:
+    return sql_clip(f"(({x} - {sql_roll('avg', x, 252, 30, SP)}) / nullif({sql_roll('stddev_pop', x, 252, 30, SP)}, 0))")
+
+
+CTES["k5_z"] = f"SELECT *, {z252('v')} AS z, {z252('c')} AS dz FROM (SELECT *, v - lag(v, 20) OVER ({SP}) AS c FROM k5_filled)"
+CTES["k5_monthly"] = f"""SELECT s.asof_date, m.series_id, m.value, m.yoy, m.c3 FROM (SELECT * FROM (SELECT DISTINCT asof_date FROM daily_obs) CROSS JOIN (SELECT DISTINCT series_id FROM monthly_obs)) s
+ASOF JOIN (SELECT *, asof_date + 21 AS usable, value / nullif(lag(value, 12) OVER ({SP}), 0) - 1 AS yoy, value - lag(value, 3) OVER ({SP}) AS c3 FROM monthly_obs) m ON s.series_id = m.series_id AND s.asof_date >= m.usable"""
+fz = lambda s: f"max(z) FILTER (series_id = '{s}')"
+fdz = lambda s: f"max(dz) FILTER (series_id = '{s}')"
+fv = lambda s: f"max(v) FILTER (series_id = '{s}')"
+CTES["k5_wide"] = f"""SELECT d.*, m.* EXCLUDE (asof_date) FROM (SELECT asof_date, {sql_mean(fz('DGS10'), fz('DGS2'), fz('DFII10'), fdz('DGS10'))} AS rate_p, {sql_mean(fz('DTWEXBGS'), fz('DEXKOUS'), fdz('DTWEXBGS'))} AS usd_p,
+  {sql_mean(fz('BAMLH0A0HYM2'), fz('BAMLC0A0CM'), fdz('BAMLH0A0HYM2'))} AS credit_p, {sql_mean(fz('VIXCLS'), fdz('VIXCLS'), fz('GVZCLS'))} AS risk_p, {fz('T10YIE')} AS z_infl, {sql_mean(fz('DCOILWTICO'), fdz('DCOILWTICO'))} AS comm_p,
+  {fv('DGS10')} - {fv('DGS2')} AS yield_curve_10y_2y, {fv('DGS10')} - {fv('DGS3MO')} AS yield_curve_10y_3m, {fv('VIXCLS')} AS vix_level FROM k5_z GROUP BY 1) d
+LEFT JOIN (SELECT asof_date, max(yoy) FILTER (series_id = 'CPIAUCSL') AS cpi_yoy, max(yoy) FILTER (series_id = 'CPILFESL') AS core_cpi_yoy, max(yoy) FILTER (series_id = 'PPIACO') AS ppi_yoy,
+  max(value) FILTER (series_id = 'UNRATE') AS unrate, max(c3) FILTER (series_id = 'PAYEMS') AS payrolls_3m_change FROM k5_monthly GROUP BY 1) m ON m.asof_date = d.asof_date"""
+CTES["k5_macro"] = f"""SELECT *, {sql_mean('rate_p', 'usd_p', 'credit_p', 'risk_p', 'infl_p', 'comm_p')} AS pressure FROM (
+  SELECT *, {sql_mean('z_infl', 'cpi_yoy', 'core_cpi_yoy', 'ppi_yoy')} AS infl_p FROM k5_wide)"""
+K5_MAP = {"rate_pressure_score": "rate_p", "usd_pressure_score": "usd_p", "credit_stress_score": "credit_p", "risk_aversion_score": "risk_p", "inflation_pressure_score": "infl_p",
+          "commodity_pressure_score": "comm_p", "global_risk_on_score": "-pressure", "external_macro_pressure_score": "pressure"}
+K5_RAW = ["yield_curve_10y_2y", "yield_curve_10y_3m", "vix_level", "cpi_yoy", "core_cpi_yoy", "ppi_yoy", "unrate", "payrolls_3m_change"]
+
+
+@query("k5_macro_context", f"SELECT asof_date, {', '.join(r(sql_clip(v), 5) + f' AS {k}' for k, v in K5_MAP.items())}, {', '.join(r(c, 5) + f' AS {c}' for c in K5_RAW)} FROM k5_macro")
+def k5(t):
+    return M.macro_context(t.daily_obs, t.monthly_obs).select("asof_date", *[rd(c, 5).alias(c) for c in [*K5_MAP, *K5_RAW]])
+
+
+# -- K6 ------------------------------------------------------------------------------------
+
+AP = "PARTITION BY asset_code ORDER BY asof_date"
+CTES["k6_feat"] = f"""SELECT asset_code, asof_date, price / nullif(lag(price, 20) OVER ({AP}), 0) - 1 AS r1, price / nullif(lag(price, 60) OVER ({AP}), 0) - 1 AS r3,
+  coalesce((price > {sql_roll('avg', 'price', 60, 20, AP)})::INT, 0)::DOUBLE AS up FROM (SELECT *, coalesce(adj_close, close) AS price FROM asset_prices)"""
+SECTORS = CYCLICAL_SECTORS + DEFENSIVE_SECTORS
+FAR = sorted({a for _, _, far, _ in M.ASSET_SCORES for a in far})
+CTES["k6_wide"] = "SELECT asof_date, " + ", ".join(
+    [f"max(r1) FILTER (asset_code = '{a}') AS r1_{a}" for a in ASSET_CODES] + [f"max(r3) FILTER (asset_code = '{a}') AS r3_{a}" for a in FAR]
+    + [f"max(up) FILTER (asset_code = '{a}') AS up_{a}" for a in SECTORS]) + " FROM k6_feat GROUP BY 1"
+CTES["k6_parts"] = f"""SELECT *, {sql_mean(*[f'r1_{a}' for a in CYCLICAL_SECTORS])} - {sql_mean(*[f'r1_{a}' for a in DEFENSIVE_SECTORS])} AS cyc_def, {sql_mean(*[f'r1_{a}' for a in DEFENSIVE_SECTORS])} AS dfn,
+  {sql_mean(*[f'(r1_{a} > 0)::INT' for a in SECTORS])} AS pos, {sql_mean(*[f'up_{a}' for a in SECTORS])} AS ups, r1_HYG - r1_LQD AS spread FROM k6_wide"""
+
+
+def scale_sql(cols: list[str], scale: float) -> str:
+    return r(sql_clip(f"{sql_mean(*cols)} * {d_(scale)}"), 4)
+
+
+K6_SQL = {name: scale_sql([f"r1_{a}" for a in one] + [f"r3_{a}" for a in far], s) for name, one, far, s in M.ASSET_SCORES}
+K6_SQL |= {"us_sector_risk_on_score": scale_sql(["cyc_def"], 20), "us_defensive_sector_score": scale_sql(["dfn"], 15), "credit_proxy_score": scale_sql(["spread"], 25),
+           "global_breadth_proxy_score": r(sql_clip("((pos - 0.5::DOUBLE) + (ups - 0.5::DOUBLE)) * 3"), 4), "em_vs_dm_score": r(sql_clip("(r1_EEM - r1_EFA) * 20"), 4),
+           "low_vol_defensive_pressure_score": r(sql_clip("(r1_USMV - r1_SPY) * 20"), 4)}
+CTES["k6_scores"] = "SELECT asof_date, cyc_def, pos, ups, " + ", ".join(f"{v} AS {k}" for k, v in K6_SQL.items()) + " FROM k6_parts"
+CTES["k6_assets"] = f"SELECT *, {r(sql_clip(sql_mean(*M.RISK_ON_PARTS, *[f'-{c}' for c in M.RISK_OFF_PARTS])), 4)} AS external_asset_risk_on_score FROM k6_scores"
+
+
+@query("k6_asset_context", f"SELECT asof_date, {', '.join(K6_SQL)}, external_asset_risk_on_score, {r('cyc_def')} AS sector_cyclical_vs_defensive_1m, {r('pos')} AS sector_positive_ratio_1m FROM k6_assets")
+def k6(t):
+    return M.asset_context(t.asset_prices).select("asof_date", *K6_SQL, "external_asset_risk_on_score", rd("sector_cyclical_vs_defensive_1m").alias("sector_cyclical_vs_defensive_1m"),
+                                                  rd("sector_positive_ratio_1m").alias("sector_positive_ratio_1m"))
+
+
+# -- K7, K8 ----------------------------------------------------------------------------------
+
+NEXT = "(asof_date + CASE isodow(asof_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END::INT)::DATE"
+CTES["k7_macro"] = f"""SELECT * FROM (SELECT * EXCLUDE (asof_date), asof_date AS source_date, {NEXT} AS asof_date FROM k5_macro) WHERE asof_date BETWEEN DATE '{START}' AND DATE '{END}'
+QUALIFY row_number() OVER (PARTITION BY asof_date ORDER BY source_date DESC) = 1"""
+CTES["k7_assets"] = CTES["k7_macro"].replace("k5_macro", "k6_assets")
+
+
+def k7_macro(t):
+    return M.usable_next_day(M.macro_context(t.daily_obs, t.monthly_obs), day(START), day(END))
+
+
+def k7_assets(t):
+    return M.usable_next_day(M.asset_context(t.asset_prices), day(START), day(END))
+
+
+@query("k7_shifted_macro", f"SELECT asof_date, source_date, {r(sql_clip('pressure'), 5)} AS external_macro_pressure_score FROM k7_macro")
+def k7(t):
+    return k7_macro(t).select("asof_date", "source_date", rd("external_macro_pressure_score", 5).alias("external_macro_pressure_score"))
+
+
+@query("k7_shifted_assets", "SELECT asof_date, source_date, external_asset_risk_on_score FROM k7_assets")
+def k7b(t):
+    return k7_assets(t).select("asof_date", "source_date", "external_asset_risk_on_score")
+
+
+CTES["k8_base"] = f"""
+SELECT m.asof_date, m.market_scope, m.market_state_score AS state, m.trend_score AS trend, m.breadth_score AS breadth, m.risk_on_score AS risk_on, m.risk_off_score AS risk_off, {sql_clip('-g.pressure')} AS global_risk_on,
+  a.external_asset_risk_on_score AS external_asset_risk_on, {sql_clip('g.pressure')} AS external_pressure, f.sm AS smart_money, k.market_stress_score AS stress_score, {sql_clip('g.risk_p')} AS aversion, k.drawdown_pressure_score AS ddp
+FROM k1_scored m LEFT JOIN k2_risk k ON k.asof_date = m.asof_date LEFT JOIN k7_macro g ON g.asof_date = m.asof_date LEFT JOIN k7_assets a ON a.asof_date = m.asof_date LEFT JOIN k4_flow f ON f.asof_date = m.asof_date AND f.market_scope = m.market_scope"""
+
+
+def weight_sql(weights: list[float]) -> str:
+    num = " + ".join(f"coalesce({t} * {d_(w)}, 0)" for t, w in zip(FORECAST_TERMS, weights))
+    den = " + ".join(f"(CASE WHEN {t} IS NOT NULL THEN {d_(abs(w))} ELSE 0 END)" for t, w in zip(FORECAST_TERMS, weights))
+    return r(sql_clip(f"({num}) / nullif({den}, 0)"), 4)
+
+
+CTES["k8_long"] = " UNION ALL ".join(f"SELECT *, '{h}' AS forecast_horizon, {weight_sql(w)} AS score FROM k8_base" for h, w in FORECAST_WEIGHTS.items())
+CTES["k8_forecast"] = f"""
+SELECT *, {r(sql_clip(f"avail / 9.0::DOUBLE * 0.62::DOUBLE + least(abs(coalesce(score, 0)) / 2.0::DOUBLE, 1) * 0.25::DOUBLE + (1 - CASE WHEN vol IS NULL THEN 0.35::DOUBLE ELSE least(vol / 3.0::DOUBLE, 1) END) * 0.13::DOUBLE", 0, 1), 4)} AS confidence
+FROM (SELECT *, {r(sql_clip(sql_mean('stress_score', 'aversion'), 0, 3), 4)} AS vol, {r(sql_clip(sql_mean('trend', 'breadth')), 4)} AS upside, {' + '.join(f'({t} IS NOT NULL)::INT' for t in FORECAST_TERMS)} AS avail,
+  {sql_mean('risk_off', 'external_pressure')} AS press FROM k8_long)"""
+REGIME = """CASE WHEN press IS NULL THEN NULL WHEN press >= 1.6 THEN 'risk_off_high' WHEN press >= 0.65 THEN 'risk_off_moderate' WHEN risk_on >= 1.2 AND press <= 0.2 THEN 'risk_on_moderate'
+WHEN risk_on >= 2.0 AND press <= -0.2 THEN 'risk_on_high' ELSE 'neutral' END"""
+
+
+def k8_frame(t):
+    market, risk = k1_frames(t)
+    return C.forecast_context(market, risk, k4_frame(t), k7_macro(t), k7_assets(t))
+
+
+@query("k8_market_forecast", f"""
+SELECT asof_date, market_scope, forecast_horizon, {r('score', 4)} AS market_forecast_score, {FIVE.format('score', 1.1, 0.35)} AS market_forecast_label, {REGIME} AS risk_regime_label, vol AS expected_volatility_score,
+  upside AS upside_participation_score, confidence AS confidence_score FROM k8_forecast""")
+def k8(t):
+    return k8_frame(t).select("asof_date", "market_scope", "forecast_horizon", "market_forecast_score", "market_forecast_label", "risk_regime_label", "expected_volatility_score",
+                              "upside_participation_score", "confidence_score")
+
+
+# -- K10, K11 ----------------------------------------------------------------------------------
+
+rel_case = "CASE series_id " + " ".join(f"WHEN '{s}' THEN '{f}'" for s, f in MONTHLY_EVENTS.items()) + " END"
+shock_rows = " UNION ALL ".join(
+    f"SELECT series_id, asof_date AS src, '{f}' AS flag, asof_date + 1 AS usable FROM k10_moves WHERE series_id = '{s}' AND abs({'pct' if m == 'pct' else 'diff'}) >= {d_(x)}"
+    for s, (f, m, x) in DAILY_SHOCKS.items())
+CTES["k10_moves"] = f"SELECT *, value / nullif(lag(value) OVER ({SP}), 0) - 1 AS pct, value - lag(value) OVER ({SP}) AS diff FROM daily_obs"
+CTES["k10_events"] = f"""SELECT e.series_id, e.flag, (SELECT min(s.asof_date) FROM spine s WHERE s.asof_date >= e.usable) AS day FROM (
+  SELECT series_id, asof_date AS src, {rel_case} AS flag, asof_date + 21 AS usable FROM monthly_obs UNION ALL {shock_rows}) e"""
+ALL_FLAGS = M.SCHEDULED_FLAGS + M.SHOCK_FLAGS
+CTES["k10_days"] = f"""SELECT s.asof_date, {', '.join(f"count(*) FILTER (e.flag = '{f}') AS {f}" for f in ALL_FLAGS)}, count(DISTINCT e.series_id) AS macro_event_source_count,
+  {' + '.join(f"count(*) FILTER (e.flag = '{f}')" for f in M.SCHEDULED_FLAGS)} AS sched, {' + '.join(f"count(*) FILTER (e.flag = '{f}')" for f in M.SHOCK_FLAGS)} AS shock, row_number() OVER (ORDER BY s.asof_date) AS rn
+FROM spine s LEFT JOIN k10_events e ON e.day = s.asof_date GROUP BY s.asof_date"""
+
+
+@query("k10_event_calendar", f"""
+SELECT *, {r('greatest(0, least(1, 0.15::DOUBLE * scheduled_macro_event_count + 0.35::DOUBLE * macro_shock_event_count + 0.10::DOUBLE * macro_event_risk_window_flag))')} AS macro_event_pressure_score FROM (
+  SELECT asof_date, {', '.join(ALL_FLAGS)}, macro_event_source_count, sched AS scheduled_macro_event_count, shock AS macro_shock_event_count, (sched + shock > 0)::INT AS major_macro_event_flag,
+    coalesce(lead((sched > 0)::INT) OVER w, 0) AS pre_macro_event_1d_flag, coalesce(lag((sched > 0)::INT) OVER w, 0) AS post_macro_event_1d_flag,
+    greatest((sched > 0)::INT, coalesce(lead((sched > 0)::INT) OVER w, 0), coalesce(lag((sched > 0)::INT) OVER w, 0)) AS macro_event_risk_window_flag,
+    rn - last_value(CASE WHEN sched > 0 THEN rn END IGNORE NULLS) OVER w AS days_since_scheduled_macro_event,
+    first_value(CASE WHEN sched > 0 THEN rn END IGNORE NULLS) OVER (ORDER BY asof_date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - rn AS days_to_next_scheduled_macro_event,
+    CAST(sum(sched + shock) OVER (ORDER BY asof_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT) AS macro_event_density_5d FROM k10_days WINDOW w AS (ORDER BY asof_date))""")
+def k10(t):
+    out = M.event_calendar(t.daily_obs, t.monthly_obs, t.spine)
+    return out.drop("macro_event_count").withColumn("macro_event_pressure_score", rd("macro_event_pressure_score"))
+
+
+spec = lambda i: "CASE series_id " + " ".join(f"WHEN '{s}' THEN " + (f"'{v[i]}'" if i < 2 else d_(v[i])) for s, v in SURPRISE_SPECS.items()) + " END"
+CTES["k11_events"] = f"""SELECT *, z * {spec(2)} AS roz, (SELECT min(s.asof_date) FROM spine s WHERE s.asof_date >= e.asof_date + 21) AS day, {spec(0)} AS grp FROM (
+  SELECT *, CASE WHEN n >= 12 THEN m END AS expected, CASE WHEN n >= 12 THEN (metric - m) / nullif(sd, 0) END AS z FROM (SELECT *, count(metric) OVER w AS n, avg(metric) OVER w AS m, stddev_pop(metric) OVER w AS sd FROM (
+    SELECT *, CASE WHEN {spec(1)} = 'yoy' THEN value / nullif(lag(value, 12) OVER ({SP}), 0) - 1 ELSE value - lag(value) OVER ({SP}) END AS metric FROM monthly_obs)
+    WINDOW w AS (PARTITION BY series_id ORDER BY asof_date ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))) e"""
+
+
+@query("k11_surprise_events", f"""
+SELECT series_id AS source_series_id, asof_date AS source_observation_date, day AS asof_date, {r('metric')} AS actual_metric_value, {r('expected')} AS expected_proxy_value, {r('z', 5)} AS proxy_surprise_zscore,
+  CASE WHEN z IS NULL THEN NULL WHEN z > 0 THEN 'upside' WHEN z < 0 THEN 'downside' ELSE 'inline' END AS surprise_direction_label,
+  CASE WHEN roz IS NULL THEN NULL WHEN roz >= 1 THEN 'risk_off_surprise' WHEN roz <= -1 THEN 'risk_on_surprise' ELSE 'mixed_or_inline' END AS risk_bias_label FROM k11_events WHERE day IS NOT NULL""")
+def k11(t):
+    return M.surprise_events(t.monthly_obs, t.spine).select("source_series_id", "source_observation_date", "asof_date", rd("actual_metric_value").alias("actual_metric_value"),
+                                                            rd("expected_proxy_value").alias("expected_proxy_value"), rd("proxy_surprise_zscore", 5).alias("proxy_surprise_zscore"),
+                                                            "surprise_direction_label", "risk_bias_label")
+
+
+SIGNED = sql_clip("roz / 3", -1, 1)
+
+
+@query("k11_surprise_context", f"""
+SELECT asof_date, n AS macro_surprise_event_count, {r('mx', 5)} AS macro_surprise_abs_zscore_max, {r('sc', 5)} AS macro_surprise_risk_off_score, {', '.join(r(f'g_{g}', 5) + f' AS {g}_surprise_risk_off_score' for g in SURPRISE_GROUPS)},
+  {r(sql_clip('sc', 0, 1), 5)} AS macro_surprise_pressure_score, CAST(sum(n) OVER (ORDER BY asof_date ROWS BETWEEN 62 PRECEDING AND CURRENT ROW) AS BIGINT) AS macro_surprise_event_density_63d FROM (
+  SELECT s.asof_date, count(e.series_id) AS n, max(abs(z)) AS mx, avg({SIGNED}) AS sc, {', '.join(f"avg({SIGNED}) FILTER (grp = '{g}') AS g_{g}" for g in SURPRISE_GROUPS)}
+  FROM spine s LEFT JOIN k11_events e ON e.day = s.asof_date GROUP BY 1)""")
+def k11b(t):
+    out = M.surprise_context(M.surprise_events(t.monthly_obs, t.spine), t.spine)
+    return out.select("asof_date", "macro_surprise_event_count", *[rd(c, 5).alias(c) for c in ("macro_surprise_abs_zscore_max", "macro_surprise_risk_off_score", *[f"{g}_surprise_risk_off_score" for g in SURPRISE_GROUPS],
+                                                                                             "macro_surprise_pressure_score")], "macro_surprise_event_density_63d")

@@ -54,7 +54,7 @@ def query(name: str, sql: str | None = None):
 
 def r(x: str, digits: int = 6) -> str:
     """Half-up rounding of the shortest decimal form of a double (no negative zero)."""
-    return f"CAST(round(CAST(CAST(({x})::DOUBLE AS VARCHAR) AS DECIMAL(38, 16)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(({x})::DOUBLE AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
 
 
 def sql_map(mapping: dict[str, str], c: str) -> str:

@@ -122,7 +122,7 @@ def z_sql(x: str, n: int, mp: int, win: str, sd: str = "stddev_pop", bound: bool
 
 @query("w14_rolling_zscore", f"SELECT ticker, date, {r(z_sql('close', 252, 30, P))} AS z FROM stock_prices")
 def w14(t):
-    return t.stock_prices.select("ticker", "date", rd(W.zscore(TICK, "close")).alias("z"))
+    return W.with_zscore(t.stock_prices, TICK, "close", "z").select("ticker", "date", rd("z").alias("z"))
 
 
 @query("w15_change_zscore", f"SELECT ticker, date, {r(z_sql('chg', 252, 30, P))} AS z FROM (SELECT *, close - lag(close, 20) OVER ({P}) AS chg FROM market_prices)")
@@ -132,8 +132,10 @@ def w15(t):
 
 @query("w16_scope_zscores", f"SELECT market_scope, date, {r(z_sql('value', 20, 10, PS, 'stddev_samp', False))} AS z20, {r(z_sql('value', 60, 30, PS, 'stddev_samp', False))} AS z60 FROM scope_prices")
 def w16(t):
-    z = lambda n: rd(W.zscore(SCOPE, "value", n, max(10, n // 2), population=False, bound=None))
-    return t.scope_prices.select("market_scope", "date", z(20).alias("z20"), z(60).alias("z60"))
+    out = t.scope_prices
+    for n in (20, 60):
+        out = W.with_zscore(out, SCOPE, "value", f"z{n}", n, max(10, n // 2), population=False, bound=None)
+    return out.select("market_scope", "date", rd("z20").alias("z20"), rd("z60").alias("z60"))
 
 
 @query("w17_rolling_percentile_rank", f"""
@@ -190,7 +192,7 @@ def w22(t):
 @query("w23_forward_return_std", f"SELECT market_scope, date, {r(roll('stddev_samp', 'fwd', 252, 60, PS))} AS scale FROM (SELECT *, lead(close, 5) OVER ({PS}) / close - 1 AS fwd FROM scope_prices)")
 def w23(t):
     rows = t.scope_prices.withColumn("fwd", W.forward_return(SCOPE, "close", 5))
-    return rows.select("market_scope", "date", rd(W.rolling_std(SCOPE, "fwd", 252, 60)).alias("scale"))
+    return W.with_rolling_std(rows, SCOPE, "fwd", "scale", 252, 60).select("market_scope", "date", rd("scale").alias("scale"))
 
 
 @query("w24_forward_returns", f"SELECT ticker, date, {', '.join(r(f'lead(close, {n}) OVER ({P}) / close - 1') + f' AS fwd_{n}d' for n in (1, 5, 20))}, lead(date, 5) OVER ({P}) AS end_date FROM stock_prices")

@@ -156,16 +156,53 @@ def with_rolling_mdd(df: DataFrame, ax: Axis, c: str, n: int, out: str) -> DataF
 
 def zscore(ax: Axis, c: Column | str, n: int = 252, min_periods: int = 30, population: bool = True,
            bound: float | None = 3.0) -> Column:
-    """W14, W16. Rolling z-score incl. the current row; null when the spread is zero."""
+    """W14, W16. Rolling z-score incl. the current row; null when the spread is zero. For short windows."""
     sd = rolling_std(ax, c, n, min_periods, population)
     z = ratio(as_col(c) - rolling_mean(ax, c, n, min_periods), sd)
     return z if bound is None else clip(z, -bound, bound)
 
 
+def with_running_moments(df: DataFrame, ax: Axis, c: str, n: int, count: str, mean: str, std: str, population: bool = True) -> DataFrame:
+    """Count, mean and deviation of the last n rows from running sums: one visit per row whatever n is.
+
+    Sums run over differences from the first value of the series, which keeps the
+    subtraction well conditioned. A window without any change of value gets an
+    exact zero deviation.
+    """
+    x = F.col(c)
+    df = df.withColumns({"__x0": F.first(x, True).over(ax.so_far), "__n": F.count(x).over(ax.so_far),
+                         "__prev": F.last(x, True).over(ax.by.rowsBetween(Window.unboundedPreceding, -1))})
+    d = F.coalesce(x - F.col("__x0"), F.lit(0.0))
+    moved = F.when(x.isNotNull() & ~x.eqNullSafe(F.col("__prev")), F.col("__n"))
+    df = df.withColumns({"__s1": F.sum(d).over(ax.so_far), "__s2": F.sum(d * d).over(ax.so_far), "__run": F.max(moved).over(ax.so_far)})
+    part = lambda k: F.col(k) - F.lag(k, n, 0).over(ax.by)
+    df = df.withColumns({"__wn": part("__n"), "__w1": part("__s1"), "__w2": part("__s2")})
+    m = F.col("__w1") / F.nullif("__wn", F.lit(0))
+    var = F.greatest(F.col("__w2") / F.nullif("__wn", F.lit(0)) - m * m, F.lit(0.0))
+    steady = (F.col("__n") - F.col("__run") + 1) >= F.col("__wn")
+    if not population:
+        var = ratio(var * F.col("__wn"), F.col("__wn") - 1)
+    df = df.withColumns({count: F.col("__wn"), mean: F.col("__x0") + m, std: F.when(steady, F.when(var.isNotNull(), 0.0)).otherwise(F.sqrt(var))})
+    return df.drop("__x0", "__n", "__prev", "__s1", "__s2", "__run", "__wn", "__w1", "__w2")
+
+
+def with_zscore(df: DataFrame, ax: Axis, c: str, out: str, n: int = 252, min_periods: int = 30, population: bool = True, bound: float | None = 3.0) -> DataFrame:
+    """W14, W16. ``zscore`` for long windows, from running sums."""
+    df = with_running_moments(df, ax, c, n, "__zn", "__zm", "__zs", population)
+    z = F.when(F.col("__zn") >= min_periods, ratio(F.col(c) - F.col("__zm"), "__zs"))
+    return df.withColumn(out, z if bound is None else clip(z, -bound, bound)).drop("__zn", "__zm", "__zs")
+
+
+def with_rolling_std(df: DataFrame, ax: Axis, c: str, out: str, n: int, min_periods: int, population: bool = False) -> DataFrame:
+    """W23. Long-window deviation from running sums."""
+    df = with_running_moments(df, ax, c, n, "__zn", "__zm", "__zs", population)
+    return df.withColumn(out, F.when(F.col("__zn") >= min_periods, F.col("__zs"))).drop("__zn", "__zm", "__zs")
+
+
 def with_change_zscore(df: DataFrame, ax: Axis, c: str, lag: int, out: str, n: int = 252) -> DataFrame:
     """W15. z-score of the lag-n change."""
     tmp = f"__chg_{out}"
-    return df.withColumn(tmp, lag_diff(ax, c, lag)).withColumn(out, zscore(ax, tmp, n)).drop(tmp)
+    return with_zscore(df.withColumn(tmp, lag_diff(ax, c, lag)), ax, tmp, out, n).drop(tmp)
 
 
 def percentile_rank(ax: Axis, c: Column | str, n: int = 60, min_periods: int = 20) -> Column:
