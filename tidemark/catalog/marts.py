@@ -344,3 +344,171 @@ def k11b(t):
     out = M.surprise_context(M.surprise_events(t.monthly_obs, t.spine), t.spine)
     return out.select("asof_date", "macro_surprise_event_count", *[rd(c, 5).alias(c) for c in ("macro_surprise_abs_zscore_max", "macro_surprise_risk_off_score", *[f"{g}_surprise_risk_off_score" for g in SURPRISE_GROUPS],
                                                                                              "macro_surprise_pressure_score")], "macro_surprise_event_density_63d")
+
+
+# -- K9, K29 -----------------------------------------------------------------------------------
+
+from tidemark.operators import relational as R  # noqa: E402
+from tidemark.plans import flow as FL  # noqa: E402
+from tidemark.plans import model_input as I  # noqa: E402
+from tidemark.plans import targets as T  # noqa: E402
+
+INTRA = {"program": "USDKRW", "foreign": "1001", "institution": "2001", "retail": "1028"}
+CTES["k9_long"] = "SELECT date AS asof_date, s.scope AS market_scope, ticker, investor, net_value, net_volume, (net_value > 0)::INT AS pos FROM flows, LATERAL (SELECT unnest([market, 'ALL']) AS scope) s WHERE day(date) % 6 <> 0"
+inv = lambda x, k: f"{x} FILTER (investor = '{k}')"
+CTES["k9_daily"] = "SELECT asof_date, market_scope, " + ", ".join(
+    f"{inv('sum(net_value)', k)} AS v_{k}, {inv('sum(pos)', k)}::DOUBLE / nullif({inv('count(DISTINCT ticker)', k)}, 0) AS b_{k}" for k in FL.INVESTORS) + " FROM k9_long GROUP BY 1, 2"
+CTES["k9_ratio"] = "SELECT *, v_foreign / den AS r_foreign, (v_foreign + v_institution - coalesce(v_retail, 0)) / den AS smart, greatest(abs(v_foreign) / den, abs(v_institution) / den, abs(v_retail) / den) AS conc FROM (SELECT *, nullif(coalesce(abs(v_foreign), 0) + coalesce(abs(v_institution), 0) + coalesce(abs(v_retail), 0), 0) AS den FROM k9_daily)"
+W5 = "(PARTITION BY market_scope ORDER BY asof_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
+CTES["k9_investor"] = f"SELECT *, sum(v_foreign) OVER {W5} AS f5, sum(v_foreign) OVER {W5} / nullif(sum(den) OVER {W5}, 0) AS fr5, sum((coalesce(v_foreign, 0) > 0)::INT) OVER {W5} AS fd5, avg(smart) OVER {W5} AS sm5 FROM k9_ratio"
+CTES["k9_deriv"] = "SELECT session_date AS asof_date, " + ", ".join(
+    f"arg_max(metric_value - 50, asof_ts) FILTER (signal_code = '{c}') AS i_{k}" for k, c in INTRA.items()) + ", arg_max(change_pct, asof_ts) FILTER (signal_code = 'FUT') AS fut FROM snapshots GROUP BY 1"
+CTES["k9_mart"] = f"""SELECT *, {sql_clip(sql_mean('smart2 * 1.5::DOUBLE', 'fut_score', 'prog_score'))} AS score FROM (
+  SELECT s.asof_date, g.scope AS market_scope, i.f5, i.fr5, i.fd5, i.sm5, i.b_foreign, {sql_clip('d.fut * 50')} AS fut_score, {sql_clip('d.i_program * 100000000 / 1000000000000.0::DOUBLE')} AS prog_score,
+    CASE WHEN i.den IS NULL AND g.scope = 'ALL' THEN (coalesce(d.i_foreign, 0) + coalesce(d.i_institution, 0) - coalesce(d.i_retail, 0)) / nullif(coalesce(abs(d.i_foreign), 0) + coalesce(abs(d.i_institution), 0) + coalesce(abs(d.i_retail), 0), 0) ELSE i.smart END AS smart2,
+    CASE WHEN i.den IS NULL AND g.scope = 'ALL' THEN d.i_foreign / nullif(coalesce(abs(d.i_foreign), 0) + coalesce(abs(d.i_institution), 0) + coalesce(abs(d.i_retail), 0), 0) ELSE i.r_foreign END AS fr
+  FROM (SELECT DISTINCT ts::DATE AS asof_date FROM events) s CROSS JOIN (VALUES ('ALL'), ('KOSPI'), ('KOSDAQ')) g(scope)
+  LEFT JOIN k9_investor i ON i.asof_date = s.asof_date AND i.market_scope = g.scope LEFT JOIN k9_deriv d ON d.asof_date = s.asof_date)"""
+K9_MAP = {"foreign_net_buy_ratio": "fr", "smart_money_score": "smart2", "smart_money_score_5d": "sm5", "foreign_net_buy_ratio_5d": "fr5", "futures_direction_score": "fut_score",
+          "program_pressure_score": "prog_score", "domestic_flow_derivatives_score": "score", "foreign_buying_breadth": "b_foreign"}
+
+
+def k9_frame(t):
+    days = t.table("events").select(F.col("ts").cast("date").alias("asof_date")).distinct()
+    flows = t.flows.where(F.dayofmonth("date") % 6 != 0).withColumnRenamed("date", "asof_date").withColumn("source", F.lit("feed"))
+    signals = t.snapshots.withColumn("metric_value", F.col("metric_value") - 50)
+    return FL.flow_mart(days, flows, t.snapshots.where(F.col("signal_code") == "FUT"), signals, INTRA)
+
+
+@query("k9_domestic_flow", f"SELECT asof_date, market_scope, {', '.join(r(v) + f' AS {k}' for k, v in K9_MAP.items())}, {r('f5', 2)} AS foreign_net_buy_value_5d_krw FROM k9_mart")
+def k9(t):
+    return k9_frame(t).select("asof_date", "market_scope", *[rd(c).alias(c) for c in K9_MAP], rd("foreign_net_buy_value_5d_krw", 2).alias("foreign_net_buy_value_5d_krw"))
+
+
+@query("k29_investor_aggregate", f"""
+SELECT date, market AS market_scope, investor, {r('sum(net_value)', 2)} AS net_value FROM flows GROUP BY 1, 2, 3 UNION ALL SELECT date, 'ALL', investor, {r('sum(net_value)', 2)} FROM flows GROUP BY 1, 3
+UNION ALL SELECT DATE '2023-12-29', market, investor, {r('sum(net_value)', 2)} FROM flows WHERE date = DATE '2024-01-02' GROUP BY 2, 3""")
+def k29(t):
+    scoped = t.flows.withColumnRenamed("market", "market_scope")
+    kept = scoped.where(F.col("date") == "2024-01-02").withColumn("date", F.lit("2023-12-29").cast("date"))
+    stale = scoped.where(F.col("date") >= "2024-01-20").withColumn("net_value", F.lit(0.0))
+    stored = kept.unionByName(stale).groupBy("date", "market_scope", "investor").agg(F.sum("net_value").alias("net_value"))
+    return FL.recompute_aggregate(stored, scoped).withColumn("net_value", rd("net_value", 2))
+
+
+# -- K12-K14 --------------------------------------------------------------------------------------
+
+CTES["k12_close"] = "SELECT date AS asof_date, market_scope, close FROM k1_members UNION ALL SELECT date, 'ALL', close FROM k1_level"
+KP = "PARTITION BY market_scope ORDER BY asof_date"
+CTES["k12_target"] = " UNION ALL ".join(
+    f"""SELECT asof_date, market_scope, '{h}' AS forecast_horizon, {T.DRAWDOWN_LIMITS[h]} AS lim, lead(close, {n}) OVER ({KP}) / close - 1 AS ret, lead(asof_date, {n}) OVER ({KP}) AS end_date,
+  min(close) OVER ({KP} ROWS BETWEEN 1 FOLLOWING AND {n} FOLLOWING) / close - 1 AS lo, max(close) OVER ({KP} ROWS BETWEEN 1 FOLLOWING AND {n} FOLLOWING) / close - 1 AS hi FROM k12_close"""
+    for h, n in T.FORECAST_HORIZONS.items())
+
+
+def k12_closes(t):
+    members = C.proxy_features(t.market_prices.where(F.col("ticker").isin("KOSPI", "KOSDAQ")).withColumnRenamed("ticker", "market_scope"), "market_scope")
+    level = C.composite_scope(members, "market_scope", {"KOSPI": 0.6, "KOSDAQ": 0.4})
+    pick = [F.col("date").alias("asof_date"), "market_scope", "close"]
+    return members.select(*pick).unionByName(level.select(*pick))
+
+
+@query("k12_forecast_targets", f"""
+SELECT t.asof_date, t.market_scope, t.forecast_horizon, {r('t.ret')} AS target_forward_return, {r("CASE WHEN t.market_scope = 'ALL' THEN 0 ELSE t.ret - b.ret END")} AS target_excess_return_vs_all, {r('t.lo')} AS target_forward_max_drawdown,
+  {r('t.hi')} AS target_forward_max_runup, CASE WHEN t.ret > 0 THEN 'up' WHEN t.ret IS NOT NULL THEN 'down_or_flat' END AS target_direction_label, (t.lo <= -t.lim)::INT AS target_downside_risk_flag,
+  (t.hi >= t.lim)::INT AS target_large_upside_flag, (t.ret IS NOT NULL)::INT AS target_available_flag, t.end_date AS target_end_asof_date
+FROM k12_target t LEFT JOIN (SELECT * FROM k12_target WHERE market_scope = 'ALL') b USING (asof_date, forecast_horizon)""")
+def k12(t):
+    out = T.forecast_targets(k12_closes(t))
+    return out.select("asof_date", "market_scope", "forecast_horizon", *[rd(c).alias(c) for c in ("target_forward_return", "target_excess_return_vs_all", "target_forward_max_drawdown", "target_forward_max_runup")],
+                      "target_direction_label", "target_downside_risk_flag", "target_large_upside_flag", "target_available_flag", "target_end_asof_date")
+
+
+# Stand-in forecast of the validation queries: the trend of the level, and yesterday's score as the model.
+SC = "PARTITION BY market_scope, forecast_horizon ORDER BY asof_date"
+CTES["k13_forecast"] = f"SELECT *, lag(market_forecast_score) OVER ({SC}) / 10 AS predicted_forward_return FROM (SELECT asof_date, market_scope, forecast_horizon, lag(ret, 20) OVER ({SC}) AS market_forecast_score FROM k12_target)"
+CTES["k13_valid"] = """SELECT f.*, t.ret, CASE WHEN t.ret IS NOT NULL THEN coalesce((f.market_forecast_score > 0) = (t.ret > 0), false)::INT END AS bh, f.market_forecast_score - t.ret AS be,
+  CASE WHEN t.ret IS NOT NULL THEN coalesce((f.predicted_forward_return > 0) = (t.ret > 0), false)::INT END AS ah, f.predicted_forward_return - t.ret AS ae FROM k13_forecast f JOIN k12_target t USING (asof_date, market_scope, forecast_horizon)"""
+
+
+def k13_frame(t):
+    from tidemark.operators.windows import Axis
+
+    target = T.forecast_targets(k12_closes(t))
+    ax = Axis.of(["market_scope", "forecast_horizon"], "asof_date")
+    forecast = target.select(*T.KEYS, F.lag("target_forward_return", 20).over(ax.by).alias("market_forecast_score"))
+    calibrated = forecast.select(*T.KEYS, (F.lag("market_forecast_score").over(ax.by) / 10).alias("predicted_forward_return"))
+    return T.forecast_validation(forecast, calibrated, target), target
+
+
+@query("k13_forecast_validation", f"SELECT asof_date, market_scope, forecast_horizon, bh AS baseline_direction_hit_flag, {r('be')} AS baseline_forecast_error, ah AS ai_direction_hit_flag, {r('ae')} AS ai_forecast_error FROM k13_valid")
+def k13(t):
+    return k13_frame(t)[0].select(*T.KEYS, "baseline_direction_hit_flag", rd("baseline_forecast_error").alias("baseline_forecast_error"), "ai_direction_hit_flag", rd("ai_forecast_error").alias("ai_forecast_error"))
+
+
+def mon(x: str, n: int) -> str:
+    return sql_roll("avg", x, n, max(10, n // 2), SC)
+
+
+def mcorr(x: str, n: int) -> str:
+    w = f"({SC} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count({x}) FILTER (ret IS NOT NULL) OVER {w} >= {max(10, n // 2)} THEN corr({x}, ret) OVER {w} END"
+
+
+@query("k14_forecast_monitoring", f"""
+SELECT *, CASE WHEN ai_corr_60d IS NULL OR ai_hit_rate_60d IS NULL THEN 'insufficient_history' WHEN ai_corr_60d >= 0.2 AND ai_hit_rate_60d >= 0.56 THEN 'strong' WHEN ai_corr_60d >= 0.1 AND ai_hit_rate_60d >= 0.53 THEN 'usable'
+  WHEN ai_corr_60d <= -0.05 OR ai_hit_rate_60d < 0.48 THEN 'weak' ELSE 'watch' END AS monitoring_quality_label FROM (
+  SELECT asof_date, market_scope, forecast_horizon, {r(mcorr('market_forecast_score', 60), 5)} AS baseline_corr_60d, {r(mcorr('predicted_forward_return', 60), 5)} AS ai_corr_60d, {r(mon('ah', 60), 5)} AS ai_hit_rate_60d,
+    {r(mon('abs(ae)', 20), 5)} AS ai_mae_20d, {r(mon('ah', 120) + ' - ' + mon('bh', 120), 5)} AS ai_minus_baseline_hit_rate_120d FROM k13_valid)""")
+def k14(t):
+    out = T.forecast_monitoring(k13_frame(t)[0])
+    return out.select(*T.KEYS, *[rd(c, 5).alias(c) for c in ("baseline_corr_60d", "ai_corr_60d", "ai_hit_rate_60d", "ai_mae_20d", "ai_minus_baseline_hit_rate_120d")], "monitoring_quality_label")
+
+
+# -- K16, K17 -----------------------------------------------------------------------------------------
+
+GROUPS = {"market": ["market_state_score", "trend_score", "breadth_score", "risk_on_score", "risk_off_score"], "risk": ["market_stress_score", "drawdown_pressure_score", "defensive_asset_strength_score"],
+          "target_free": ["kospi_ret_1m", "kosdaq_ret_1m"]}
+CTES["k16_base"] = f"SELECT m.*, h.h AS forecast_horizon, {STATE.format('m.market_state_score')} AS market_state_label, k.market_stress_score, k.drawdown_pressure_score, k.defensive_asset_strength_score AS das FROM k1_scored m CROSS JOIN (VALUES ('5d'), ('20d')) h(h) LEFT JOIN k2_risk k ON k.asof_date = m.asof_date"
+pres = lambda cs: " + ".join(f"({c} IS NOT NULL)::INT" for c in cs)
+G1, G2, G3 = GROUPS["market"], ["market_stress_score", "drawdown_pressure_score", "das"], GROUPS["target_free"]
+CTES["k16_change"] = f"""SELECT *, row_number() OVER ({SC}) AS rn, coalesce(lag(market_state_label) OVER ({SC}) <> market_state_label, false)::INT AS chg, {r(f'market_state_score - lag(market_state_score) OVER ({SC})')} AS d1,
+  {r(f'market_state_score - lag(market_state_score, 5) OVER ({SC})')} AS d5, {r(f'risk_on_score - lag(risk_on_score, 20) OVER ({SC})')} AS ro20 FROM k16_base"""
+
+
+def k16_frame(t):
+    from tidemark.operators.asof import grid
+
+    market, risk = k1_frames(t)
+    base = grid(market.select("asof_date", "market_scope", (F.col("market_state_score") * 0).alias("market_forecast_score")), "forecast_horizon", ["5d", "20d"])
+    none = base.select(*T.KEYS).where(F.lit(False)).withColumn("calibrated_forecast_score", F.lit(0.0))
+    return I.model_input(base, [market], [risk], none, GROUPS)
+
+
+@query("k16_model_input", f"""
+SELECT asof_date, market_scope, forecast_horizon, d1 AS market_state_score_delta_1d, d5 AS market_state_score_delta_5d, ro20 AS risk_on_score_delta_20d, chg AS state_change_flag,
+  CASE WHEN d1 IS NULL THEN 'unknown' WHEN d1 > 0.1 THEN 'improving' WHEN d1 < -0.1 THEN 'deteriorating' ELSE 'unchanged' END AS state_change_direction,
+  CAST(sum(chg) OVER ({SC} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS BIGINT) AS transition_count_20d, rn - max(CASE WHEN chg = 1 OR rn = 1 THEN rn END) OVER ({SC}) AS days_since_state_change,
+  {r(f'({pres(G1)}) / 5.0::DOUBLE')} AS market_coverage_ratio, ({pres(G2)} > 0)::INT AS risk_available,
+  {r(f"({r(f'({pres(G1)}) / 5.0::DOUBLE')} + {r(f'({pres(G2)}) / 3.0::DOUBLE')} + {r(f'({pres(G3)}) / 2.0::DOUBLE')}) / 3")} AS coverage_ratio FROM k16_change""")
+def k16(t):
+    return k16_frame(t).select(*T.KEYS, "market_state_score_delta_1d", "market_state_score_delta_5d", "risk_on_score_delta_20d", "state_change_flag", "state_change_direction", "transition_count_20d",
+                               "days_since_state_change", "market_coverage_ratio", "risk_available", "coverage_ratio")
+
+
+@query("k17_regime_performance", f"""
+SELECT v.market_scope, v.forecast_horizon, m.market_state_label AS dimension_value, count(*) AS n, {r('avg(v.ret)', 5)} AS mean_target_forward_return, {r('avg(v.bh)', 5)} AS baseline_hit_rate
+FROM k13_valid v LEFT JOIN k16_base m USING (asof_date, market_scope, forecast_horizon) WHERE v.ret IS NOT NULL GROUP BY 1, 2, 3""")
+def k17(t):
+    validation, target = k13_frame(t)
+    inputs = k16_frame(t).withColumn("source_date", F.date_sub("asof_date", 1))
+    pack = I.readiness(inputs.drop("market_forecast_score"), target, validation, ["market_state_label"], "source_date")
+    out = pack["regime"].drop("dimension").withColumnRenamed("rows", "n")
+    return out.select("market_scope", "forecast_horizon", "dimension_value", "n", rd("mean_target_forward_return", 5).alias("mean_target_forward_return"), rd("baseline_hit_rate", 5).alias("baseline_hit_rate"))
+
+
+@query("k17_leakage_report")
+def k17_leak(t):
+    validation, target = k13_frame(t)
+    inputs = k16_frame(t).withColumn("source_date", F.date_sub("asof_date", 1))
+    return I.readiness(inputs.drop("market_forecast_score"), target, validation, ["market_state_label"], "source_date")["leakage"]

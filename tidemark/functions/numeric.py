@@ -41,8 +41,22 @@ def _add(cols: Sequence[Column]) -> Column:
     return reduce(lambda x, y: x + y, cols)
 
 
+def _all_names(cols: Sequence[Column | str]) -> bool:
+    return all(isinstance(c, str) for c in cols)
+
+
+def _sum_text(cols: Sequence[str]) -> str:
+    return " + ".join(f"coalesce(cast(`{c}` AS double), 0D)" for c in cols)
+
+
+def _count_text(cols: Sequence[str]) -> str:
+    return " + ".join(f"cast(`{c}` IS NOT NULL AS int)" for c in cols)
+
+
 def count_present(*cols: Column | str) -> Column:
     """How many of the inputs are not null."""
+    if _all_names(cols):
+        return F.expr(_count_text(cols))
     return _add([as_col(c).isNotNull().cast("int") for c in cols])
 
 
@@ -52,11 +66,15 @@ def any_present(*cols: Column | str) -> Column:
 
 
 def row_sum(*cols: Column | str) -> Column:
+    if _all_names(cols):
+        return F.expr(_sum_text(cols))
     return _add([F.coalesce(as_col(c).cast("double"), F.lit(0.0)) for c in cols])
 
 
 def row_mean(*cols: Column | str) -> Column:
     """P14. Mean over the non-null inputs of one row; null when none is present."""
+    if _all_names(cols):
+        return F.expr(f"try_divide({_sum_text(cols)}, {_count_text(cols)})")
     return ratio(row_sum(*cols), count_present(*cols))
 
 

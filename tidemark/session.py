@@ -18,6 +18,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call-site capture costs several round trips per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
