@@ -212,7 +212,7 @@ def strategy_metrics(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         (F.stddev_pop("strategy_return") * F.sqrt(year)).alias("annual_vol"),
         (F.stddev_pop("next_return") * F.sqrt(year)).alias("buyhold_annual_vol"),
         F.min("equity_drawdown").alias("mdd"), F.min("buyhold_drawdown").alias("buyhold_mdd"),
-        F.avg("exposure").alias("avg_exposure"), F.sum("turnover").alias("total_turnover"),
+        F.avg("exposure").alias("avg_exposure"), F.avg("turnover").alias("avg_turnover"), F.sum("turnover").alias("total_turnover"),
         share(F.col("direction") == "up").alias("up_ratio"), share(F.col("direction") == "down").alias("down_ratio"),
         F.avg(F.when(F.col("exposure") > 0, (F.col("next_return") > 0).cast("double"))).alias("hit_rate"))
 

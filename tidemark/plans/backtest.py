@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions import labels as L
-from tidemark.operators.relational import explode_grid
+from tidemark.operators import metrics as M
+from tidemark.operators import windows as W
+from tidemark.operators.relational import explode_grid, latest_per_key, near_best, pick_first
+from tidemark.operators.windows import Axis
 
 PROBS = {"down": "prob_down", "sideways": "prob_sideways", "up": "prob_up"}
 
@@ -46,3 +50,86 @@ def threshold_counts(predictions: DataFrame, keys: Sequence[str], grid: Sequence
     for c in classes:
         aggs += [total((a == c) & (p == c)).alias(f"tp_{c}"), total(a == c).alias(f"act_{c}"), total(p == c).alias(f"pred_{c}")]
     return rows.groupBy(*keys, "grid_index", "down_threshold", "up_threshold").agg(*aggs)
+
+
+KEYS = ["label_policy", "model", "market_scope", "forecast_horizon"]
+
+
+def tune_thresholds(predictions: DataFrame, grid: Sequence[dict], keys: Sequence[str] = KEYS, year: str = "test_year") -> DataFrame:
+    """M10. Best threshold pair on the earlier years of each key, for every year with a past.
+
+    Class counts add up over years, so the training counts of a year are running
+    sums of yearly counts: each prediction row meets the grid once, not once per
+    later year. Ties go to the first grid point.
+    """
+    yearly = threshold_counts(predictions, [*keys, year], grid)
+    counts = [c for c in yearly.columns if c == "n" or c.startswith(("tp_", "act_", "pred_"))]
+    years = predictions.select(*keys, year).distinct()
+    dense = explode_grid(years, grid).join(yearly.drop("down_threshold", "up_threshold"), [*keys, year, "grid_index"], "left").na.fill(0, counts)
+    before = Window.partitionBy(*keys, "grid_index").orderBy(year).rowsBetween(Window.unboundedPreceding, -1)
+    past = dense.select(*keys, year, "grid_index", "down_threshold", "up_threshold", *[F.sum(c).over(before).alias(c) for c in counts])
+    scored = M.with_class_metrics(past.where(F.col("n") > 0)).withColumn("first", -F.col("grid_index"))
+    best = latest_per_key(scored, [*keys, year], ["balanced_accuracy", "macro_f1", "accuracy", "first"])
+    return best.select(*keys, year, "down_threshold", "up_threshold", F.col("balanced_accuracy").alias("train_balanced_accuracy"), F.col("n").alias("train_rows"))
+
+
+def evaluate_thresholds(predictions: DataFrame, thresholds: DataFrame, keys: Sequence[str] = KEYS, year: str = "test_year") -> DataFrame:
+    """M10, A19. Tuned against argmax decisions on the test years, averaged per key."""
+    rows = predictions.join(thresholds, [*keys, year]).withColumn("tuned", L.threshold_label("prob_down", "prob_up", "down_threshold", "up_threshold"))
+    rows = rows.withColumn("argmax", L.argmax_label(PROBS))
+    group = [*keys, year]
+    metrics = ["accuracy", "balanced_accuracy", "macro_f1"]
+    sides = [M.classification_scorecard(rows, group, "actual_label", d).select(*group, *[F.col(m).alias(f"{d}_{m}") for m in metrics]) for d in ("tuned", "argmax")]
+    both = sides[0].join(sides[1], group)
+    out = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("years"), *[F.avg(f"{d}_{m}").alias(f"{d}_{m}_avg") for d in ("tuned", "argmax") for m in metrics])
+    return out.withColumn("balanced_accuracy_lift_vs_argmax", F.col("tuned_balanced_accuracy_avg") - F.col("argmax_balanced_accuracy_avg"))
+
+
+def select_candidates(scorecard: DataFrame) -> DataFrame:
+    """T3. Best tuned, best argmax and selected model per (scope, horizon)."""
+    group = ["market_scope", "forecast_horizon"]
+
+    def best(side: str, method: str, kind: str) -> DataFrame:
+        order = [F.desc(F.round(f"{side}_{m}_avg", 10)) for m in ("balanced_accuracy", "macro_f1", "accuracy")]
+        rows = pick_first(scorecard, group, [*order, F.asc("label_policy"), F.asc("model")])
+        return rows.select(*group, F.lit(kind).alias("candidate_type"), F.lit(method).alias("decision_method"), "label_policy", "model",
+                           F.col(f"{side}_balanced_accuracy_avg").alias("selection_balanced_accuracy"), "balanced_accuracy_lift_vs_argmax")
+
+    tuned, argmax = best("tuned", "threshold", "threshold_best"), best("argmax", "argmax", "argmax_best")
+    lifted = tuned.select(*group, (F.col("balanced_accuracy_lift_vs_argmax") > 0).alias("__lift"))
+    chosen = tuned.unionByName(argmax).join(lifted, group).where(F.col("__lift") == (F.col("decision_method") == "threshold")).drop("__lift")
+    return tuned.unionByName(argmax).unionByName(chosen.withColumn("candidate_type", F.lit("selected")))
+
+
+def candidate_predictions(predictions: DataFrame, candidates: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """J23. Predictions of every candidate with its decision and confidence."""
+    rows = predictions.join(candidates, KEYS)
+    decided = decide(rows, thresholds.select(*KEYS, "test_year", "down_threshold", "up_threshold"), [*KEYS, "test_year"])
+    return decided.withColumn("predicted_direction", F.when(F.col("decision_method") == "argmax", L.argmax_label(PROBS)).otherwise(F.col("predicted_direction")))
+
+
+TRADE_KEYS = ["candidate_type", *KEYS, "rule_name", "confidence_floor"]
+
+
+def apply_rules(rows: DataFrame, profiles: Mapping[str, Mapping[str, float]], floors: Sequence[float]) -> DataFrame:
+    """P26, J24. Every rule of the grid on every candidate row."""
+    grid = [{"rule_name": name, "confidence_floor": float(f), **{f"w_{k}": float(v) for k, v in profile.items()}} for name, profile in profiles.items() for f in floors]
+    df = explode_grid(rows, grid)
+    low = F.col("confidence") < F.col("confidence_floor")
+    base = F.when(F.col("predicted_direction") == "up", F.col("w_up")).when(F.col("predicted_direction") == "down", F.col("w_down")).otherwise(F.col("w_sideways"))
+    return df.withColumns({"exposure": F.when(low, F.col("w_fallback")).otherwise(base), "low_confidence": low.cast("double")}).drop("w_up", "w_down", "w_sideways", "w_fallback")
+
+
+def run_backtest(ruled: DataFrame, returns: DataFrame, cost_bps: float = 5.0, keys: Sequence[str] = TRADE_KEYS) -> tuple[DataFrame, DataFrame]:
+    """K21, A21, A22. (trades, scorecard). ``returns``: asof_date, market_scope, next_return."""
+    data = ruled.join(returns.where(F.col("next_return").isNotNull()), ["asof_date", "market_scope"])
+    trades = W.with_strategy(data, Axis.of(list(keys), "asof_date"), "exposure", "next_return", cost_bps)
+    card = M.strategy_metrics(trades.withColumn("direction", F.col("predicted_direction")), keys)
+    low = trades.groupBy(*keys).agg(F.avg("low_confidence").alias("low_confidence_ratio"))
+    return trades, card.join(low, list(keys))
+
+
+def best_rules(scorecard: DataFrame, tolerance: float) -> DataFrame:
+    """T4. Per (scope, horizon): near-best Sharpe, then fewest low-confidence days."""
+    order = [F.asc("low_confidence_ratio"), F.desc(F.round("sharpe", 8)), F.desc(F.round("mdd", 8)), F.desc(F.round("cumulative_return", 8)), *[F.asc(k) for k in TRADE_KEYS]]
+    return near_best(scorecard.where(F.col("sharpe").isNotNull()), ["market_scope", "forecast_horizon"], "sharpe", tolerance, order)
