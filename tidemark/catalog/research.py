@@ -52,21 +52,17 @@ CTES["k21_card"] = f"""SELECT *, ann / nullif(vol, 0) AS sharpe FROM (SELECT *,
   stddev_pop(sr) * sqrt(252) AS vol, avg(exposure) AS avg_exposure, avg(turnover) AS avg_turnover, avg(low) AS low_confidence_ratio FROM k21_trade GROUP BY ALL))"""
 
 
-def grid():
-    return B.threshold_grid(THRESHOLD_GRID)
-
-
 def next_returns(t):
     return t.scope_prices.select(F.col("date").alias("asof_date"), "market_scope", (W.forward_return(SCOPE, "close", 1) / 50).alias("next_return"))
 
 
 @query("m10_tuned_thresholds", f"SELECT {K}, test_year, down_threshold, up_threshold, n AS train_rows, {r('balanced_accuracy')} AS train_balanced_accuracy FROM m10_best")
 def m10(t):
-    return B.tune_thresholds(t.predictions, grid()).withColumn("train_balanced_accuracy", rd("train_balanced_accuracy"))
+    return B.tune_thresholds(t.predictions, THRESHOLD_GRID).withColumn("train_balanced_accuracy", rd("train_balanced_accuracy"))
 
 
 def card(t):
-    th = B.tune_thresholds(t.predictions, grid())
+    th = B.tune_thresholds(t.predictions, THRESHOLD_GRID)
     return th, B.evaluate_thresholds(t.predictions, th)
 
 
@@ -83,8 +79,8 @@ def k21_candidates(t):
 
 
 def k21_frames(t):
-    th, scores = card(t)
-    rows = B.candidate_predictions(t.predictions, B.select_candidates(scores), th)
+    th, candidates = B.tuned_candidates(t.predictions, THRESHOLD_GRID)
+    rows = B.candidate_predictions(t.predictions, candidates, th)
     return B.run_backtest(B.apply_rules(rows, RULE_PROFILES, CONFIDENCE_FLOORS), next_returns(t))
 
 
@@ -103,10 +99,10 @@ def k21_best(t):
 def k22(t):
     from tidemark.plans.handoff import signal_rows
 
-    th, scores = card(t)
-    rows = B.candidate_predictions(t.predictions, B.select_candidates(scores), th)
+    th, candidates = B.tuned_candidates(t.predictions, THRESHOLD_GRID)
+    rows = B.candidate_predictions(t.predictions, candidates, th)
     best = B.best_rules(B.run_backtest(B.apply_rules(rows, RULE_PROFILES, CONFIDENCE_FLOORS), next_returns(t))[1], NEAR_BEST_TOLERANCE)
-    best = best.join(B.select_candidates(scores).select("candidate_type", *B.KEYS, "decision_method"), ["candidate_type", *B.KEYS])
+    best = best.join(candidates.select("candidate_type", *B.KEYS, "decision_method"), ["candidate_type", *B.KEYS])
     return signal_rows(best, t.predictions, th, RULE_PROFILES).select(
         "asof_date", "market_scope", "forecast_horizon", "model_name", "decision_method", "predicted_direction", rd("confidence").alias("confidence"), "rule_name", "recommended_exposure", "quality_warnings")
 

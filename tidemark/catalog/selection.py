@@ -68,10 +68,9 @@ SELECT market_scope, down_threshold, up_threshold, hits FROM (SELECT market_scop
   FROM predictions, (SELECT unnest([0.34, 0.40, 0.46])::DOUBLE AS d), (SELECT unnest([0.34, 0.40, 0.46])::DOUBLE AS u) GROUP BY 1, 2, 3)
 QUALIFY row_number() OVER (PARTITION BY market_scope ORDER BY hits DESC, down_threshold, up_threshold) = 1""")
 def t5(t):
-    from tidemark.plans.backtest import threshold_counts, threshold_grid
+    from tidemark.plans.backtest import threshold_counts
 
-    grid = threshold_grid([0.34, 0.40, 0.46])
-    counts = threshold_counts(t.predictions, ["market_scope"], grid)
+    counts = threshold_counts(t.predictions, ["market_scope"], [0.34, 0.40, 0.46])
     hits = counts.withColumn("hits", F.col("tp_down") + F.col("tp_sideways") + F.col("tp_up"))
     best = R.latest_per_key(hits.withColumn("first", -F.col("grid_index")), ["market_scope"], ["hits", "first"])
     return best.select("market_scope", "down_threshold", "up_threshold", "hits")

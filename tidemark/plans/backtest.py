@@ -13,6 +13,7 @@ from tidemark.operators import metrics as M
 from tidemark.operators import windows as W
 from tidemark.operators.relational import explode_grid, latest_per_key, near_best, pick_first
 from tidemark.operators.windows import Axis
+from tidemark.session import cut_lineage
 
 PROBS = {"down": "prob_down", "sideways": "prob_sideways", "up": "prob_up"}
 
@@ -35,44 +36,79 @@ def threshold_grid(values: Sequence[float]) -> list[dict]:
             for i, d in enumerate(values) for j, u in enumerate(values)]
 
 
-def threshold_counts(predictions: DataFrame, keys: Sequence[str], grid: Sequence[dict], classes: Sequence[str] = tuple(PROBS)) -> DataFrame:
-    """M10, T5. Class counts of every grid point per key.
+def _sides(values: Sequence[float]) -> list[dict]:
+    return [{"side": side, "idx": i} for side in ("down", "up") for i in range(len(values))]
 
-    Equal probability rows are grouped first (counted per actual label), then each
-    distinct row meets the grid; the counts combine map-side.
+
+def side_counts(predictions: DataFrame, keys: Sequence[str], values: Sequence[float]) -> DataFrame:
+    """Rows reaching each threshold, per side and actual class.
+
+    A row can only turn down (its down probability is at least its up
+    probability) or up, so the two thresholds act on disjoint rows and one
+    histogram per side replaces the grid of pairs. Output per (keys, side, idx):
+    ``h_c`` rows of class c at or above the threshold, ``t_c`` all rows of the side.
     """
-    base = predictions.groupBy(*keys, "actual_label", "prob_down", "prob_up").agg(F.count(F.lit(1)).alias("__n"))
-    rows = explode_grid(base, grid)
-    rows = rows.withColumn("__d", L.threshold_label("prob_down", "prob_up", "down_threshold", "up_threshold"))
-    a, p, n = F.col("actual_label"), F.col("__d"), F.col("__n")
-    total = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
-    aggs = [F.sum("__n").alias("n")]
-    for c in classes:
-        aggs += [total((a == c) & (p == c)).alias(f"tp_{c}"), total(a == c).alias(f"act_{c}"), total(p == c).alias(f"pred_{c}")]
-    return rows.groupBy(*keys, "grid_index", "down_threshold", "up_threshold").agg(*aggs)
+    down_side = F.col("prob_down") >= F.col("prob_up")
+    reach = F.when(down_side, F.col("prob_down")).otherwise(F.col("prob_up"))
+    level = F.expr(" + ".join(f"int(__p >= {float(v)}D)" for v in values))
+    rows = predictions.select(*keys, "actual_label", F.when(down_side, "down").otherwise("up").alias("side"), reach.alias("__p")).withColumn("level", level)
+    hist = rows.groupBy(*keys, "side", "level").agg(*[F.count_if(F.col("actual_label") == c).alias(f"a_{c}") for c in PROBS])
+    per = hist.withColumn("idx", F.explode(F.array(*[F.lit(i) for i in range(len(values))])))
+    return per.groupBy(*keys, "side", "idx").agg(*[F.sum(F.when(F.col("level") > F.col("idx"), F.col(f"a_{c}")).otherwise(0)).alias(f"h_{c}") for c in PROBS],
+                                                 *[F.sum(f"a_{c}").alias(f"t_{c}") for c in PROBS])
+
+
+SIDE_COLUMNS = [f"{k}_{c}" for k in "ht" for c in PROBS]
+
+
+def grid_counts(sides: DataFrame, keys: Sequence[str], values: Sequence[float]) -> DataFrame:
+    """Class counts of every threshold pair from the side counts (fixed grid, no join)."""
+    cell = F.struct(F.concat("side", F.col("idx").cast("string")).alias("key"), F.struct(*SIDE_COLUMNS).alias("value"))
+    packed = sides.groupBy(*keys).agg(F.map_from_entries(F.collect_list(cell)).alias("__m"))
+    rows = explode_grid(packed, threshold_grid(values))
+    n = len(values)
+    rows = rows.withColumns({"__d": F.try_element_at("__m", F.concat(F.lit("down"), F.floor(F.col("grid_index") / n).cast("string"))),
+                             "__u": F.try_element_at("__m", F.concat(F.lit("up"), (F.col("grid_index") % n).cast("string")))})
+    at = lambda side, c: F.coalesce(F.col(f"{side}.{c}"), F.lit(0))
+    act = {c: at("__d", f"t_{c}") + at("__u", f"t_{c}") for c in PROBS}
+    pred_down = at("__d", "h_down") + at("__d", "h_sideways") + at("__d", "h_up")
+    pred_up = at("__u", "h_down") + at("__u", "h_sideways") + at("__u", "h_up")
+    total = act["down"] + act["sideways"] + act["up"]
+    out = {"n": total, **{f"act_{c}": v for c, v in act.items()}, "pred_down": pred_down, "pred_up": pred_up, "pred_sideways": total - pred_down - pred_up,
+           "tp_down": at("__d", "h_down"), "tp_up": at("__u", "h_up"), "tp_sideways": act["sideways"] - at("__d", "h_sideways") - at("__u", "h_sideways")}
+    return rows.select(*keys, "grid_index", "down_threshold", "up_threshold", *[v.alias(k) for k, v in out.items()])
+
+
+def threshold_counts(predictions: DataFrame, keys: Sequence[str], values: Sequence[float]) -> DataFrame:
+    """M10, T5. Class counts of every threshold pair per key."""
+    return grid_counts(side_counts(predictions, keys, values), keys, values)
 
 
 KEYS = ["label_policy", "model", "market_scope", "forecast_horizon"]
 
 
-def tune_thresholds(predictions: DataFrame, grid: Sequence[dict], keys: Sequence[str] = KEYS, year: str = "test_year") -> DataFrame:
+def tune_thresholds(predictions: DataFrame, values: Sequence[float], keys: Sequence[str] = KEYS, year: str = "test_year") -> DataFrame:
     """M10. Best threshold pair on the earlier years of each key, for every year with a past.
 
-    Class counts add up over years, so the training counts of a year are running
-    sums of yearly counts: each prediction row meets the grid once, not once per
-    later year. Ties go to the first grid point.
+    Side counts add up over years, so the training counts of a year are running
+    sums over the years of a key. Ties go to the first grid point.
     """
-    yearly = threshold_counts(predictions, [*keys, year], grid)
-    counts = [c for c in yearly.columns if c == "n" or c.startswith(("tp_", "act_", "pred_"))]
-    years = predictions.select(*keys, year).distinct()
-    dense = explode_grid(years, grid).join(yearly.drop("down_threshold", "up_threshold"), [*keys, year, "grid_index"], "left").na.fill(0, counts)
-    before = Window.partitionBy(*keys, "grid_index").orderBy(year).rowsBetween(Window.unboundedPreceding, -1)
-    past = dense.select(*keys, year, "grid_index", "down_threshold", "up_threshold", *[F.sum(c).over(before).alias(c) for c in counts])
-    scored = M.with_class_metrics(past.where(F.col("n") > 0)).withColumn("first", -F.col("grid_index"))
+    yearly = side_counts(predictions, [*keys, year], values)
+    dense = explode_grid(predictions.select(*keys, year).distinct(), _sides(values))
+    dense = dense.join(yearly, [*keys, year, "side", "idx"], "left").na.fill(0, SIDE_COLUMNS)
+    before = Window.partitionBy(*keys, "side", "idx").orderBy(year).rowsBetween(Window.unboundedPreceding, -1)
+    past = dense.select(*keys, year, "side", "idx", *[F.sum(c).over(before).alias(c) for c in SIDE_COLUMNS])
+    scored = M.with_class_metrics(grid_counts(past, [*keys, year], values).where(F.col("n") > 0)).withColumn("first", -F.col("grid_index"))
     best = latest_per_key(scored, [*keys, year], ["balanced_accuracy", "macro_f1", "accuracy", "first"])
     return best.select(*keys, year, "down_threshold", "up_threshold", F.col("balanced_accuracy").alias("train_balanced_accuracy"), F.col("n").alias("train_rows"))
 
 
+def tuned_candidates(predictions: DataFrame, values: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+    """M10, T3. (thresholds, candidates); both are small, used several times downstream, and materialised once."""
+    thresholds = cut_lineage(tune_thresholds(predictions, values))
+    return thresholds, cut_lineage(select_candidates(evaluate_thresholds(predictions, thresholds)))
+
+
 def evaluate_thresholds(predictions: DataFrame, thresholds: DataFrame, keys: Sequence[str] = KEYS, year: str = "test_year") -> DataFrame:
     """M10, A19. Tuned against argmax decisions on the test years, averaged per key."""
     rows = predictions.join(thresholds, [*keys, year]).withColumn("tuned", L.threshold_label("prob_down", "prob_up", "down_threshold", "up_threshold"))
