@@ -512,3 +512,144 @@ def k17_leak(t):
     validation, target = k13_frame(t)
     inputs = k16_frame(t).withColumn("source_date", F.date_sub("asof_date", 1))
     return I.readiness(inputs.drop("market_forecast_score"), target, validation, ["market_state_label"], "source_date")["leakage"]
+
+
+# -- K15, K18, K19 ---------------------------------------------------------------------------------------
+
+from tidemark.plans import panels as PN  # noqa: E402
+from tidemark.plans import state as S  # noqa: E402
+from tidemark.plans import walkforward as WF  # noqa: E402
+
+RIDGE_FEATURES = ["trend_score", "breadth_score", "risk_on_score", "risk_off_score", "market_vol_20d", "kospi_ret_1m"]
+
+
+@query("k15_calibrated_forecast")
+def k15(t):
+    market, _ = k1_frames(t)
+    target = T.forecast_targets(k12_closes(t)).select(*T.KEYS, "target_forward_return")
+    rows = target.join(market.select("asof_date", "market_scope", *RIDGE_FEATURES), ["asof_date", "market_scope"])
+    out = WF.walk_forward_ridge(rows, ["market_scope", "forecast_horizon"], "asof_date", RIDGE_FEATURES, "target_forward_return", embargo_rows=20)
+    return out.select(*T.KEYS, "training_sample_count", rd("predicted_forward_return").alias("predicted_forward_return"), rd("calibrated_forecast_score", 4).alias("calibrated_forecast_score"),
+                      "calibrated_forecast_label", "calibration_confidence_score")
+
+
+def feat_sql(source: str, key: str, date: str, value: str) -> str:
+    p = f"PARTITION BY {key} ORDER BY {date}"
+    ret = lambda n: f"coalesce({value} / nullif(lag({value}, {n}) OVER ({p}), 0) - 1, 0) AS r{n}"
+    return f"""SELECT {key} AS k, {date} AS d, {', '.join(ret(n) for n in (1, 5, 20, 60))}, coalesce({value} - lag({value}, 20) OVER ({p}), 0) AS c20, coalesce({sql_roll('stddev_pop', 'r', 20, 20, p)}, 0) AS vol,
+      {value} / {sql_roll('max', value, 5, 1, p)} - 1 AS dd5, {value} / {sql_roll('max', value, 20, 1, p)} - 1 AS dd20, row_number() OVER ({p}) AS rn FROM (SELECT *, {value} / nullif(lag({value}) OVER ({p}), 0) - 1 AS r FROM {source})"""
+
+
+CTES["k18_f"] = feat_sql("market_prices", "ticker", "date", "close")
+CTES["k18_r"] = feat_sql("daily_obs", "series_id", "asof_date", "value")
+from tidemark.catalog.aggregates import BREADTH  # noqa: E402
+
+CTES["k18_b"] = f"""SELECT date AS d, count(*) AS universe, avg((close > ma20)::INT) AS a20, avg((close > ma60)::INT) AS a60, (count(*) FILTER (chg > 0) + 1)::DOUBLE / (count(*) FILTER (chg < 0) + 1) AS adr,
+  count(*) FILTER (close >= hi) AS highs, count(*) FILTER (close <= lo) AS lows FROM {BREADTH} WHERE rn >= 60 GROUP BY 1"""
+asof = lambda name, cte, key: f"ASOF LEFT JOIN (SELECT * FROM {cte} WHERE k = '{key}') {name} ON s.asof_date >= {name}.d"
+CTES["k18_wide"] = f"""SELECT s.asof_date, m.r1 AS m1, m.r5 AS m5, m.r20 AS m20, m.r60 AS m60, g.r20 AS g20, g.r60 AS g60, l.r20 AS l20, m.vol, m.dd5, m.dd20, coalesce(x.r20, 0) AS fx20, coalesce(i.r20, 0) AS i20, coalesce(b.r20, 0) AS b20,
+  coalesce(o.r20, 0) AS o20, coalesce(sr.c20, 0) AS sc, coalesce(br.c20, 0) AS bc, u.* EXCLUDE (d) FROM (SELECT date AS asof_date FROM market_prices WHERE ticker = 'KOSPI') s
+{asof('m', 'k18_f', 'KOSPI')} {asof('g', 'k18_f', 'KOSDAQ')} {asof('l', 'k18_f', 'KOSPI200')} {asof('x', 'k18_f', 'USDKRW')} {asof('i', 'k18_f', 'INVERSE')} {asof('b', 'k18_f', 'BOND')} {asof('o', 'k18_f', 'GOLD')}
+{asof('sr', 'k18_r', 'DGS2')} {asof('br', 'k18_r', 'DGS10')} ASOF LEFT JOIN k18_b u ON s.asof_date >= u.d WHERE m.rn >= 61 AND g.rn >= 61 AND l.rn >= 21"""
+CTES["k18_score"] = f"""SELECT *, {sql_clip('0.35::DOUBLE * trend + 0.30::DOUBLE * breadth + 0.20::DOUBLE * risk + 0.15::DOUBLE * defensive')} AS total FROM (SELECT asof_date, m20, g20, fx20, b20, o20, i20,
+  {sql_clip('8.0::DOUBLE * m20 + 5.0::DOUBLE * m60 + 6.0::DOUBLE * g20 + 4.0::DOUBLE * g60 + 5.0::DOUBLE * l20 + 3.0::DOUBLE * m5')} AS trend,
+  {sql_clip('3.2::DOUBLE * (a20 - 0.5::DOUBLE) + 2.8::DOUBLE * (a60 - 0.5::DOUBLE) + 0.9::DOUBLE * ln(greatest(adr, 0.000001::DOUBLE)) + 10.0::DOUBLE * (highs - lows)::DOUBLE / greatest(universe, 1)')} AS breadth,
+  {sql_clip('-55.0::DOUBLE * vol + 18.0::DOUBLE * dd5 + 10.0::DOUBLE * dd20')} AS risk,
+  {sql_clip('-15.0::DOUBLE * fx20 - 4.5::DOUBLE * i20 - 6.0::DOUBLE * b20 - 5.0::DOUBLE * o20 - 1.5::DOUBLE * sc - 1.2::DOUBLE * bc')} AS defensive FROM k18_wide)"""
+
+
+def k18_features(t):
+    return S.state_features(t.market_prices.select("ticker", "date", "close"), t.daily_obs, S.universe_breadth(t.stock_prices, "ticker", "date", "close"))
+
+
+@query("k18_component_scores", f"""
+SELECT asof_date, {r('trend', 3)} AS trend_score, {r('breadth', 3)} AS breadth_score, {r('risk', 3)} AS risk_score, {r('defensive', 3)} AS defensive_flow_score, {r('total', 3)} AS total_score,
+  CASE WHEN total IS NULL THEN NULL WHEN total >= 2 THEN '강상승' WHEN total >= 1 THEN '상승' WHEN total >= 0.3 THEN '강보합' WHEN total >= -0.3 THEN '중립' WHEN total >= -1 THEN '약보합' WHEN total >= -2 THEN '하락' ELSE '강하락' END AS state_label FROM k18_score""")
+def k18(t):
+    df = k18_features(t)
+    from tidemark.functions import numeric as N
+
+    parts = N.state_components({**{c: F.col(c) for c in df.columns}, "regime": F.lit(None).cast("double")})
+    from tidemark.functions import labels as L
+
+    return df.withColumns(parts).select("asof_date", *[F.round(c, 3).alias(c) for c in parts], L.state_bucket("total_score").alias("state_label"))
+
+
+@query("k18_state_history", f"""
+SELECT asof_date, label AS state_label, lag(label) OVER (ORDER BY asof_date) AS prev_state_label, CASE WHEN lag(v) OVER (ORDER BY asof_date) IS NULL THEN 'unchanged' WHEN v > lag(v) OVER (ORDER BY asof_date) + 1e-9 THEN 'stronger'
+  WHEN v < lag(v) OVER (ORDER BY asof_date) - 1e-9 THEN 'weaker' ELSE 'unchanged' END AS state_change_direction FROM (SELECT asof_date, v, CASE WHEN v IS NULL THEN NULL WHEN v >= 2 THEN '강상승' WHEN v >= 1 THEN '상승' WHEN v >= 0.3 THEN '강보합' WHEN v >= -0.3 THEN '중립'
+  WHEN v >= -1 THEN '약보합' WHEN v >= -2 THEN '하락' ELSE '강하락' END AS label FROM (SELECT asof_date, {r('total', 4)} AS v FROM k18_score))""")
+def k18_hist(t):
+    return S.state_history(S.state_scores(k18_features(t))).drop("market", "state_score")
+
+
+@query("k19_relative_strength", f"""
+SELECT asof_date, asset_group, {r('ret', 5)} AS ret_20d, {r('z', 4)} AS strength_score, row_number() OVER (PARTITION BY asof_date ORDER BY ret DESC, o) AS strength_rank, CASE WHEN z >= 0.5 THEN '강함' WHEN z <= -0.5 THEN '약함' ELSE '중립' END AS strength_label FROM (
+  SELECT *, coalesce((ret - avg(ret) OVER d) / nullif(stddev_pop(ret) OVER d, 0), 0) AS z FROM (SELECT asof_date, unnest(['KOSPI', 'KOSDAQ', 'USDKRW', 'BOND', 'GOLD', 'INVERSE']) AS asset_group, unnest([0, 1, 2, 3, 4, 5]) AS o, unnest([m20, g20, fx20, b20, o20, i20]) AS ret FROM k18_score)
+  WINDOW d AS (PARTITION BY asof_date))""")
+def k19(t):
+    out = S.relative_strength(k18_features(t))
+    return out.withColumns({"ret_20d": rd("ret_20d", 5), "strength_score": rd("strength_score", 4)})
+
+
+# -- K23-K28 -----------------------------------------------------------------------------------------------
+
+@query("k23_series_catalogue", f"""
+SELECT series_id, min(asof_date) AS start_date, max(asof_date) AS latest_date, count(*) AS point_count, {r('arg_max(value, asof_date)')} AS latest_value, {r('arg_max(coalesce(chg, 1e9), asof_date)')} AS latest_change_value, 'official' AS source_tier,
+  count(*) FILTER (asof_date >= DATE '1999-01-01') AS recent_points FROM (SELECT *, value - lag(value) OVER ({SP}) AS chg FROM daily_obs) GROUP BY 1""")
+def k23(t):
+    out = PN.series_catalogue(t.daily_obs, "series_id", "asof_date", "value", F.lit("fred"), day("1999-01-01"))
+    return out.select("series_id", "start_date", "latest_date", "point_count", rd("latest_value").alias("latest_value"), rd("latest_change_value").alias("latest_change_value"), "source_tier", "recent_points")
+
+
+CTES["k24_points"] = f"""SELECT 'financial_environment' AS series_id, m.asof_date AS date, {r(sql_clip(sql_mean(sql_clip('-pressure'), 'external_asset_risk_on_score', 'us_equity_momentum_score', 'korea_proxy_momentum_score') + ' - ' + sql_mean(sql_clip('pressure'), sql_clip('rate_p'), sql_clip('comm_p'), sql_clip('risk_p'), sql_clip('credit_p')) + ' * 0.7::DOUBLE'), 4)} AS value
+FROM k5_macro m JOIN k6_assets a USING (asof_date)"""
+
+
+@query("k24_composite_chart", """
+SELECT series_id, unnest(generate_series(date, greatest(coalesce(nxt - 1, DATE '2001-12-31'), date), INTERVAL 1 DAY))::DATE AS date, value, date AS source_date,
+  CASE WHEN unnest(generate_series(date, greatest(coalesce(nxt - 1, DATE '2001-12-31'), date), INTERVAL 1 DAY))::DATE = date THEN 'observed' ELSE 'carry_forward' END AS point_type
+FROM (SELECT *, lead(date) OVER (PARTITION BY series_id ORDER BY date) AS nxt FROM k24_points WHERE value IS NOT NULL)""")
+def k24(t):
+    macro, assets = M.macro_context(t.daily_obs, t.monthly_obs), M.asset_context(t.asset_prices)
+    axes = PN.axis_scores(macro.join(assets, "asof_date").drop("unrate"))
+    return PN.composite_chart(axes.select("asof_date", *PN.AXES), day("2001-12-31"))
+
+
+@query("k24_rebased_indices", f"SELECT market_scope, date, {r('close / first_value(close) OVER (PARTITION BY market_scope ORDER BY date) * 100', 4)} AS level FROM scope_prices WHERE date >= DATE '1998-01-01'")
+def k24_idx(t):
+    return PN.rebased_indices(t.scope_prices, "market_scope", "date", "close", day("1998-01-01")).withColumn("level", rd("level", 4))
+
+
+@query("k25_timeline_history", f"""
+SELECT a.asof_ts, a.signal_code, {r('a.change_pct')} AS change_pct, b.n FROM bars a JOIN bars b USING (asof_ts, signal_code) WHERE a.asof_ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-25'""")
+def k25(t):
+    lo, hi = F.lit("2024-01-10").cast("timestamp_ntz"), F.lit("2024-01-25").cast("timestamp_ntz")
+    out = PN.panel_history(t.bars.select("signal_code", "asof_ts", "change_pct"), t.bars.select("signal_code", "asof_ts", "n"), ["signal_code"], lo, hi, "asof_ts")
+    return out.withColumn("change_pct", rd("change_pct"))
+
+
+PSQ = "PARTITION BY market_scope ORDER BY date"
+
+
+@query("k26_index_panel", f"""
+SELECT market_scope, date, {r('r1')} AS ret_1d, {r('r20')} AS ret_20d, {r('vol')} AS realized_vol_20d, {r('dd')} AS drawdown_20d, CASE WHEN r1 > 0 THEN 'up' WHEN r1 < 0 THEN 'down' ELSE 'flat' END AS direction FROM (
+  SELECT *, {sql_roll('stddev_samp', 'lr', 20, 20, PSQ)} * sqrt(252) AS vol, close / {sql_roll('max', 'close', 20, 1, PSQ)} - 1 AS dd FROM (
+    SELECT *, close / lag(close) OVER ({PSQ}) - 1 AS r1, close / lag(close, 20) OVER ({PSQ}) - 1 AS r20, ln(close / lag(close) OVER ({PSQ})) AS lr FROM scope_prices WHERE date <= DATE '2001-06-30'))
+QUALIFY row_number() OVER (PARTITION BY market_scope ORDER BY date DESC) = 1""")
+def k26(t):
+    out = PN.index_panel(t.scope_prices, "market_scope", "date", "close", day("2001-06-30"))
+    return out.select("market_scope", "date", *[rd(c).alias(c) for c in ("ret_1d", "ret_20d", "realized_vol_20d", "drawdown_20d")], "direction")
+
+
+@query("k28_disclosure_summary", """
+SELECT source, lang, count(*) AS filing_count_total, count(*) FILTER (k = 'risk')::BIGINT AS risk_event_count, count(*) FILTER (k = 'funding') AS funding_count, count(*) FILTER (k = 'general') AS general_count,
+  coalesce(array_to_string(list_transform(list_slice(list_sort(list({'o': CASE k WHEN 'risk' THEN 0 ELSE 1 END, 'd': -doc_id}) FILTER (k IN ('risk', 'funding'))), 1, 5), lambda x: (-x.d)::VARCHAR), ','), '') AS highlights FROM (
+  SELECT *, CASE WHEN text LIKE '%exempt%' THEN 'general' WHEN text LIKE '%secret%' OR text LIKE '%password%' OR text LIKE '%error%' THEN 'risk' WHEN text LIKE '%license%' OR text LIKE '%copyright%' THEN 'funding'
+    WHEN text LIKE '%the%' OR text LIKE '%der%' THEN 'general_note' ELSE 'general' END AS k FROM documents) GROUP BY 1, 2""")
+def k28(t):
+    from tidemark.catalog.expressions import SAMPLE_RULES
+
+    events = PN.disclosure_events(t.table("documents").select("doc_id", "source", "lang", "text"), "text", SAMPLE_RULES, ["exempt"]).drop("text")
+    out = PN.disclosure_summary(events, ["source", "lang"], "doc_id", 5)
+    return out.withColumn("highlights", F.array_join(F.transform("highlights", lambda x: x.cast("string")), ","))

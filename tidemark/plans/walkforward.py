@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions import labels as L
 from tidemark.functions.numeric import as_col, clip, ratio
 from tidemark.operators.windows import Axis
 
@@ -26,3 +27,115 @@ def expanding_totals(df: DataFrame, keys: Sequence[str], fold: str, totals: dict
     per = df.groupBy(*keys, fold).agg(*[c.alias(n) for n, c in totals.items()])
     before = Window.partitionBy(*keys).orderBy(fold).rowsBetween(Window.unboundedPreceding, -1 - embargo)
     return per.select(*keys, fold, *[F.sum(n).over(before).alias(n) for n in totals])
+
+
+# -- ridge ---------------------------------------------------------------------------------
+
+
+def training_blocks(df: DataFrame, keys: Sequence[str], order: str, target: str, min_rows: int, refit: int, embargo_rows: int) -> DataFrame:
+    """Fold of every row and the block from which a labelled row enters training.
+
+    A row uses the labelled rows at least ``embargo_rows`` + 1 rows before it; its
+    fold changes every ``refit`` of them once ``min_rows`` are there.
+    """
+    ax = Axis.of(list(keys), order)
+    known = ax.by.rowsBetween(Window.unboundedPreceding, -1 - embargo_rows)
+    count = F.count(target).over(known)
+    label_no = F.count(target).over(ax.so_far)
+    df = df.withColumns({"training_sample_count": count, "__no": label_no})
+    fold = F.when(F.col("training_sample_count") >= min_rows, F.floor((F.col("training_sample_count") - min_rows) / refit).cast("int"))
+    block = F.when(F.col(target).isNotNull(), F.greatest(F.ceil((F.col("__no") - min_rows) / refit), F.lit(0)).cast("int"))
+    return df.withColumns({"__fold": fold, "__block": block}).drop("__no")
+
+
+def _fold_medians(rows: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Exact medians of the training rows of each fold.
+
+    Medians do not add up over blocks, so each labelled row meets the folds after
+    its block; a key has one row per day and a fold per ``refit`` days.
+    """
+    last = rows.groupBy(*keys).agg(F.max("__fold").alias("__last")).where(F.col("__last").isNotNull())
+    train = rows.where(F.col("__block").isNotNull()).join(last, list(keys)).where(F.col("__block") <= F.col("__last"))
+    spread = train.withColumn("__fold", F.explode(F.sequence("__block", "__last")))
+    mids = spread.groupBy(*keys, "__fold").agg(*[F.percentile(f, 0.5).alias(f) for f in features])
+    return mids.select(*keys, "__fold", F.array(*[F.coalesce(f, F.lit(0.0)) for f in features]).alias("medians"))
+
+
+def _fold_grams(rows: DataFrame, keys: Sequence[str], features: Sequence[str], target: str) -> DataFrame:
+    """Upper triangle of the moment matrix of [values, null marks, 1, target] per fold.
+
+    Sums are made per block map-side and accumulated over the blocks of a key.
+    """
+    cells = [*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features], *[F.col(f).isNull().cast("double") for f in features], F.lit(1.0), F.col(target).cast("double")]
+    p = len(cells)
+    z = rows.where(F.col("__block").isNotNull()).select(*keys, "__block", F.array(*cells).alias("z"))
+    pairs = [i * p + j for i in range(p) for j in range(i, p)]
+    long = z.withColumn("pair", F.explode(F.array(*[F.lit(x) for x in pairs])))
+    product = F.get("z", F.floor(F.col("pair") / p).cast("int")) * F.get("z", F.col("pair") % p)
+    blocks = long.groupBy(*keys, "__block", "pair").agg(F.sum(product).alias("s"))
+    upto = Window.partitionBy(*keys, "pair").orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
+    total = blocks.withColumn("s", F.sum("s").over(upto))
+    return total.groupBy(*keys, F.col("__block").alias("__fold")).agg(F.array_sort(F.collect_list(F.struct("pair", "s"))).alias("__g")).select(
+        *keys, "__fold", F.transform("__g", lambda x: x["s"]).alias("gram"))
+
+
+def _solver(k: int, alpha: float):
+    """Coefficients of one fold from its moments; a row is a (2k+2)-wide triangle."""
+    import numpy as np
+
+    @F.pandas_udf("struct<intercept:double,weights:array<double>,target_mean:double,target_std:double,coefficient_norm:double>")
+    def solve(gram: pd.Series, medians: pd.Series) -> pd.DataFrame:
+        p = 2 * k + 2
+        upper = np.triu_indices(p)
+        out = []
+        for g, m in zip(gram, medians):
+            s = np.zeros((p, p))
+            s[upper] = np.asarray(g, dtype=float)
+            s = s + np.triu(s, 1).T
+            t = np.zeros((k + 2, p))
+            t[:k, :k] = np.eye(k)
+            t[:k, k:2 * k] = np.diag(np.asarray(m, dtype=float))
+            t[k, 2 * k] = t[k + 1, 2 * k + 1] = 1.0
+            f = t @ s @ t.T
+            n = f[k, k]
+            mean, ybar = f[:k, k] / n, f[k, k + 1] / n
+            var = np.diag(f)[:k] / n - mean ** 2
+            std = np.sqrt(np.where(var > 1e-12 * np.maximum(1.0, mean ** 2), var, 0.0))
+            std = np.where(std == 0.0, 1.0, std)
+            a = (f[:k, :k] - n * np.outer(mean, mean)) / np.outer(std, std)
+            b = (f[:k, k + 1] - n * mean * ybar) / std
+            beta = np.linalg.pinv(a + alpha * np.eye(k)) @ b
+            spread = max(f[k + 1, k + 1] / n - ybar ** 2, 0.0) ** 0.5
+            w = beta / std
+            out.append((ybar - w @ mean, w.tolist(), ybar, spread or 1.0, float(np.linalg.norm(beta))))
+        return pd.DataFrame(out, columns=["intercept", "weights", "target_mean", "target_std", "coefficient_norm"])
+
+    return solve
+
+
+def walk_forward_ridge(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], target: str, min_rows: int = 252, refit: int = 20,
+                       alpha: float = 1.0, embargo_rows: int = 0) -> DataFrame:
+    """M1, M2. Walk-forward ridge predictions with score, label and confidence.
+
+    Folds are data: moments per refit block are summed once and accumulated, a
+    fold's system is solved from its k x k moments, and predictions are a join
+    and a dot product. ``embargo_rows`` (set it to the horizon) keeps labels whose
+    end lies after the prediction day out of training; 0 uses every earlier row.
+    """
+    rows = training_blocks(df, keys, order, target, min_rows, refit, embargo_rows)
+    rows = rows.withColumns({f: F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")) for f in features})
+    folds = _fold_grams(rows, keys, features, target).join(_fold_medians(rows, keys, features), [*keys, "__fold"])
+    models = folds.withColumn("__m", _solver(len(features), alpha)("gram", "medians")).select(*keys, "__fold", "medians", "__m.*")
+    out = rows.join(models, [*keys, "__fold"], "left")
+    filled = F.array(*[F.coalesce(F.col(f), F.get("medians", F.lit(i))) for i, f in enumerate(features)])
+    dot = F.aggregate(F.zip_with(filled, "weights", lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
+    out = out.withColumn("__pred", F.col("intercept") + dot)
+    out = out.withColumn("__score", clip(ratio(F.col("__pred") - F.col("target_mean"), "target_std")))
+    missing = [as_col(f).isNull().cast("int") for f in features]
+    complete = 1.0 - sum(missing[1:], missing[0]) / len(features)
+    sample = F.least(F.lit(1.0), F.sqrt(F.col("training_sample_count") / 1000.0))
+    signal = F.least(F.lit(1.0), F.abs(F.coalesce("__score", F.lit(0.0))) / 1.5)
+    confidence = F.when(F.col("__pred").isNull(), 0.0).otherwise(F.round(clip(0.45 * sample + 0.35 * complete + 0.20 * signal, 0, 1), 4))
+    return out.withColumns({"predicted_forward_return": F.round("__pred", 8), "calibrated_forecast_score": F.round("__score", 6),
+                            "calibrated_forecast_label": L.calibrated("__score"), "calibration_confidence_score": confidence}).drop(
+        "__pred", "__score", "__fold", "__block", "intercept", "weights", "medians", "target_mean", "target_std")
