@@ -78,3 +78,13 @@ def elapsed_hours(later: Column | str, earlier: Column | str) -> Column:
 def normalise_asof(text: Column | str, now: Column) -> Column:
     """Instant of an ISO text, capped at ``now``."""
     return F.least(F.try_to_timestamp(as_col(text)), now)
+
+
+def as_instant(wall: Column | str) -> Column:
+    """Instant whose UTC wall time is the zone-less timestamp, whatever the session zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), as_col(wall)).cast("timestamp")
+
+
+def as_wall(instant: Column | str) -> Column:
+    """UTC wall time of an instant as a zone-less timestamp."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), as_col(instant).cast("timestamp_ntz"))

@@ -48,6 +48,11 @@ def training_blocks(df: DataFrame, keys: Sequence[str], order: str, target: str,
     return df.withColumns({"__fold": fold, "__block": block}).drop("__no")
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Small frame with heavy work per row over several tasks (adaptive coalescing would leave one)."""
+    return df.repartition(min(df.sparkSession.sparkContext.defaultParallelism, 200), *cols)
+
+
 def _fold_medians(rows: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
     """Exact medians of the training rows of each fold.
 
@@ -56,8 +61,8 @@ def _fold_medians(rows: DataFrame, keys: Sequence[str], features: Sequence[str])
     """
     last = rows.groupBy(*keys).agg(F.max("__fold").alias("__last")).where(F.col("__last").isNotNull())
     train = rows.where(F.col("__block").isNotNull()).join(last, list(keys)).where(F.col("__block") <= F.col("__last"))
-    spread = train.withColumn("__fold", F.explode(F.sequence("__block", "__last")))
-    mids = spread.groupBy(*keys, "__fold").agg(*[F.percentile(f, 0.5).alias(f) for f in features])
+    reached = spread(train, *keys, "__block").withColumn("__fold", F.explode(F.sequence("__block", "__last")))
+    mids = reached.groupBy(*keys, "__fold").agg(*[F.percentile(f, 0.5).alias(f) for f in features])
     return mids.select(*keys, "__fold", F.array(*[F.coalesce(f, F.lit(0.0)) for f in features]).alias("medians"))
 
 
@@ -70,7 +75,7 @@ def _fold_grams(rows: DataFrame, keys: Sequence[str], features: Sequence[str], t
     p = len(cells)
     z = rows.where(F.col("__block").isNotNull()).select(*keys, "__block", F.array(*cells).alias("z"))
     pairs = [i * p + j for i in range(p) for j in range(i, p)]
-    long = z.withColumn("pair", F.explode(F.array(*[F.lit(x) for x in pairs])))
+    long = spread(z, *keys, "__block").withColumn("pair", F.explode(F.array(*[F.lit(x) for x in pairs])))
     product = F.get("z", F.floor(F.col("pair") / p).cast("int")) * F.get("z", F.col("pair") % p)
     blocks = long.groupBy(*keys, "__block", "pair").agg(F.sum(product).alias("s"))
     upto = Window.partitionBy(*keys, "pair").orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
