@@ -1 +1,199 @@
-"""Registered queries."""
+"""Model queries (M1-M18) on daily direction and return datasets of the sample tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.catalog.expressions import rd
+from tidemark.catalog.registry import CTES, query, r
+from tidemark.operators import metrics as M
+from tidemark.operators import windows as W
+from tidemark.operators.windows import Axis
+from tidemark.plans import context as C
+from tidemark.plans import models as MD
+from tidemark.plans import walkforward as WF
+from tidemark.plans.backtest import PROBS
+from tidemark.plans.research import axis_dataset
+
+SCOPE = Axis.of("market_scope", "date")
+PS = "PARTITION BY market_scope ORDER BY date"
+FEATURES = ["ret_1m", "ret_3m", "vol_20d", "mdd_3m", "above_sma20", "above_sma60", "trading_value_expansion_ratio"]
+
+
+def features(t):
+    return C.proxy_features(t.scope_prices, "market_scope").withColumnRenamed("date", "asof_date")
+
+
+def directions(t):
+    labels = axis_dataset(t.scope_prices, {5: "forward_return_5d"}).withColumnRenamed("direction_label_3class_5d", "label")
+    return features(t).join(labels.select("asof_date", "market_scope", "label", "direction_label_5d"), ["asof_date", "market_scope"])
+
+
+def returns(t):
+    fwd = t.scope_prices.select("market_scope", F.col("date").alias("asof_date"), W.forward_return(SCOPE, "close", 5).alias("target"))
+    return features(t).join(fwd, ["asof_date", "market_scope"])
+
+
+def probabilities(df, keys):
+    return df.select(*keys, *[rd(c, 4).alias(c) for c in PROBS.values()])
+
+
+@query("m1_walk_forward_ridge")
+def m1(t):
+    out = WF.walk_forward_ridge(returns(t), ["market_scope"], "asof_date", FEATURES, "target", embargo_rows=5)
+    return out.select("market_scope", "asof_date", "training_sample_count", rd("predicted_forward_return").alias("prediction"), "calibrated_forecast_label", "calibration_confidence_score")
+
+
+CTES["m_pred"] = f"""SELECT market_scope, date, forecast_horizon, real, lag(x, 1) OVER (PARTITION BY market_scope, forecast_horizon ORDER BY date) AS a, lag(x, 2) OVER (PARTITION BY market_scope, forecast_horizon ORDER BY date) AS b FROM (
+  SELECT market_scope, date, h.h AS forecast_horizon, CASE h.h WHEN '5d' THEN r5 ELSE r20 END AS real, x FROM (
+    SELECT market_scope, date, lead(close, 5) OVER ({PS}) / close - 1 AS r5, lead(close, 20) OVER ({PS}) / close - 1 AS r20, close / 250000.0::DOUBLE - 1 AS x FROM scope_prices), (VALUES ('5d'), ('20d')) h(h))"""
+
+
+def stand_in(t):
+    """Two lagged level predictions against forward returns, per scope and horizon."""
+    rows = t.scope_prices.withColumns({"__5d": W.forward_return(SCOPE, "close", 5), "__20d": W.forward_return(SCOPE, "close", 20), "x": F.col("close") / 250000.0 - 1})
+    long = rows.select("market_scope", "date", "x", F.explode(F.array(*[F.struct(F.lit(h).alias("forecast_horizon"), F.col(f"__{h}").alias("real")) for h in ("5d", "20d")])).alias("e"))
+    ax = Axis.of(["market_scope", "forecast_horizon"], "date")
+    long = long.select("market_scope", "date", "x", "e.*")
+    return long.withColumns({"a": F.lag("x", 1).over(ax.by), "b": F.lag("x", 2).over(ax.by)})
+
+
+CMP = """SELECT market_scope, forecast_horizon, count(*) AS n, corr(a, real) AS ca, corr(b, real) AS cb, avg(((a > 0) = (real > 0))::INT) AS ha, avg(((b > 0) = (real > 0))::INT) AS hb, avg(abs(a - real)) AS ea, avg(abs(b - real)) AS eb
+FROM m_pred WHERE a IS NOT NULL AND b IS NOT NULL AND real IS NOT NULL GROUP BY 1, 2"""
+
+
+@query("m14_model_comparison", f"SELECT market_scope, forecast_horizon, n AS overlap_rows, {r('ca - cb')} AS corr_diff, {r('ha - hb')} AS hit_diff, {r('ea - eb')} AS mae_diff FROM ({CMP})")
+def m14(t):
+    return MD.compare_models(stand_in(t), "a", "b", "real").select("market_scope", "forecast_horizon", "overlap_rows", *[rd(f"{c}_diff").alias(f"{c}_diff") for c in ("corr", "hit", "mae")])
+
+
+@query("m14_comparison_decision", f"""
+SELECT *, CASE WHEN corr_wins >= 2 AND hit_wins >= 2 THEN 'promote_candidate' ELSE 'keep_primary' END AS decision FROM (
+  SELECT count(*) FILTER (ca - cb > 0) AS corr_wins, count(*) FILTER (ha - hb > 0) AS hit_wins, count(*) FILTER (ea - eb < 0) AS mae_wins, count(*) AS total FROM ({CMP}) WHERE forecast_horizon = '20d')""")
+def m14_decision(t):
+    return MD.comparison_decision(MD.compare_models(stand_in(t), "a", "b", "real"))
+
+
+@query("m5_promotion_gate", """
+SELECT passed, CASE WHEN passed >= 2 THEN 'promote_candidate' ELSE 'research_only' END AS status FROM (SELECT count(*) FILTER (forecast_horizon = '20d' AND c >= -0.2 AND h >= 0.4) AS passed FROM (
+  SELECT market_scope, forecast_horizon, corr(a, real) AS c, avg((sign(a) = sign(real))::INT) AS h FROM m_pred WHERE a IS NOT NULL AND real IS NOT NULL GROUP BY 1, 2))""")
+def m5(t):
+    metrics = stand_in(t).groupBy("market_scope", "forecast_horizon").agg(*M.regression_errors("a", "real"))
+    return MD.promotion_gate(metrics, min_corr=-0.2, min_hit=0.4)
+
+
+@query("m3_chronological_split", """
+SELECT market_scope, (rn <= floor(n * 0.8))::INT AS is_train, count(*) AS n, min(date) AS first_date, max(date) AS last_date FROM (SELECT *, row_number() OVER (PARTITION BY market_scope ORDER BY date) AS rn, count(*) OVER (PARTITION BY market_scope) AS n FROM scope_prices) GROUP BY 1, 2""")
+def m3_split(t):
+    from tidemark.plans.model_input import chronological_split
+
+    rows = chronological_split(t.scope_prices, ["market_scope"], "date")
+    return rows.groupBy("market_scope", F.col("is_train").cast("int").alias("is_train")).agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+@query("m16_holdout_split", """
+SELECT market_scope, (rn <= least(greatest(floor(n * 0.8), n - 500), n - 50))::INT AS is_train, count(*) AS n, max(date) AS last_date FROM (SELECT *, row_number() OVER (PARTITION BY market_scope ORDER BY date) AS rn, count(*) OVER (PARTITION BY market_scope) AS n FROM scope_prices) GROUP BY 1, 2""")
+def m16_split(t):
+    rows = MD.holdout_split(t.scope_prices, ["market_scope"], "date")
+    return rows.groupBy("market_scope", F.col("is_train").cast("int").alias("is_train")).agg(F.count(F.lit(1)).alias("n"), F.max("date").alias("last_date"))
+
+
+@query("m6_capped_categories", """
+SELECT coalesce(CASE WHEN rk <= 12 THEN p_brand ELSE 'infrequent' END, 'none') AS category, sum(n)::BIGINT AS n FROM (SELECT p_brand, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, p_brand) AS rk FROM part GROUP BY 1) GROUP BY 1""")
+def m6(t):
+    rows = MD.capped_category(t.table("part"), "p_brand", "category", 12)
+    return rows.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("p22_feature_usability", f"""
+SELECT market_scope, unnest(['value', 'flat']) AS feature, unnest([count(value), count(*)]) AS present, unnest([min(value) < max(value), false]) AS varies FROM scope_prices GROUP BY 1""")
+def p22(t):
+    rows = t.scope_prices.withColumn("flat", F.lit(1.0))
+    return M.feature_usability(rows, ["market_scope"], ["value", "flat"]).drop("rows")
+
+
+@query("p21_feature_columns")
+def p21(t):
+    from tidemark.plans.model_input import feature_columns, score_direction
+
+    df = features(t)
+    names = feature_columns(df.schema, keys=("asof_date", "market_scope"), numeric_only=True)
+    cells = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(score_direction(n)).alias("direction"), F.count(n).alias("present")) for n in names])
+    return df.agg(cells.alias("c")).select(F.explode("c").alias("x")).select("x.*")
+
+
+@query("m3_holdout_regression")
+def m3(t):
+    out = MD.holdout_regression(returns(t), ["market_scope"], "asof_date", FEATURES, "target")
+    return out.groupBy("market_scope").agg(*M.regression_errors("prediction", "target")).select("market_scope", "n", rd("mae", 4).alias("mae"), rd("rmse", 4).alias("rmse"))
+
+
+@query("m4_walk_forward_candidates")
+def m4(t):
+    out = WF.walk_forward_candidates(returns(t), ["market_scope"], "asof_date", FEATURES[:4], "target", embargo_rows=5)
+    return out.where(F.col("prediction").isNotNull()).groupBy("market_scope", "model").agg(*M.regression_errors("prediction", "target")).select("market_scope", "model", "n", rd("mae").alias("mae"))
+
+
+def run(t, kind, first_year, fit=None):
+    return MD.walk_forward_direction(directions(t), ["market_scope"], "asof_date", FEATURES, "label", kind, first_year=first_year, fit=fit)
+
+
+@query("m7_logistic_directions")
+def m7(t):
+    out, _ = run(t, "logistic", 1998)
+    return probabilities(out, ["market_scope", "asof_date", "test_year", "actual_label"])
+
+
+@query("m7_forest_directions")
+def m7_forest(t):
+    out, _ = run(t, "random_forest", 2000)
+    return probabilities(out, ["market_scope", "asof_date", "test_year", "actual_label"])
+
+
+@query("m7_boosted_directions")
+def m7_boosted(t):
+    out, _ = run(t, "boosted", 2001)
+    return probabilities(out, ["market_scope", "asof_date", "test_year", "actual_label"])
+
+
+@query("m8_sigmoid_calibration")
+def m8(t):
+    out, _ = run(t, "logistic", 2001, MD.sigmoid_calibrated)
+    return probabilities(out, ["market_scope", "asof_date", "test_year", "actual_label"])
+
+
+@query("m9_coefficients")
+def m9(t):
+    _, models = run(t, "logistic", 2000)
+    return MD.coefficients(models, t.spark).withColumn("coefficient", rd("coefficient", 4))
+
+
+@query("m16_holdout_directions")
+def m16(t):
+    out = MD.holdout_direction(directions(t), ["market_scope"], "asof_date", FEATURES, "label")
+    return probabilities(out, ["market_scope", "asof_date", "actual_label", "latest"])
+
+
+@query("m17_raw_against_calibrated")
+def m17(t):
+    raw, _ = run(t, "logistic", 2001)
+    calibrated, _ = run(t, "logistic", 2001, MD.sigmoid_calibrated)
+    both = raw.withColumn("model", F.lit("raw")).unionByName(calibrated.withColumn("model", F.lit("sigmoid")))
+    from tidemark.functions import labels as L
+    from tidemark.plans.backtest import run_backtest, with_confidence
+
+    decided = with_confidence(both.withColumn("predicted_direction", L.argmax_label(PROBS)))
+    exposed = decided.withColumns({"exposure": L.lookup({"up": 1.0, "sideways": 0.5, "down": 0.0}, "predicted_direction"), "low_confidence": F.lit(0.0)})
+    nxt = t.scope_prices.select(F.col("date").alias("asof_date"), "market_scope", (W.forward_return(SCOPE, "close", 1) / 50).alias("next_return"))
+    keys = ["model", "market_scope"]
+    card = run_backtest(exposed, nxt, keys=keys)[1].select(*keys, rd("sharpe", 3).alias("sharpe"))
+    quality = M.classification_scorecard(decided, keys, "actual_label", "predicted_direction").select(*keys, rd("balanced_accuracy", 3).alias("balanced_accuracy"))
+    stats = MD.confidence_stats(decided, keys, 0.4).select(*keys, rd("mean_confidence", 3).alias("mean_confidence"))
+    return card.join(quality, keys).join(stats, keys)
+
+
+@query("m18_logistic_diagnostics")
+def m18(t):
+    out, models = run(t, "logistic", 2000)
+    pack = MD.logistic_diagnostics(out, MD.coefficients(models, t.spark), ["market_scope"])
+    return pack["importance"].select("class", "feature", rd("mean_coefficient", 3).alias("mean_coefficient"), "positive_years", "negative_years", "years")

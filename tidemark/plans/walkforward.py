@@ -84,10 +84,27 @@ def _fold_grams(rows: DataFrame, keys: Sequence[str], features: Sequence[str], t
         *keys, "__fold", F.transform("__g", lambda x: x["s"]).alias("gram"))
 
 
-def _solver(k: int, alpha: float):
-    """Coefficients of one fold from its moments; a row is a (2k+2)-wide triangle."""
+def _solver(k: int, alpha: float, l1: float = 0.0, l2: float = 0.0, sweeps: int = 500):
+    """Coefficients of one fold from its moments; a row is a (2k+2)-wide triangle.
+
+    ``alpha`` is the ridge penalty on standardised columns. With ``l1`` or ``l2``
+    the elastic net (1/2n)|y - Xb|^2 + l1 |b|_1 + l2/2 |b|^2 is solved instead, by
+    coordinate steps on the same moments.
+    """
     import numpy as np
 
+    def shrunk(a, b, n):
+        beta = np.zeros(k)
+        for _ in range(sweeps):
+            before = beta.copy()
+            for j in range(k):
+                rho = (b[j] - a[j] @ beta + a[j, j] * beta[j]) / n
+                scale = a[j, j] / n + l2
+                beta[j] = np.sign(rho) * max(abs(rho) - l1, 0.0) / scale if scale > 0 else 0.0
+            if np.max(np.abs(beta - before), initial=0.0) < 1e-12:
+                break
+        return beta
+
     @F.pandas_udf("struct<intercept:double,weights:array<double>,target_mean:double,target_std:double,coefficient_norm:double>")
     def solve(gram: pd.Series, medians: pd.Series) -> pd.DataFrame:
         p = 2 * k + 2
@@ -109,7 +126,7 @@ def _solver(k: int, alpha: float):
             std = np.where(std == 0.0, 1.0, std)
             a = (f[:k, :k] - n * np.outer(mean, mean)) / np.outer(std, std)
             b = (f[:k, k + 1] - n * mean * ybar) / std
-            beta = np.linalg.pinv(a + alpha * np.eye(k)) @ b
+            beta = shrunk(a, b, n) if l1 or l2 else np.linalg.pinv(a + alpha * np.eye(k)) @ b
             spread = max(f[k + 1, k + 1] / n - ybar ** 2, 0.0) ** 0.5
             w = beta / std
             out.append((ybar - w @ mean, w.tolist(), ybar, spread or 1.0, float(np.linalg.norm(beta))))
@@ -119,8 +136,8 @@ def _solver(k: int, alpha: float):
 
 
 def walk_forward_ridge(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], target: str, min_rows: int = 252, refit: int = 20,
-                       alpha: float = 1.0, embargo_rows: int = 0) -> DataFrame:
-    """M1, M2. Walk-forward ridge predictions with score, label and confidence.
+                       alpha: float = 1.0, embargo_rows: int = 0, l1: float = 0.0, l2: float = 0.0) -> DataFrame:
+    """M1, M2, M4. Walk-forward ridge predictions with score, label and confidence.
 
     Folds are data: moments per refit block are summed once and accumulated, a
     fold's system is solved from its k x k moments, and predictions are a join
@@ -130,7 +147,7 @@ def walk_forward_ridge(df: DataFrame, keys: Sequence[str], order: str, features:
     rows = training_blocks(df, keys, order, target, min_rows, refit, embargo_rows)
     rows = rows.withColumns({f: F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")) for f in features})
     folds = _fold_grams(rows, keys, features, target).join(_fold_medians(rows, keys, features), [*keys, "__fold"])
-    models = folds.withColumn("__m", _solver(len(features), alpha)("gram", "medians")).select(*keys, "__fold", "medians", "__m.*")
+    models = folds.withColumn("__m", _solver(len(features), alpha, l1, l2)("gram", "medians")).select(*keys, "__fold", "medians", "__m.*")
     out = rows.join(models, [*keys, "__fold"], "left")
     filled = F.array(*[F.coalesce(F.col(f), F.get("medians", F.lit(i))) for i, f in enumerate(features)])
     dot = F.aggregate(F.zip_with(filled, "weights", lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
@@ -144,3 +161,20 @@ def walk_forward_ridge(df: DataFrame, keys: Sequence[str], order: str, features:
     return out.withColumns({"predicted_forward_return": F.round("__pred", 8), "calibrated_forecast_score": F.round("__score", 6),
                             "calibrated_forecast_label": L.calibrated("__score"), "calibration_confidence_score": confidence}).drop(
         "__pred", "__score", "__fold", "__block", "intercept", "weights", "medians", "target_mean", "target_std")
+
+
+# Candidate regressors (elastic net 0.0008 with l1 share 0.15, ridge 3).
+CANDIDATES = {"ridge": {"alpha": 3.0}, "elasticnet": {"l1": 0.0008 * 0.15, "l2": 0.0008 * 0.85}}
+
+
+def walk_forward_candidates(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], target: str, candidates: dict[str, dict] | None = None,
+                            min_rows: int = 756, refit: int = 20, embargo_rows: int = 0) -> DataFrame:
+    """M4. Predictions of every linear candidate in long form (model, keys, order, prediction, target)."""
+    frames = []
+    for name, options in (candidates or CANDIDATES).items():
+        p = walk_forward_ridge(df, keys, order, features, target, min_rows, refit, embargo_rows=embargo_rows, **options)
+        frames.append(p.select(*keys, order, F.lit(name).alias("model"), target, F.col("predicted_forward_return").alias("prediction")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
