@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from tidemark.functions import labels as L
 from tidemark.functions.numeric import as_col, clip, ratio
 from tidemark.operators.windows import Axis
+from tidemark.session import cut_lineage
 
 
 def expanding_totals(df: DataFrame, keys: Sequence[str], fold: str, totals: dict[str, Column], embargo: int = 0) -> DataFrame:
@@ -144,8 +145,9 @@ def walk_forward_ridge(df: DataFrame, keys: Sequence[str], order: str, features:
     and a dot product. ``embargo_rows`` (set it to the horizon) keeps labels whose
     end lies after the prediction day out of training; 0 uses every earlier row.
     """
-    rows = training_blocks(df, keys, order, target, min_rows, refit, embargo_rows)
-    rows = rows.withColumns({f: F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")) for f in features})
+    rows = df.withColumns({f: F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")) for f in features})
+    # Moments, medians and predictions all read the dataset: it is computed once.
+    rows = cut_lineage(training_blocks(rows, keys, order, target, min_rows, refit, embargo_rows))
     folds = _fold_grams(rows, keys, features, target).join(_fold_medians(rows, keys, features), [*keys, "__fold"])
     models = folds.withColumn("__m", _solver(len(features), alpha, l1, l2)("gram", "medians")).select(*keys, "__fold", "medians", "__m.*")
     out = rows.join(models, [*keys, "__fold"], "left")
