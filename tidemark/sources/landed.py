@@ -83,10 +83,9 @@ def treasury_yields(df: DataFrame, entry: str = "entry") -> DataFrame:
 
 
 def read_treasury_feed(spark: SparkSession, path: str) -> DataFrame:
-    """S12. The feed file itself, split into entries by the XML reader."""
-    raw = spark.read.format("xml").option("rowTag", "m:properties").option("ignoreNamespace", "true").load(path)
-    wanted = ["NEW_DATE", *TREASURY_FIELDS]
-    return _tenors(raw.select(*[(F.col(c).cast("string") if c in raw.columns else F.lit(None).cast("string")).alias(c) for c in wanted]))
+    """S12. The feed file itself, split at its property records by the XML reader."""
+    shape = ", ".join(f"{c} string" for c in ("NEW_DATE", *TREASURY_FIELDS))
+    return _tenors(spark.read.format("xml").option("rowTag", "properties").option("ignoreNamespace", "true").schema(shape).load(path))
 
 
 def _tenors(p: DataFrame) -> DataFrame:
