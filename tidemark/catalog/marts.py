@@ -653,3 +653,66 @@ def k28(t):
     events = PN.disclosure_events(t.table("documents").select("doc_id", "source", "lang", "text"), "text", SAMPLE_RULES, ["exempt"]).drop("text")
     out = PN.disclosure_summary(events, ["source", "lang"], "doc_id", 5)
     return out.withColumn("highlights", F.array_join(F.transform("highlights", lambda x: x.cast("string")), ","))
+
+
+# -- K27, Q6, P23 -----------------------------------------------------------------------------------------
+
+PREVIEW_CODES = {"click": "KOSPI200_NIGHT_FUT", "view": "KOREA_PROXY_EWY", "purchase": "SP500_FUT", "signup": "NASDAQ100_FUT", "error": "WTI"}
+PREVIEW_COLS = {"click": "night", "view": "proxy", "purchase": "sp", "signup": "nq", "error": "oil"}
+CTES["k27_wide"] = "SELECT date_trunc('hour', ts) AS h, " + ", ".join(
+    f"sum(CAST(round(value * 100) AS BIGINT) - 5000) FILTER (event_type = '{e}')::DOUBLE / count(*) FILTER (event_type = '{e}') / 500000.0::DOUBLE AS {c}" for e, c in PREVIEW_COLS.items()) + ", count(*) FILTER (event_type = 'error') AS risk FROM events GROUP BY 1"
+num = lambda pairs: " + ".join(f"coalesce({x} * {d_(w)}, 0)" for x, w in pairs)
+den = lambda pairs: " + ".join(f"(CASE WHEN {x} IS NOT NULL THEN {d_(w)} ELSE 0 END)" for x, w in pairs)
+FUTS = [("10 * night", 0.4), ("10 * proxy", 0.2), ("10 * sp", 0.2), ("10 * nq", 0.2)]
+WORLD = [("8 * sp", 0.45), ("8 * nq", 0.45), ("-3 * coalesce(oil, 0)", 0.10)]
+CTES["k27_bias"] = f"""SELECT h, night, proxy, {r('fut', 4)} AS futures_bias, {r('world', 4)} AS global_risk_bias, {r(sql_clip('0.45::DOUBLE * fut + 0.35::DOUBLE * world'), 4)} AS score FROM (SELECT *,
+  {sql_clip(f'coalesce(({num(FUTS)}) / nullif({den(FUTS)}, 0), 0::DOUBLE)')} AS fut, {sql_clip(f'coalesce(({num(WORLD)}) / nullif({den(WORLD)}, 0), 0::DOUBLE) - (greatest(5 * coalesce(oil, 0), 0::DOUBLE) + least(0.25::DOUBLE * risk, 1::DOUBLE))')} AS world FROM k27_wide)"""
+CTES["k27_label"] = "SELECT *, CASE WHEN score >= 1.2 THEN '장초반 우호 가능성' WHEN score >= 0.4 THEN '장초반 우호 흐름' WHEN score <= -1.2 THEN '장초반 부담 가능성' WHEN score <= -0.4 THEN '장초반 경계 흐름' ELSE '혼조 출발 가능성' END AS label FROM k27_bias"
+
+
+@query("k27_preview_states", """
+SELECT h, futures_bias, global_risk_bias, score AS next_day_score, label AS preview_label, CASE WHEN night IS NULL AND proxy IS NULL THEN 'unavailable' WHEN night IS NULL OR proxy IS NULL THEN 'single_source' WHEN sign(night) = sign(proxy) THEN 'aligned' ELSE 'mixed' END AS alignment,
+  (h::TIME >= TIME '18:00:00' OR h::TIME <= TIME '08:30:00')::INT AS active, CASE WHEN lag(score) OVER w IS NULL THEN 1 WHEN label <> lag(label) OVER w OR abs(score - lag(score) OVER w) >= 0.35 OR sign(futures_bias) <> sign(lag(futures_bias) OVER w) THEN 1 ELSE 0 END AS material_change
+FROM k27_label WINDOW w AS (ORDER BY h)""")
+def k27(t):
+    from tidemark.sources.sample import cents, mapped
+
+    e = t.table("events").withColumns({"h": F.date_trunc("hour", "ts").cast("timestamp_ntz"), "market": F.lit("KR"), "asset_code": mapped(PREVIEW_CODES, "event_type")})
+    change = F.sum(cents("value") - 5000).cast("double") / F.count(F.lit(1)) / 500000.0
+    assets = e.groupBy("market", "h", "asset_code").agg(change.alias("change_pct"))
+    news = e.groupBy("market", "h").agg(F.count_if(F.col("event_type") == "error").alias("risk_headlines"))
+    out = PN.preview_states(assets, news, ["market"], "h")
+    return out.select("h", "futures_bias", "global_risk_bias", "next_day_score", "preview_label", "alignment", "active", "material_change")
+
+
+@query("q6_signal_quality", """
+WITH s AS (SELECT DISTINCT market_scope, forecast_horizon, asof_date FROM predictions WHERE asof_date = (SELECT max(asof_date) FROM predictions))
+SELECT 'error' AS kind, 'stale_signal' AS check_name, max(asof_date)::VARCHAR AS detail FROM s HAVING DATE '2002-01-01' - max(asof_date) > 7
+UNION ALL SELECT 'error', 'missing_market_horizon', g.m || ':' || h.h FROM (VALUES ('KOSPI'), ('KOSDAQ'), ('KOSPI200')) g(m), (VALUES ('5d'), ('20d'), ('60d')) h(h) WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.market_scope = g.m AND s.forecast_horizon = h.h)
+UNION ALL SELECT 'error', 'non_investable_scope', forecast_horizon FROM s WHERE market_scope = 'KOSPI200'
+UNION ALL SELECT 'warning', 'daily_source_older_than_signal', market_scope || ':' || latest::VARCHAR FROM (SELECT market_scope, max(date) - 3 AS latest FROM scope_prices GROUP BY 1) WHERE latest < (SELECT max(asof_date) FROM s)""")
+def q6(t):
+    from tidemark.plans.handoff import signal_quality
+
+    p = t.predictions
+    newest = p.where(F.col("asof_date") == p.agg(F.max("asof_date")).scalar()).select("market_scope", "forecast_horizon", "asof_date").distinct()
+    sources = t.scope_prices.groupBy("market_scope").agg(F.date_sub(F.max("date"), 3).alias("latest_date"))
+    return signal_quality(newest, day("2002-01-01"), 7, ["KOSPI", "KOSDAQ", "KOSPI200"], ["5d", "20d", "60d"], sources, forbidden="KOSPI200")
+
+
+@query("p23_feature_cap", """
+SELECT feature FROM (SELECT unnest(['s1', 's2', 's3', 'u1']) AS feature, unnest([1, 2, 3, 4]) AS o, unnest([count(s1), count(s2), count(s3), count(u1)]) AS n, unnest([min(s1) < max(s1), min(s2) < max(s2), min(s3) < max(s3), min(u1) < max(u1)]) AS v, count(*) AS total FROM scores)
+WHERE n >= total * 0.95 AND v ORDER BY o LIMIT 2""")
+def p23(t):
+    from tidemark.plans.models import feature_cap
+
+    return feature_cap(t.scores, ["s1", "s2", "s3", "u1"], 0.95, 2).select("feature")
+
+
+@query("p41_score_directions")
+def p41(t):
+    market, _ = k1_frames(t)
+    tagged = I.with_directions(market)
+    cells = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.metadata["score_direction"]).alias("direction"), F.count(f.name).alias("present"))
+             for f in tagged.schema if "score_direction" in f.metadata]
+    return tagged.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("x")).select("x.*")

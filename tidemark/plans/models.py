@@ -153,11 +153,11 @@ def usable_features(df: DataFrame, features: Sequence[str], min_present: int = 3
     return [f for f in features if f in found]
 
 
-def capped_features(df: DataFrame, features: Sequence[str], min_share: float = 0.03, limit: int = 64) -> list[str]:
-    """P23. First ``limit`` curated features that are present often enough and vary."""
-    rows = M.feature_usability(df, [], features).where((F.col("present") >= F.col("rows") * min_share) & F.col("varies")).collect()
-    found = {r["feature"] for r in rows}
-    return [f for f in features if f in found][:limit]
+def feature_cap(df: DataFrame, features: Sequence[str], min_share: float = 0.03, limit: int = 64) -> DataFrame:
+    """P23. First ``limit`` features, in curated order, that are present often enough and vary."""
+    place = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature"))
+    rows = M.feature_usability(df, [], features).where((F.col("present") >= F.col("rows") * min_share) & F.col("varies"))
+    return rows.withColumn("place", place).orderBy("place").limit(limit)
 
 
 def fit_direction(train: DataFrame, features: Sequence[str], label: str, kind: str):
