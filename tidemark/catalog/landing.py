@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.expressions import rd
 from tidemark.catalog.registry import query, r
-from tidemark.functions import text as X
-from tidemark.plans.specs import MONTHLY_SERIES
 from tidemark.sources import landed as G
 from tidemark.sources import sinks as K
 from tidemark.sources import tables as B

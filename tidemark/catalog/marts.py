@@ -348,7 +348,6 @@ def k11b(t):
 
 # -- K9, K29 -----------------------------------------------------------------------------------
 
-from tidemark.operators import relational as R  # noqa: E402
 from tidemark.plans import flow as FL  # noqa: E402
 from tidemark.plans import model_input as I  # noqa: E402
 from tidemark.plans import targets as T  # noqa: E402

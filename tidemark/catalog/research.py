@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.catalog.aggregates import class_sql
 from tidemark.catalog.expressions import rd
 from tidemark.catalog.registry import CTES, query, r, sql_roll
-from tidemark.operators import metrics as M
-from tidemark.operators import relational as R
 from tidemark.operators import windows as W
 from tidemark.operators.windows import Axis
 from tidemark.plans import backtest as B

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.catalog.aggregates import PKEYS, PRED, class_sql, predicted
 from tidemark.catalog.expressions import rd
 from tidemark.catalog.registry import query, r
-from tidemark.functions import numeric as N
 from tidemark.operators import metrics as M
 from tidemark.operators import relational as R
 from tidemark.operators import windows as W

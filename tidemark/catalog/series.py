@@ -9,7 +9,6 @@ from tidemark.catalog.registry import query, r, sql_clip, sql_mean, sql_roll
 from tidemark.functions import labels as L
 from tidemark.functions import numeric as N
 from tidemark.operators import asof as A
-from tidemark.operators import metrics as M
 from tidemark.operators import relational as R
 from tidemark.operators import windows as W
 from tidemark.operators.windows import Axis

@@ -40,26 +40,9 @@ def grouping_totals(df: DataFrame, date: str, scope: str, member: str, value: st
 # -- ranks and correlations ------------------------------------------------------
 
 def with_average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Average rank (ties share the mean position) without sorting whole groups.
-
-    Equal values are counted first; positions are running sums over the distinct
-    values, split in fixed-width value bands so that a group of any size spreads
-    over many tasks.
-    """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    span = counts.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    banded = counts.join(span, list(keys))
-    width = (F.col("__hi") - F.col("__lo"))
-    band = F.when(width > 0, F.floor((F.col(value) - F.col("__lo")) / width * 255)).otherwise(F.lit(0)).cast("int")
-    banded = banded.withColumn("__band", band).drop("__lo", "__hi")
-    sizes = banded.groupBy(*keys, "__band").agg(F.sum("__n").alias("__s"))
-    before = Window.partitionBy(*keys).orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "__band", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__off"))
-    inside = Window.partitionBy(*keys, "__band").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranks = banded.join(offsets, [*keys, "__band"]).select(
-        *keys, value,
-        (F.col("__off") + F.sum("__n").over(inside) - F.col("__n") + (F.col("__n") + 1) / 2.0).alias(out))
-    return df.join(ranks, [*keys, value], "left")
+    """Average rank (ties share the mean position) without sorting whole groups."""
+    place = ((F.col("__first") + F.col("__last")) / 2.0 + 1.0).alias(out)
+    return df.join(_positions(df, keys, value).select(*keys, value, place), [*keys, value], "left")
 
 
 def spearman(df: DataFrame, keys: Sequence[str], a: str, b: str, out: str = "spearman", min_rows: int = 20) -> DataFrame:
@@ -104,13 +87,21 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     return pos.groupBy(*keys).agg(*aggs)
 
 
+BANDS = 64
+
+
 def _positions(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """First and last zero-based position of every distinct value inside its group."""
+    """First and last zero-based position of every distinct value inside its group.
+
+    Equal values are counted first. The distinct values of a group are cut into
+    bands at approximate quantiles, so a group of any size and shape spreads over
+    many tasks; positions inside a band are running counts on top of the counts of
+    the bands below, hence exact wherever the cuts fall.
+    """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    span = counts.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    width = F.col("__hi") - F.col("__lo")
-    band = F.when(width > 0, F.floor((F.col(value) - F.col("__lo")) / width * 255)).otherwise(F.lit(0)).cast("int")
-    banded = counts.join(span, list(keys)).withColumn("__band", band).drop("__lo", "__hi")
+    cuts = counts.groupBy(*keys).agg(F.percentile_approx(value, [i / BANDS for i in range(1, BANDS)], 1000).alias("__cuts"))
+    band = F.size(F.filter("__cuts", lambda c: c < F.col(value)))
+    banded = counts.join(cuts, list(keys)).withColumn("__band", band).drop("__cuts")
     sizes = banded.groupBy(*keys, "__band").agg(F.sum("__n").alias("__s"))
     before = Window.partitionBy(*keys).orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "__band", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__off"))

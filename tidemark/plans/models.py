@@ -207,8 +207,14 @@ def in_parallel(jobs: Sequence, run, width: int = 4) -> list:
         pool.close()
 
 
+def _no_predictions(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """Empty prediction frame for data too short for any fold."""
+    none = F.lit(None).cast("double")
+    return df.where(F.lit(False)).select(*columns, F.col(label).alias("actual_label"), *[none.alias(p) for p in PROBS.values()])
+
+
 def walk_forward_direction(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], label: str, kind: str, first_year: int = 2022, min_train: int = 400,
-                           min_test: int = 30, fit=None) -> tuple[DataFrame | None, list[tuple[dict, object, list[str]]]]:
+                           min_test: int = 30, fit=None) -> tuple[DataFrame, list[tuple[dict, object, list[str]]]]:
     """M7. Yearly walk-forward class probabilities per key; returns predictions and the fitted models.
 
     The dataset has one row per day and key and is materialised once for all fits.
@@ -230,9 +236,8 @@ def walk_forward_direction(df: DataFrame, keys: Sequence[str], order: str, featu
         return fold, model, usable, scored.select(*keys, order, "test_year", F.col(label).alias("actual_label"), *PROBS.values())
 
     done = in_parallel(folds, run)
-    frames = [d[3] for d in done]
-    predictions = unite(frames).withColumn("model", F.lit(kind)) if frames else None
-    return predictions, [(d[0], d[1], d[2]) for d in done]
+    frames = [d[3] for d in done] or [_no_predictions(data, [*keys, order, "test_year"], label)]
+    return unite(frames).withColumn("model", F.lit(kind)), [(d[0], d[1], d[2]) for d in done]
 
 
 def coefficients(models: Sequence[tuple[dict, object, list[str]]], spark) -> DataFrame:
@@ -242,7 +247,7 @@ def coefficients(models: Sequence[tuple[dict, object, list[str]]], spark) -> Dat
         matrix = model.stages[-1].coefficientMatrix.toArray()
         keyed = tuple(str(v) for k, v in fold.items() if k not in ("n", "past", "kinds"))
         rows += [(*keyed, c, f, float(matrix[i][j])) for i, c in enumerate(CLASSES) for j, f in enumerate(usable)]
-    names = [k for k in (models[0][0] if models else {}) if k not in ("n", "past", "kinds")]
+    names = [k for k in (models[0][0] if models else {"fold": 0}) if k not in ("n", "past", "kinds")]
     return spark.createDataFrame(rows, ", ".join([*[f"{n} string" for n in names], "class string", "feature string", "coefficient double"]))
 
 
@@ -281,7 +286,7 @@ def sigmoid_calibrated(train: DataFrame, features: Sequence[str], label: str, ki
     return score, usable
 
 
-def holdout_direction(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], label: str, kind: str = "logistic", min_rows: int = 200) -> DataFrame | None:
+def holdout_direction(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], label: str, kind: str = "logistic", min_rows: int = 200) -> DataFrame:
     """M13, M16. Holdout predictions per key plus the prediction of the newest row (``latest`` = 1)."""
     present = any_present(*features)
     split = cut_lineage(holdout_split(df.where(F.col(label).isNotNull() & present), keys, order))
@@ -297,7 +302,7 @@ def holdout_direction(df: DataFrame, keys: Sequence[str], order: str, features:
         return out[0].unionByName(out[1]).select(*keys, order, F.col(label).alias("actual_label"), *PROBS.values(), "latest")
 
     frames = in_parallel(groups, run)
-    return unite(frames) if frames else None
+    return unite(frames or [_no_predictions(split, [*keys, order], label).withColumn("latest", F.lit(0))])
 
 
 def holdout_regression(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], target: str, categorical: Sequence[str] = ()) -> DataFrame:
