@@ -576,8 +576,8 @@ def k18(t):
 
 @query("k18_state_history", f"""
 SELECT asof_date, label AS state_label, lag(label) OVER (ORDER BY asof_date) AS prev_state_label, CASE WHEN lag(v) OVER (ORDER BY asof_date) IS NULL THEN 'unchanged' WHEN v > lag(v) OVER (ORDER BY asof_date) + 1e-9 THEN 'stronger'
-  WHEN v < lag(v) OVER (ORDER BY asof_date) - 1e-9 THEN 'weaker' ELSE 'unchanged' END AS state_change_direction FROM (SELECT asof_date, v, CASE WHEN v IS NULL THEN NULL WHEN v >= 2 THEN '강상승' WHEN v >= 1 THEN '상승' WHEN v >= 0.3 THEN '강보합' WHEN v >= -0.3 THEN '중립'
-  WHEN v >= -1 THEN '약보합' WHEN v >= -2 THEN '하락' ELSE '강하락' END AS label FROM (SELECT asof_date, {r('total', 4)} AS v FROM k18_score))""")
+  WHEN v < lag(v) OVER (ORDER BY asof_date) - 1e-9 THEN 'weaker' ELSE 'unchanged' END AS state_change_direction FROM (SELECT asof_date, v, CASE WHEN total IS NULL THEN NULL WHEN total >= 2 THEN '강상승' WHEN total >= 1 THEN '상승' WHEN total >= 0.3 THEN '강보합' WHEN total >= -0.3 THEN '중립'
+  WHEN total >= -1 THEN '약보합' WHEN total >= -2 THEN '하락' ELSE '강하락' END AS label FROM (SELECT asof_date, {r('total', 4)} AS v, total FROM k18_score))""")
 def k18_hist(t):
     return S.state_history(S.state_scores(k18_features(t))).drop("market", "state_score")
 
