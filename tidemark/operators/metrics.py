@@ -100,8 +100,13 @@ def _positions(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     cuts = counts.groupBy(*keys).agg(F.percentile_approx(value, [i / BANDS for i in range(1, BANDS)], 1000).alias("__cuts"))
-    band = F.size(F.filter("__cuts", lambda c: c < F.col(value)))
-    banded = counts.join(cuts, list(keys)).withColumn("__band", band).drop("__cuts")
+    banded = counts.join(cuts, list(keys)).withColumn("__band", F.lit(0))
+    step = BANDS // 2
+    while step:
+        above = F.col(value) > F.get("__cuts", F.col("__band") + (step - 1))
+        banded = banded.withColumn("__band", F.col("__band") + F.when(above, step).otherwise(0))
+        step //= 2
+    banded = banded.drop("__cuts")
     sizes = banded.groupBy(*keys, "__band").agg(F.sum("__n").alias("__s"))
     before = Window.partitionBy(*keys).orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "__band", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__off"))
