@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, token_files
+from tidemark.llm import byte_bpe, quality, token_files
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,13 @@ def op1(spark, folder):
     return token_files.token_file_digests(table(spark, folder, "documents"))
 
 
+@query("op7_weak_supervision")
+def op7(spark, folder):
+    """Counts, base rules and the fitted verdict of all documents."""
+    return quality.verdicts(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"))
+
+
 @query("op10_byte_bpe")
 def op10(spark, folder):
     """Ids of all documents by the rank file, and the bytes decoded from them."""
