@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, quality, token_files
+from tidemark.llm import byte_bpe, ngram_join, quality, token_files
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1(spark, folder):
     return token_files.token_file_digests(table(spark, folder, "documents"))
 
 
+@query("op2_ngram_jaccard")
+def op2(spark, folder):
+    """Near-duplicate components of all documents on five-word shingles."""
+    return ngram_join.components(table(spark, folder, "documents"))
+
+
 @query("op7_weak_supervision")
 def op7(spark, folder):
     """Counts, base rules and the fitted verdict of all documents."""
