@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, ngram_join, quality, token_files
+from tidemark.llm import byte_bpe, kneser_ney, ngram_join, quality, token_files
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op2(spark, folder):
     return ngram_join.components(table(spark, folder, "documents"))
 
 
+@query("op3_kneser_ney")
+def op3(spark, folder):
+    """Log10 probability of all documents under the model of the training ones."""
+    return kneser_ney.scored(table(spark, folder, "documents"))
+
+
 @query("op7_weak_supervision")
 def op7(spark, folder):
     """Counts, base rules and the fitted verdict of all documents."""
