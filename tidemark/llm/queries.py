@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, kneser_ney, ngram_join, quality, token_files
+from tidemark.llm import byte_bpe, kneser_ney, ngram_join, pii, quality, token_files
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op3(spark, folder):
     return kneser_ney.scored(table(spark, folder, "documents"))
 
 
+@query("op6_contextual_pii")
+def op6(spark, folder):
+    """Personal data of all documents: base spans and those found by context."""
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
 @query("op7_weak_supervision")
 def op7(spark, folder):
     """Counts, base rules and the fitted verdict of all documents."""
