@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, kneser_ney, ngram_join, pii, quality, token_files
+from tidemark.llm import byte_bpe, grid_join, kneser_ney, ngram_join, pii, quality, token_files
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,19 @@ def op7(spark, folder):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+@query("op9_grid_order_join", """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS len FROM v WHERE e IS NOT NULL AND list_dot_product(e, e) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.e, b.e) / (a.len * b.len) >= 0.95),
+r AS (WITH RECURSIVE r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a) SELECT a, min(b) AS c FROM r GROUP BY a)
+SELECT v.vec_id, count(l.b) AS n_links, any_value(r.c) AS component_id, v.vec_id = any_value(r.c) AS kept
+FROM v JOIN r ON r.a = v.vec_id LEFT JOIN l ON l.a = v.vec_id GROUP BY v.vec_id""")
+def op9(spark, folder):
+    """Near-duplicate components of all embeddings."""
+    return grid_join.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query("op10_byte_bpe")
 def op10(spark, folder):
     """Ids of all documents by the rank file, and the bytes decoded from them."""
