@@ -16,7 +16,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +30,8 @@ from tidemark.llm.shared import narrow, read_file, scratch, text_pieces, write_f
 
 VOCABULARY, END_ID, NO_ID = "byte_bpe_50k.json", 0, -(1 << 63)
 #: Chunks of text whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r" \s|\s |^ | $")
 
 
 def vocabulary_file(name: str = VOCABULARY) -> str:
@@ -45,6 +46,7 @@ class ChunkEncoder:
     A space between two characters that are not white space always begins a
     match of the byte-level pattern, so a text falls into chunks there and the
     ids of the text are those of its chunks in turn. Chunks repeat, texts don't.
+    ``known`` has chunks without the space in front of them.
     """
 
     def __init__(self, path: str):
@@ -56,31 +58,26 @@ class ChunkEncoder:
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
 
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        for lo in range(0, len(texts), 10_000):
+            for e in self.tokenizer.encode_batch_fast(texts[lo:lo + 10_000], add_special_tokens=False):
+                yield np.asarray(e.ids, self.dtype).tobytes()
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes of ``dtype``."""
-        cut = [self._cut(t) for t in texts]
+        cut = [t.split(" ") for t in texts]
         wanted = set().union(*cut)
-        if len(self.known) + len(wanted) > REMEMBERED:
-            missing = wanted - self.known.keys()
-            if len(self.known) + len(missing) > REMEMBERED:
-                self.known.clear()
-                missing = wanted
-        else:
-            missing = wanted - self.known.keys()
-        fresh = list(missing)
-        for lo in range(0, len(fresh), 10_000):
-            part = fresh[lo:lo + 10_000]
-            for k, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[k] = np.asarray(e.ids, self.dtype).tobytes()
+        odd = {k for k in wanted if not k or k[0].isspace() or k[-1].isspace()}
+        if odd:  # a cut next to white space is no safe one
+            cut = [c if odd.isdisjoint(c) else _SPLIT.split(t) for c, t in zip(cut, texts, strict=True)]
+            wanted = set().union(*cut)
+        missing = list(wanted - self.known.keys())
+        if len(self.known) + len(missing) > REMEMBERED:
+            self.known = {k: self.known[k] for k in wanted & self.known.keys()}
+        self.known.update(zip(missing, self._encoded([" " + k for k in missing]), strict=True))
         get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        if not text:
-            return []
-        parts = _SPLIT.split(text) if _ODD.search(text) else text.split(" ")
-        return [parts[0], *[" " + p for p in parts[1:]]]
+        heads = self._encoded([c[0] for c in cut])
+        return [b"".join([head, *map(get, islice(c, 1, None))]) for head, c in zip(heads, cut, strict=True)]
 
 
 @lru_cache(2)
