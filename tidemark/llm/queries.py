@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, grid_join, kneser_ney, ngram_join, pii, quality, token_files
+from tidemark.llm import byte_bpe, grid_join, kneser_ney, ngram_join, pii, quality, repeats, token_files
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,12 @@ def op7(spark, folder):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+@query("op8_interval_expansion")
+def op8(spark, folder):
+    """All documents without the bytes of strings of 200 bytes that occur more than once."""
+    return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query("op9_grid_order_join", """
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS len FROM v WHERE e IS NOT NULL AND list_dot_product(e, e) > 0),
