@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, grid_join, kneser_ney, ngram_join, pii, quality, repeats, token_files
+from tidemark.llm import byte_bpe, grid_join, kneser_ney, ngram_join, pii, quality, repeats, token_files, toxic_spans
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op3(spark, folder):
     return kneser_ney.scored(table(spark, folder, "documents"))
 
 
+@query("op4_toxic_spans")
+def op4(spark, folder):
+    """Toxicity of all documents."""
+    return toxic_spans.scored(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("spans")
+
+
 @query("op6_contextual_pii")
 def op6(spark, folder):
     """Personal data of all documents: base spans and those found by context."""
