@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, grid_join, kneser_ney, ngram_join, pii, quality, repeats, token_files, toxic_spans
+from tidemark.llm import byte_bpe, grid_join, kneser_ney, mixing, ngram_join, pii, quality, repeats, token_files, toxic_spans
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op4(spark, folder):
     return toxic_spans.scored(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("spans")
 
 
+@query("op5_source_mixing", mixing.oracle())
+def op5(spark, folder):
+    """Weight, probability and decision of all documents."""
+    return mixing.weighted(table(spark, folder, "documents")).withColumns({c: F.round(c, 6) for c in ("weight", "prob")})
+
+
 @query("op6_contextual_pii")
 def op6(spark, folder):
     """Personal data of all documents: base spans and those found by context."""
