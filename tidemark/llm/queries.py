@@ -30,7 +30,15 @@ def op1(spark, folder):
     return token_files.token_file_digests(table(spark, folder, "documents"))
 
 
-@query("op2_ngram_jaccard")
+@query("op2_ngram_jaccard", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM i),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (WITH RECURSIVE r(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a) SELECT a, min(b) AS c FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, r.c AS component_id FROM w JOIN r ON r.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id""")
 def op2(spark, folder):
     """Near-duplicate components of all documents on five-word shingles."""
     return ngram_join.components(table(spark, folder, "documents"))
