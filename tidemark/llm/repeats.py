@@ -35,7 +35,9 @@ from tidemark.llm.shared import _BYTE, _P, _PINV, _powers, mix, narrow, read_fil
 
 LENGTH, GRAM = 200, 64
 #: Bytes looked at together; positions within fit the low bits that break ties of anchors.
-CHUNK, TIE_BITS = 1 << 21, 22
+CHUNK, TIE_BITS = 1 << 19, 20
+#: Text and contexts a task holds at a time.
+PIECE, SENT = 1 << 20, 12 << 20
 
 
 def _window_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -174,7 +176,7 @@ def _text_only(docs: DataFrame) -> DataFrame:
 
 def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[str, int]:
     """Count and expand over all documents; the folder of repeated windows by context, and its number of shards."""
-    spark, count = docs.sparkSession, shards(docs.sparkSession, 1)
+    spark, count = docs.sparkSession, shards(docs.sparkSession, 4)
     seen, windows = scratch(spark, "anchors"), scratch(spark, "windows")
     meta = np.dtype([("key", "<u8"), ("ctx", "<u8"), ("left", "<u2"), ("spare", "<u2"), ("weight", "<u4"), ("size", "<u4")])
 
@@ -191,11 +193,11 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tup
 
         held, n = [], 0
         for b in batches:
-            for _, _, data, offs in text_pieces(b.column(0)):
+            for _, _, data, offs in text_pieces(b.column(0), PIECE):
                 for key, *_ in anchors(data, offs, length, gram):
                     held.append(key)
                     n += len(key)
-                if n > 3_000_000:
+                if n > 1_500_000:
                     yield emit(held)
                     held, n = [], 0
         if n:
@@ -235,7 +237,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tup
 
         rows, held = {}, 0
         for b in batches:
-            for _, _, data, offs in text_pieces(b.column(0)):
+            for _, _, data, offs in text_pieces(b.column(0), PIECE):
                 raw = data.tobytes()
                 for key, a, first, last, ctx in anchors(data, offs, length, gram):
                     hit, _ = known.find(_shard_of(key, count), key)
@@ -247,7 +249,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tup
                             held += hi + length - lo
                         else:
                             got[3] += 1
-                if held > 32 << 20:
+                if held > SENT:
                     yield emit(rows)
                     rows, held = {}, 0
         if rows:
@@ -304,7 +306,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
     def run(batches):
         for b in batches:
-            for lo, hi, data, offs in text_pieces(b.column(1)):
+            for lo, hi, data, offs in text_pieces(b.column(1), PIECE):
                 gone = _covered(data, offs, windows, count, length, gram)
                 rise = gone.copy()
                 rise[1:] &= ~gone[:-1]
