@@ -159,3 +159,24 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, cast; other columns, whatever their names, go no further."""
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in columns.items()])
+
+
+def heaviest(df: DataFrame, column: str, most: int) -> DataFrame:
+    """Rows with the greatest positive counts: as many whole steps of an eighth of a power of two as ``most`` rows hold.
+
+    The driver sees one count a step, not rows of every task.
+    """
+    step = F.floor(8 * F.log2(column))
+    total, cut = 0, None
+    for r in sorted(df.groupBy(step.alias("step")).count().collect(), reverse=True):
+        total += r["count"]
+        if total > most:
+            break
+        cut = r["step"]
+    return df.where(F.lit(False) if cut is None else step >= cut)
+
+
+def thinned(df: DataFrame, hashed, most: int) -> DataFrame:
+    """About ``most`` rows at most, those with the least hashes; all of them where there are fewer."""
+    n = df.count()
+    return df if n <= most else df.where(F.pmod(hashed, F.lit(1 << 31)) < F.lit((1 << 31) * most // n))

@@ -5,11 +5,11 @@ a word (itself and its leading bytes) are counted over all labelled training
 documents, and those that toxic documents hold and others don't are markers. A
 token of a toxic document with a marker is toxic, every other token is not.
 The field has one weight per feature and one per change of tag. It is fitted by
-gradient ascent on a bounded sample of segments (``SEGMENTS`` of ``SEGMENT``
-tokens, those with the least hashes, half of them with toxic tokens if there
-are so many). Forward-backward over whole texts gives each token's marginal;
+gradient ascent on a bounded sample of segments (about ``SEGMENTS`` of
+``SEGMENT`` tokens at most, those with the least hashes, half of them with toxic
+tokens if there are so many). Forward-backward over whole texts gives each token's marginal;
 the greatest and the sum of a document give its score by a logistic curve
-fitted on at most ``CALIBRATED_ON`` labelled training documents.
+fitted on about ``CALIBRATED_ON`` labelled training documents at most.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import _BYTE, _LOWER, _P, _PINV, _powers, mix, narrow, read_file, scratch, shards, stored, text_pieces, word_bounds, write_file
+from tidemark.llm.shared import _BYTE, _LOWER, _P, _PINV, _powers, heaviest, mix, narrow, read_file, scratch, shards, stored, text_pieces, thinned, word_bounds, write_file
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 LEADING = (4, 5, 6, 7, 8)
@@ -176,7 +176,7 @@ def find_markers(docs: DataFrame, files: list) -> np.ndarray:
         return pa.table({"h": pa.array(k[first][good].view(np.int64)), "n": pa.array(a[good])})
 
     found = narrow(docs, doc_id="doc_id", text="text").mapInArrow(count_features, "shard int, block binary").groupBy("shard").applyInArrow(select, "h long, n long")
-    top = found.orderBy(F.desc("n"), "h").limit(MARKERS).toPandas()
+    top = heaviest(stored(found, "markers"), "n", MARKERS).toPandas()
     return np.sort(top["h"].to_numpy(np.int64).view(np.uint64))
 
 
@@ -188,10 +188,13 @@ def _among(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def sample_segments(docs: DataFrame, files: list, markers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, tags, present) of the sampled training segments: at most ``SEGMENTS``, whatever the corpus."""
-    wide = 1 + len(LEADING)
+    """(features, tags, present) of the sampled training segments: about ``SEGMENTS`` at most, whatever the corpus.
 
-    def run(batches):
+    One pass counts the segments of both kinds, a second one sends those whose hash lies below the share wanted.
+    """
+    wide, rows = 1 + len(LEADING), narrow(docs, doc_id="doc_id", text="text")
+
+    def segments(batches):
         for ids, toxic, data, offs in _labelled_pieces(batches, files):
             starts, ends, first = word_bounds(data, offs)
             if not len(starts):
@@ -201,22 +204,31 @@ def sample_segments(docs: DataFrame, files: list, markers: np.ndarray) -> tuple[
             tag = (_among(markers, features).any(1)[codes]) & (toxic[row] == 1)
             part = (np.arange(len(codes)) - first[row]) // SEGMENT
             cut = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (part[1:] != part[:-1])]))
-            stop = np.append(cut[1:], len(codes))
             some = np.add.reduceat(tag.astype(np.int64), cut) > 0
-            name = mix(mix(ids[row[cut]].view(np.uint64)) + part[cut].astype(np.uint64))
-            keep = np.concatenate([np.flatnonzero(g)[np.argsort(name[g])[:SEGMENTS // 2]] for g in (some, ~some & (toxic[row[cut]] == 0))])
-            feats = [features[codes[a:b]].tobytes() for a, b in zip(cut[keep], stop[keep], strict=True)]
-            tags = [tag[a:b].tobytes() for a, b in zip(cut[keep], stop[keep], strict=True)]
-            yield pa.record_batch([pa.array(some[keep]), pa.array((name[keep] >> np.uint64(1)).astype(np.int64)), pa.array(feats, pa.binary()), pa.array(tags, pa.binary())], ["some", "name", "features", "tags"])
-
-    rows = stored(narrow(docs, doc_id="doc_id", text="text").mapInArrow(run, "some boolean, name long, features binary, tags binary"), "segments")
-    got = [r for kind in (True, False) for r in rows.where(F.col("some") == kind).orderBy("name", "features").limit(SEGMENTS // 2).select("features", "tags").collect()]
+            name = mix(mix(ids[row[cut]].view(np.uint64)) + part[cut].astype(np.uint64)) >> np.uint64(1)
+            yield codes, features, tag, cut, np.append(cut[1:], len(codes)), np.where(some, 0, np.where(toxic[row[cut]] == 0, 1, 2)), name
+
+    def count(batches):
+        sums = np.zeros(2, np.int64)
+        for *_, kind, _ in segments(batches):
+            sums += np.bincount(kind, minlength=3)[:2]
+        yield pa.record_batch([pa.array(sums[:1]), pa.array(sums[1:])], ["with_tag", "without"])
+
+    n = rows.mapInArrow(count, "with_tag long, without long").agg(F.sum("with_tag"), F.sum("without")).first()
+    share = np.array([min(1.0, SEGMENTS / 2 / k) if k else 0.0 for k in n] + [0.0])
+
+    def send(batches):
+        for codes, features, tag, start, stop, kind, name in segments(batches):
+            keep = np.flatnonzero(name < share[kind] * 2.0 ** 63)
+            yield pa.record_batch([pa.array([features[codes[start[i]:stop[i]]].tobytes() for i in keep], pa.binary()), pa.array([tag[start[i]:stop[i]].tobytes() for i in keep], pa.binary())], ["features", "tags"])
+
+    got = sorted((bytes(r[0]), bytes(r[1])) for r in rows.mapInArrow(send, "features binary, tags binary").collect())
     x, y, there = np.zeros((len(got), SEGMENT, wide), np.uint64), np.zeros((len(got), SEGMENT), bool), np.zeros((len(got), SEGMENT), bool)
-    for i, r in enumerate(got):
-        n = len(r["tags"])
-        x[i, :n] = np.frombuffer(r["features"], np.uint64).reshape(n, wide)
-        y[i, :n] = np.frombuffer(r["tags"], bool)
-        there[i, :n] = True
+    for i, (features, tags) in enumerate(got):
+        m = len(tags)
+        x[i, :m] = np.frombuffer(features, np.uint64).reshape(m, wide)
+        y[i, :m] = np.frombuffer(tags, bool)
+        there[i, :m] = True
     return x, y, there
 
 
@@ -363,7 +375,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sums = sums.withColumn("held_out", held("doc_id"))
     known = narrow(labels, l_doc="doc_id", toxic="toxic").where("toxic IS NOT NULL").groupBy("l_doc").agg(F.max("toxic").cast("double").alias("toxic"))
     train = sums.where(~F.col("held_out")).select("doc_id", "peak", "mass").join(known, F.col("doc_id") == F.col("l_doc"))
-    got = train.orderBy(F.xxhash64("doc_id"), "doc_id", "peak").limit(CALIBRATED_ON).select("peak", "mass", "toxic").toPandas()
+    got = thinned(stored(train, "curve"), F.xxhash64("doc_id"), CALIBRATED_ON).select("peak", "mass", "toxic").orderBy("peak", "mass", "toxic").toPandas()
     a, b, c = map(float, fit_curve(*(got[k].to_numpy(float) for k in ("peak", "mass", "toxic"))))
     score = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("peak") / 10 + F.lit(c) * F.log1p("mass"))))
     out = sums.withColumn("score", score)
