@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
-from tidemark.llm.shared import narrow, read_file, scratch, stored, write_file
+from tidemark.llm.shared import narrow, read_file, scratch, stored, thinned, write_file
 
 COSINE = 0.95
 DIMENSIONS, CELL_DIMENSIONS, BLOCK, LEAF = 12, 3, 2048, 128
-#: The rotation is fitted on so many vectors, those with the least hashes; any rotation gives the same links.
+#: The rotation is fitted on about so many vectors at most, those with the least hashes; any rotation gives the same links.
 FITTED_ON = 20_000
 
 
@@ -70,7 +70,7 @@ def _rows(vectors: DataFrame) -> DataFrame:
 def rotation(distinct: DataFrame) -> dict[int, np.ndarray]:
     """Leading principal directions per vector length, from a bounded sample."""
     by_size: dict[int, list] = {}
-    for r in distinct.select("size", "unit").orderBy(F.xxhash64("node"), "node").limit(FITTED_ON).collect():
+    for r in thinned(distinct, F.col("node"), FITTED_ON).select("size", "unit").collect():
         by_size.setdefault(r["size"], []).append(np.frombuffer(r["unit"], "<f8"))
     out = {}
     for size, rows in by_size.items():
