@@ -47,11 +47,11 @@ def test_sample(spark):
     assert run(frame(spark, rows)) == plain(rows)
 
 
-@pytest.mark.parametrize("dense", [2, 5])
+@pytest.mark.parametrize("dense", [3])
 def test_dense_columns_lose_no_link(spark, monkeypatch, dense):
     """Chains of edits, near copies around the threshold and a line in most texts, nearly all of it in dense columns."""
     monkeypatch.setattr(ngram_join, "DENSE", dense)
-    monkeypatch.setattr(ngram_join, "FREQUENT_IN_PIECE", 3)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 3)
     line, rows = " ".join(f"line{k}" for k in range(12)), []
     for family in range(4):
         words = prose(50 + family, 90).split(" ")

@@ -2,17 +2,21 @@
 
 Rows of the incidence matrix are distinct sets of word n-grams (documents with
 equal sets are one row), columns are n-grams in one global order: the frequent
-ones last, the others by hash. A pair of sizes a <= b can only reach the
-threshold t when the smaller row has an entry among its first
-``a - ceil(2t/(1+t) a) + 1`` columns that is also among the first
-``b - ceil(t b) + 1`` of the larger row, and when ``a >= t b``. Only those
-entries take part in the product. Columns fall into blocks by hash; a block
-multiplies its part of the matrix with its transpose and adds up how many
-columns each pair shares. Candidates are then checked against whole sets.
+ones last, the others by hash. Only the first ``p(n) = n - ceil(t n) + 1``
+entries of a row of size n take part in the product. Columns fall into blocks
+by hash; a block multiplies its part of the matrix with its transpose, and the
+numbers of shared columns are added up over the blocks.
+
+A pair of sizes a <= b reaches the threshold t only when a >= t b and it has
+``o >= t (a + b) / (1 + t)`` columns in common. Of a row's first entries at most
+``a - o`` are not in the other row, so the pair shares at least the lesser of
+``p(a) - (a - o)`` and ``p(b) - (b - o)`` leading columns. Pairs that share
+fewer are discarded, the others are checked against whole sets.
 
 Columns with more than ``DENSE`` entries are not multiplied out: all their rows
 are linked through one pivot each, and only rows that are still in another
-component than most of the column are paired with it afterwards.
+component than most of the column are paired with it afterwards. The bound of a
+pair is lowered by the dense columns its rows may have in common.
 """
 
 from __future__ import annotations
@@ -30,8 +34,9 @@ from tidemark.llm.shared import hash_words, mix, narrow, read_file, scratch, sha
 WORDS, THRESHOLD = 5, (80, 100)
 #: Columns with more rows than this go the way of pivots; both ways are exact.
 DENSE = 24
-#: N-grams met this often within one piece of text are put last in the order, at most so many; the order never changes a result.
-FREQUENT_IN_PIECE, FREQUENT_KEPT = 6, 100_000
+#: N-grams met in this many documents of a batch, and in so many over all batches, are put last in the order, the most
+#: frequent at most. The order decides how much work there is, never a result.
+FREQUENT_IN_BATCH, FREQUENT, FREQUENT_KEPT, BATCH_GRAMS = 3, 12, 100_000, 4_000_000
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -53,30 +58,46 @@ def shingle_sets(column: pa.Array, k: int = WORDS):
                 sets.append(np.unique(grams[a:b - k + 1]))
             elif b > a:
                 one = np.zeros(1, np.uint64)
-                for w in words[a:b]:
-                    one = mix(one + w * np.uint64(0x8EBC6AF09C88C6E3) + np.uint64(b - a))
+                for j in range(a, b):
+                    one = mix(one + words[j:j + 1] * np.uint64(0x8EBC6AF09C88C6E3) + np.uint64(b - a))
                 sets.append(one)
             else:
                 sets.append(np.empty(0, np.uint64))
         yield lo, hi, sets
 
 
+def _row_name(grams: np.ndarray) -> int | None:
+    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True) if len(grams) else None
+
+
 def prefix_lengths(n, num: int, den: int):
     """(as the larger, as the smaller) row of a pair: number of leading entries that must meet."""
     return n - -(-n * num // den) + 1, n - -(-n * 2 * num // (num + den)) + 1
 
 
 def frequent_grams(docs: DataFrame, k: int = WORDS) -> np.ndarray:
-    """Hashes of n-grams that fill a piece of text somewhere, most frequent kept; sorted by hash, with their counts."""
+    """Hashes of frequent n-grams and their counts, sorted by hash. Only those that fill a batch leave its task."""
 
     def run(batches):
+        def emit(held):
+            h = np.sort(np.concatenate(held))
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+            c = np.diff(np.append(first, len(h)))
+            many = c >= FREQUENT_IN_BATCH
+            return pa.record_batch([pa.array(h[first[many]].view(np.int64)), pa.array(c[many].astype(np.int64))], ["h", "c"])
+
+        held, n = [], 0
         for b in batches:
             for _, _, sets in shingle_sets(b.column(0), k):
-                h, c = np.unique(np.concatenate(sets), return_counts=True)
-                many = c >= FREQUENT_IN_PIECE
-                yield pa.record_batch([pa.array(h[many].view(np.int64)), pa.array(c[many].astype(np.int64))], ["h", "c"])
+                held += sets
+                n += sum(map(len, sets))
+                if n > BATCH_GRAMS:
+                    yield emit(held)
+                    held, n = [], 0
+        if held:
+            yield emit(held)
 
-    met = narrow(docs, text="text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    met = narrow(docs, text="text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT)
     top = met.orderBy(F.desc("c"), "h").limit(FREQUENT_KEPT).toPandas()
     h, c = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     order = np.argsort(h)
@@ -102,7 +123,7 @@ def _rows(docs: DataFrame, frequent, k: int, num: int, den: int) -> DataFrame:
     def run(batches):
         for b in batches:
             for lo, hi, sets in shingle_sets(b.column(1), k):
-                names = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None for s in sets]
+                names = [_row_name(s) for s in sets]
                 lead = [_ordered(s, order.value)[:prefix_lengths(len(s), num, den)[0]].tobytes() if len(s) else b"" for s in sets]
                 yield pa.record_batch([b.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(lead, pa.binary())],
                                       ["doc_id", "n", "row", "prefix"])
@@ -144,13 +165,12 @@ def _blocks(rows: DataFrame, count: int) -> DataFrame:
 
 def _product(num: int, den: int):
     """One block of the product: pairs with the number of columns they share here, and the entries of dense columns."""
-    schema = ["a", "b", "shared", "h", "row", "n", "pos"]
+    names = ["a", "b", "an", "bn", "shared", "h", "row", "n", "pos"]
 
-    def out(a, b, shared, e):
-        blank = [None] * len(e), [None] * len(a)
-        return pa.Table.from_arrays([pa.array([*a, *blank[0]], pa.int64()), pa.array([*b, *blank[0]], pa.int64()), pa.array([*shared, *blank[0]], pa.int64()),
-                                     pa.array([*blank[1], *e["h"].view(np.int64)], pa.int64()), pa.array([*blank[1], *e["row"]], pa.int64()),
-                                     pa.array([*blank[1], *e["n"]], pa.int64()), pa.array([*blank[1], *e["pos"]], pa.int64())], schema)
+    def out(p, shared, e):
+        pairs = pa.Table.from_arrays([*[pa.array(p[:, i]) for i in range(4)], pa.array(shared.astype(np.int64))], names[:5])
+        dense = pa.Table.from_arrays([pa.array(e[k].astype(np.int64)) if k != "h" else pa.array(e["h"].copy().view(np.int64)) for k in names[5:]], names[5:])
+        return pa.concat_tables([pairs, dense], promote_options="default")
 
     def run(block):
         e = np.concatenate([np.frombuffer(x.as_buffer(), _ENTRY) for x in block.column("entries")])
@@ -168,58 +188,75 @@ def _product(num: int, den: int):
             x, y = x[same], y[same]
             swap = (y["n"] < x["n"]) | ((y["n"] == x["n"]) & (y["row"] < x["row"]))
             small, large = np.where(swap, y, x), np.where(swap, x, y)
-            ok = (small["n"] * den >= large["n"].astype(np.int64) * num) & (small["pos"] < prefix_lengths(small["n"].astype(np.int64), num, den)[1])
-            pairs.append(np.stack([small["row"][ok], large["row"][ok]], 1))
-        p = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
-        p, shared = np.unique(p, axis=0, return_counts=True) if len(p) else (p, np.empty(0, np.int64))
-        return out(p[:, 0], p[:, 1], shared, dense)
+            ok = small["n"] * den >= large["n"].astype(np.int64) * num
+            pairs.append(np.stack([c[ok].astype(np.int64) for c in (small["row"], large["row"], small["n"], large["n"])], 1))
+        p = np.concatenate(pairs) if pairs else np.empty((0, 4), np.int64)
+        order = np.lexsort((p[:, 1], p[:, 0]))
+        p = p[order]
+        first = np.flatnonzero(np.concatenate([[True], (p[1:, :2] != p[:-1, :2]).any(1)])) if len(p) else np.empty(0, np.int64)
+        return out(p[first], np.diff(np.append(first, len(p))), dense)
 
-    return run, "a long, b long, shared long, h long, row long, n long, pos long"
+    return run, "a long, b long, an long, bn long, shared long, h long, row long, n long, pos long"
+
+
+def _least_shared(num: int, den: int):
+    """Leading columns a pair of sizes an <= bn must share."""
+    both = F.expr(f"((an + bn) * {num} + {num + den - 1}) div {num + den}")
+    spare_a, spare_b = F.expr(f"(an * {num} + {den - 1}) div {den}"), F.expr(f"(bn * {num} + {den - 1}) div {den}")
+    return F.least(both - spare_a, both - spare_b) + 1
 
 
 def _keep_named(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(row, grams): whole sets of the wanted documents (doc_id, row), whose names every task maps from sorted files."""
+    """(row, grams): whole sets of the wanted documents (doc_id, row), whose ids every task maps from sorted files.
+
+    The text isn't shuffled. Repeated documents give repeated rows.
+    """
     spark = docs.sparkSession
     folder = scratch(spark, "wanted")
+    pair = np.dtype([("id", "<i8"), ("row", "<i8")])
 
     def save(batches):
-        keys = [b.column(0).to_numpy(zero_copy_only=False) for b in batches]
-        keys = np.concatenate(keys) if keys else np.empty(0, np.int64)
+        keys = [np.rec.fromarrays([b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)], dtype=pair) for b in batches]
+        keys = np.concatenate(keys) if keys else np.empty(0, pair)
         if len(keys):
-            name = f"{folder}/{int(keys[0]) & (1 << 64) - 1:016x}.ids"
-            write_file(name, keys.astype("<i8").tobytes())
-            yield pa.record_batch([pa.array([name]), pa.array([int(keys[0])]), pa.array([int(keys[-1])])], ["name", "low", "high"])
+            low, high = int(keys["id"][0]), int(keys["id"][-1])
+            name = f"{folder}/{low & (1 << 64) - 1:016x}.ids"
+            write_file(name, keys.tobytes())
+            yield pa.record_batch([pa.array([name]), pa.array([low]), pa.array([high])], ["name", "low", "high"])
 
-    made = wanted.select("doc_id").distinct().repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(save, "name string, low long, high long").collect()
+    made = wanted.select("doc_id", "row").repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(save, "name string, low long, high long").collect()
     files = sorted((r.low, r.high, r.name) for r in made)
 
     def run(batches):
-        have = [(low, high, read_file(name, "<i8")) for low, high, name in files]
+        have = [(low, high, read_file(name, pair)) for low, high, name in files]
         for b in batches:
             ids = b.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-            hit = np.zeros(len(ids), bool)
+            hit, rows = np.zeros(len(ids), bool), {}
             for low, high, keys in have:
                 inside = np.flatnonzero((ids >= low) & (ids <= high))
-                if len(inside):
-                    at = np.minimum(np.searchsorted(keys, ids[inside]), len(keys) - 1)
-                    hit[inside] |= keys[at] == ids[inside]
+                at = np.searchsorted(keys["id"], ids[inside])
+                for i, x in zip(inside.tolist(), at.tolist(), strict=True):
+                    while x < len(keys) and keys["id"][x] == ids[i]:
+                        hit[i] = True
+                        rows.setdefault(int(ids[i]), set()).add(int(keys["row"][x]))
+                        x += 1
             b = b.filter(pa.array(hit))
-            for _, _, sets in shingle_sets(b.column(1), k):
-                sets = [s for s in sets if len(s)]
-                names = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
-                offs = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
-                yield pa.record_batch([pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["row", "grams"])
+            kept = b.column(0).to_pylist()
+            for lo, _, sets in shingle_sets(b.column(1), k):
+                named = [(_row_name(s), s) for s in sets]
+                named = [x for i, x in enumerate(named) if x[0] in rows[kept[lo + i]]]
+                offs = np.concatenate([[0], np.cumsum([len(s) for _, s in named])]).astype(np.int32)
+                flat = np.concatenate([*[s for _, s in named], np.empty(0, np.uint64)]).view(np.int64)
+                yield pa.record_batch([pa.array([r for r, _ in named], pa.int64()), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["row", "grams"])
 
-    sets = narrow(docs, doc_id="doc_id", text="text").mapInArrow(run, "row long, grams array<long>")
-    return sets.join(wanted.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"])
+    return narrow(docs, doc_id="doc_id", text="text").mapInArrow(run, "row long, grams array<long>")
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold."""
     joined = pairs.join(sets.select(F.col("row").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("row").alias("b"), F.col("grams").alias("gb")), "b")
     both = F.size(F.array_intersect("ga", "gb"))
-    return joined.withColumn("both", both).where(den * F.col("both") >= num * (F.size("ga") + F.size("gb") - F.col("both"))).select("a", "b")
+    return joined.withColumn("both", both).where(den * F.col("both") >= num * (F.size("ga") + F.size("gb") - F.col("both"))).select("a", "b").distinct()
 
 
 def _labelled(entries: DataFrame, components: DataFrame) -> DataFrame:
@@ -245,9 +282,12 @@ def components(docs: DataFrame, k: int = WORDS, threshold: tuple[int, int] = THR
     rows = stored(_rows(docs, frequent_grams(docs, k), k, num, den), "rows")
     distinct = rows.where("n > 0").groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     run, schema = _product(num, den)
-    found = stored(_blocks(distinct, shards(spark)).groupBy("block").applyInArrow(run, schema), "product")
-    shared = stored(found.where("a IS NOT NULL").groupBy("a", "b").agg(F.sum("shared").alias("shared")), "pairs")
+    found = stored(_blocks(distinct, shards(spark, 1)).groupBy("block").applyInArrow(run, schema), "product")
     dense = found.where("h IS NOT NULL").select("h", "row", "n", "pos")
+    counts = dense.groupBy("row").agg(F.count("*").alias("dense"))
+    shared = found.where("a IS NOT NULL").groupBy("a", "b").agg(F.first("an").alias("an"), F.first("bn").alias("bn"), F.sum("shared").alias("shared"))
+    shared = shared.join(counts.select(F.col("row").alias("a"), F.col("dense").alias("da")), "a", "left").join(counts.select(F.col("row").alias("b"), F.col("dense").alias("db")), "b", "left")
+    shared = stored(shared.where(F.col("shared") + F.least(F.coalesce("da", F.lit(0)), F.coalesce("db", F.lit(0))) >= _least_shared(num, den)).select("a", "b", "shared"), "pairs")
     pivots = dense.groupBy("h").agg(F.min_by(F.struct("row", "n", "pos"), "row").alias("p"))
     starred = dense.alias("x").join(pivots, "h").select("x.*", F.col("p.row").alias("pivot"), F.col("p.n").alias("pn")).where("row <> pivot AND least(n, pn) * %d >= greatest(n, pn) * %d" % (den, num))
     starred = starred.groupBy(F.col("pivot").alias("a"), F.col("row").alias("b")).agg(F.count("*").alias("shared"))
