@@ -25,11 +25,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
-from tidemark.llm.shared import hash_words, mix, narrow, read_file, scratch, shards, stored, text_pieces, word_bounds, write_file
+from tidemark.llm.shared import hash_words, heaviest, mix, narrow, read_file, scratch, shards, stored, text_pieces, word_bounds, write_file
 
 WORDS, THRESHOLD = 5, (80, 100)
 #: Columns with more rows than this go the way of pivots; both ways are exact.
@@ -37,6 +38,8 @@ DENSE = 24
 #: N-grams met in this many documents of a batch, and in so many over all batches, are put last in the order, the most
 #: frequent at most. The order decides how much work there is, never a result.
 FREQUENT_IN_BATCH, FREQUENT, FREQUENT_KEPT, BATCH_GRAMS = 3, 12, 100_000, 4_000_000
+#: Bits of a set's sketch: parities of its n-grams by hash.
+SKETCH = 1024
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -98,7 +101,7 @@ def frequent_grams(docs: DataFrame, k: int = WORDS) -> np.ndarray:
             yield emit(held)
 
     met = narrow(docs, text="text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT)
-    top = met.orderBy(F.desc("c"), "h").limit(FREQUENT_KEPT).toPandas()
+    top = heaviest(stored(met, "frequent"), "c", FREQUENT_KEPT).toPandas()
     h, c = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     order = np.argsort(h)
     return np.stack([h[order], c[order].astype(np.uint64)]) if len(h) else np.zeros((2, 0), np.uint64)
@@ -207,9 +210,10 @@ def _least_shared(num: int, den: int):
 
 
 def _keep_named(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(row, grams): whole sets of the wanted documents (doc_id, row), whose ids every task maps from sorted files.
+    """(row, n, file, at, odd): where the whole sets of the wanted documents (doc_id, row) lie, and their sketches.
 
-    The text isn't shuffled. Repeated documents give repeated rows.
+    Every task maps the wanted ids from sorted files and writes the sets it makes to a flat file of its own, so neither
+    texts nor sets are shuffled; rows say where to find them. Of repeated documents one place is kept.
     """
     spark = docs.sparkSession
     folder = scratch(spark, "wanted")
@@ -229,6 +233,17 @@ def _keep_named(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         have = [(low, high, read_file(name, pair)) for low, high, name in files]
+        held, total, part = [], 0, 0
+
+        def flush():
+            name = f"{folder}/{TaskContext.get().partitionId():06d}-{part:04d}.grams"
+            write_file(name, *[g.tobytes() for _, g in held])
+            n = np.array([len(g) for _, g in held], np.int64)
+            odd = [np.packbits(np.bincount((g % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1).view("<i8") for _, g in held]
+            at = np.arange(len(odd) + 1, dtype=np.int32) * (SKETCH // 64)
+            return pa.record_batch([pa.array([r for r, _ in held], pa.int64()), pa.array(n), pa.array([name] * len(n), pa.string()), pa.array(np.cumsum(n) - n),
+                                    pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(odd)))], ["row", "n", "file", "at", "odd"])
+
         for b in batches:
             ids = b.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
             hit, rows = np.zeros(len(ids), bool), {}
@@ -243,20 +258,52 @@ def _keep_named(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             b = b.filter(pa.array(hit))
             kept = b.column(0).to_pylist()
             for lo, _, sets in shingle_sets(b.column(1), k):
-                named = [(_row_name(s), s) for s in sets]
-                named = [x for i, x in enumerate(named) if x[0] in rows[kept[lo + i]]]
-                offs = np.concatenate([[0], np.cumsum([len(s) for _, s in named])]).astype(np.int32)
-                flat = np.concatenate([*[s for _, s in named], np.empty(0, np.uint64)]).view(np.int64)
-                yield pa.record_batch([pa.array([r for r, _ in named], pa.int64()), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["row", "grams"])
+                for i, g in enumerate(sets):
+                    name = _row_name(g)
+                    if name in rows[kept[lo + i]]:
+                        held.append((name, g))
+                        total += len(g)
+                if total > BATCH_GRAMS:
+                    yield flush()
+                    held, total, part = [], 0, part + 1
+        if held:
+            yield flush()
+
+    made = narrow(docs, doc_id="doc_id", text="text").mapInArrow(run, "row long, n long, file string, at long, odd array<long>")
+    return made.groupBy("row").agg(F.first("n").alias("n"), F.min(F.struct("file", "at")).alias("place"), F.first("odd").alias("odd")).select("row", "n", "place.file", "place.at", "odd")
 
-    return narrow(docs, doc_id="doc_id", text="text").mapInArrow(run, "row long, grams array<long>")
+
+def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sketches allow the threshold: bits in which they differ never exceed the n-grams in which the sets do."""
+    about = sets.select("row", "n", "odd")
+    joined = pairs.select("a", "b").join(about.toDF("a", "an", "oa"), "a").join(about.toDF("b", "bn", "ob"), "b")
+    differ = F.aggregate(F.zip_with("oa", "ob", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return joined.where(differ * (num + den) <= (den - num) * (F.col("an") + F.col("bn"))).select("a", "b").distinct()
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
-    joined = pairs.join(sets.select(F.col("row").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("row").alias("b"), F.col("grams").alias("gb")), "b")
-    both = F.size(F.array_intersect("ga", "gb"))
-    return joined.withColumn("both", both).where(den * F.col("both") >= num * (F.size("ga") + F.size("gb") - F.col("both"))).select("a", "b").distinct()
+    """The pairs (a, b) whose whole sets, mapped from their files, reach the threshold."""
+    place = sets.select("row", "n", "file", "at")
+    located = pairs.select("a", "b").distinct().join(place.toDF("a", "an", "fa", "ta"), "a").join(place.toDF("b", "bn", "fb", "tb"), "b")
+
+    def run(batches):
+        opened = {}
+
+        def grams(file, at, n):
+            if file not in opened:
+                opened[file] = read_file(file, "<u8")
+            return opened[file][at:at + n]
+
+        for b in batches:
+            good = []
+            for r in b.to_pylist():
+                x, y = grams(r["fa"], r["ta"], r["an"]), grams(r["fb"], r["tb"], r["bn"])
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                both = int((y[at] == x).sum())
+                good.append(den * both >= num * (len(x) + len(y) - both))
+            yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return located.mapInArrow(run, "a long, b long")
 
 
 def _labelled(entries: DataFrame, components: DataFrame) -> DataFrame:
@@ -264,10 +311,14 @@ def _labelled(entries: DataFrame, components: DataFrame) -> DataFrame:
 
 
 def _fits(num: int, den: int):
-    """Size and leading-entry bounds of rows x and y of one column."""
-    small = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.row") < F.col("y.row")))
-    n, m, pos = F.least("x.n", "y.n"), F.greatest("x.n", "y.n"), F.when(small, F.col("x.pos")).otherwise(F.col("y.pos"))
-    return (n * den >= m * num) & (pos < n - F.ceil(n * (2 * num) / (num + den) - 1e-9) + 1)
+    """Bounds on rows x and y of one dense column.
+
+    A pair that shares any other column is a candidate already. One that doesn't meets these at the first column it
+    shares: all that it has in common lies from there on.
+    """
+    n, m = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    common = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    return (n * den >= m * num) & (common * (num + den) >= (n + m) * num)
 
 
 def components(docs: DataFrame, k: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -288,7 +339,8 @@ def components(docs: DataFrame, k: int = WORDS, threshold: tuple[int, int] = THR
     shared = found.where("a IS NOT NULL").groupBy("a", "b").agg(F.first("an").alias("an"), F.first("bn").alias("bn"), F.sum("shared").alias("shared"))
     shared = shared.join(counts.select(F.col("row").alias("a"), F.col("dense").alias("da")), "a", "left").join(counts.select(F.col("row").alias("b"), F.col("dense").alias("db")), "b", "left")
     shared = stored(shared.where(F.col("shared") + F.least(F.coalesce("da", F.lit(0)), F.coalesce("db", F.lit(0))) >= _least_shared(num, den)).select("a", "b", "shared"), "pairs")
-    pivots = dense.groupBy("h").agg(F.min_by(F.struct("row", "n", "pos"), "row").alias("p"))
+    central = dense.join(counts, "row")
+    pivots = central.groupBy("h").agg(F.max_by(F.struct("row", "n"), F.struct("dense", "row")).alias("p"))
     starred = dense.alias("x").join(pivots, "h").select("x.*", F.col("p.row").alias("pivot"), F.col("p.n").alias("pn")).where("row <> pivot AND least(n, pn) * %d >= greatest(n, pn) * %d" % (den, num))
     starred = starred.groupBy(F.col("pivot").alias("a"), F.col("row").alias("b")).agg(F.count("*").alias("shared"))
     best = shared.unionByName(shared.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared")).unionByName(starred)
@@ -308,7 +360,7 @@ def components(docs: DataFrame, k: int = WORDS, threshold: tuple[int, int] = THR
     open_ = marked.join(main, "h")
     left = open_.where("comp <> main").alias("x").join(open_.alias("y"), "h").where((F.col("x.comp") != F.col("y.comp")) & _fits(num, den))
     rest = rest.unionByName(left.select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b"))).distinct()
-    more = _checked(rest, sets, num, den)
+    more = _checked(stored(_possible(rest, sets, num, den), "rest"), sets, num, den)
     comp = connected(links.unionByName(more))
 
     members = rows.where("n > 0").select("doc_id", "row").join(comp, F.col("row") == F.col("node"), "left").select("row", "doc_id", F.coalesce("component", "row").alias("comp"))
