@@ -32,3 +32,22 @@ def test_odd_documents(docs, odd, none):
 def test_sample_follows_probability(spark):
     share = spark.range(20_000).select(mixing.uniform(F.col("id")).alias("u")).where("u < 0.3").count() / 20_000
     assert share == pytest.approx(0.3, abs=0.02)
+
+
+def test_draws_meet_targets_when_weights_are_great(spark):
+    """Rare classes get weights far above 1 / KEPT_SHARE."""
+    rows = [(i, "legal icense term" if i % 100 == 0 else "made | cells" if i % 40 == 1 else "plain words here", "de" if i % 25 == 3 else "en", "s1" if i % 50 == 7 else "s0") for i in range(8_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = mixing.weighted(docs).cache()
+    assert out.agg(F.max("weight")).first()[0] * mixing.KEPT_SHARE > 2
+    cells = out.groupBy(*mixing.DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens"))
+    got = mixing.drawn(docs).cache()
+    assert got.columns == docs.columns
+    assert {r.doc_id for r in got.select("doc_id").distinct().collect()} == {r.doc_id for r in out.where("kept").collect()}
+    have = got.withColumn("topic", mixing.topic(F.col("text")))
+    for d in mixing.DIMENSIONS:
+        want = {r[d]: r.target for r in mixing._targets(cells, d, mixing.FLATTEN).collect()}
+        share = {r[d]: r["count"] / got.count() for r in have.groupBy(d).count().collect()}
+        assert share == pytest.approx(want, rel=0.15)
+    mean = spark.range(20_000).select(mixing.draws(F.lit(2.3), F.col("id")).alias("n")).agg(F.avg("n")).first()[0]
+    assert mean == pytest.approx(2.3, abs=0.02)

@@ -2,9 +2,12 @@
 
 Documents are summed to cells (source, language, topic) of tokens. Each round
 scales the cells' weights so that their tokens meet the target share of every
-source, then of every language, then of every topic. A document is sampled with
-probability ``KEPT_SHARE`` times its cell's weight (at most 1), decided by a
-hash of its id, so that the sample has the target shares in expectation.
+source, then of every language, then of every topic. A document is drawn
+``KEPT_SHARE`` times its cell's weight times on average: the whole part for
+certain, the rest decided by a hash of its id. So the draws have the target
+shares in expectation however great a weight is; ``prob`` is the probability of
+being drawn at all, and the documents drawn at all don't have those shares once
+a weight exceeds 1 / ``KEPT_SHARE``.
 """
 
 from __future__ import annotations
@@ -74,15 +77,31 @@ def weighted(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
         "doc_id", *DIMENSIONS, "n_tokens", "weight", "prob", "kept")
 
 
-def sample(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
-    """The sampled documents with all their columns."""
+def _sampled(docs: DataFrame, kept_share: float, times) -> DataFrame:
+    """The documents with all their columns, each as many times as ``times`` (a function of its draws) says."""
     weights = raked(_attributes(docs).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens"))).drop("n_tokens")
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = dict(zip(docs.columns, names, strict=True))
     col = lambda k: F.col(at[k])
     keyed = docs.toDF(*names).withColumns({"source": F.coalesce(col("source"), F.lit("")), "lang": F.coalesce(col("lang"), F.lit("")), "topic": topic(F.coalesce(col("text"), F.lit("")))})
-    prob = F.least(F.lit(1.0), F.lit(kept_share) * F.col("weight"))
-    return keyed.join(weights, list(DIMENSIONS)).where(uniform(col("doc_id")) < prob).select(*names).toDF(*docs.columns)
+    chosen = keyed.join(weights, list(DIMENSIONS)).withColumn("draws", draws(F.lit(kept_share) * F.col("weight"), col("doc_id"))).where("draws > 0")
+    return times(chosen).select(*names).toDF(*docs.columns)
+
+
+def draws(expected: Column, key: Column) -> Column:
+    """Whole number of draws with the mean ``expected``; at least one exactly where the hash of the key is below ``expected``."""
+    whole = F.floor(expected)
+    return (whole + (uniform(key) < expected - whole).cast("long")).cast("int")
+
+
+def sample(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
+    """The documents drawn at least once, once each, with all their columns; for the target shares take ``drawn``."""
+    return _sampled(docs, kept_share, lambda chosen: chosen)
+
+
+def drawn(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
+    """The sample with the target shares in expectation: documents with all their columns, one row per draw."""
+    return _sampled(docs, kept_share, lambda chosen: chosen.withColumn("draw", F.explode(F.array_repeat(F.lit(0), F.col("draws")))))
 
 
 def oracle() -> str:
