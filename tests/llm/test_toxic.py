@@ -60,3 +60,20 @@ def test_odd_texts_without_labels(spark, docs, odd, none):
     assert len(out) == len(odd)
     assert {r.predicted for r in out} == {0}
     assert toxic_spans.scored(none, empty).count() == 0
+
+
+def test_every_marker_is_kept_and_copies_count_once(spark):
+    """More rare words in toxic documents than any cap; one toxic text copied many times makes no markers of its own words."""
+    words = [f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{k:05d}zz" for k in range(9_000)]
+    rows = [(i, f"{i} " + " ".join(words[300 * (i % 30):][:300])) for i in range(300)] + [(1000 + i, "solitary " + prose(1, 30)) for i in range(60)] + [(2000 + i, prose(i, 30)) for i in range(50)]
+    labels = spark.createDataFrame([(i, int(i < 2000)) for i, _ in rows], "doc_id long, toxic int")
+    docs = frame(spark, rows)
+    files = toxic_spans.write_labels(labels)
+    count, found = toxic_spans.find_markers(docs, files)
+    blocks = np.bincount([i % 30 for i in range(300) if zlib.crc32(str(i).encode()) % 4 != 2], minlength=30)
+    often = {w for k, w in enumerate(words) if blocks[k // 300] >= toxic_spans.MARKER_SHARE * (blocks[k // 300] + 1)}
+    data = np.frombuffer(" ".join([*words, "solitary"]).encode(), np.uint8)
+    starts, ends, _ = toxic_spans.word_bounds(data, np.array([0, len(data)]))
+    hit = toxic_spans.Markers(count, found).among(toxic_spans.word_features(data, starts, ends)[:, 0])
+    assert {w for w, h in zip([*words, "solitary"], hit.tolist(), strict=True) if h} == often
+    assert sum(len(toxic_spans.read_file(n, "<u8")) for n in found.values()) > 20_000

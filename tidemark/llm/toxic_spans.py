@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import _BYTE, _LOWER, _P, _PINV, _powers, heaviest, mix, narrow, read_file, scratch, shards, stored, text_pieces, thinned, word_bounds, write_file
+from tidemark.llm.shared import _BYTE, _LOWER, _P, _PINV, _powers, mix, narrow, read_file, scratch, shards, stored, text_pieces, thinned, word_bounds, write_file
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 LEADING = (4, 5, 6, 7, 8)
-MARKER_DOCS, MARKER_SHARE, MARKERS = 3, 0.85, 20_000
+MARKER_DOCS, MARKER_SHARE = 3, 0.85
 SEGMENTS, SEGMENT, CALIBRATED_ON = 8_000, 48, 20_000
 STEPS, RATE, RIDGE, BLOCK = 60, 0.3, 1e-6, 128
 
@@ -111,21 +111,99 @@ def write_labels(labels: DataFrame) -> list[tuple[int, int, str]]:
     return sorted((r.low, r.high, r.name) for r in made)
 
 
-def _labelled_pieces(batches, files):
-    """(ids, toxic, data, offs) of the labelled training documents."""
-    labels = Labels(files)
+def _labelled_pieces(batches, files, copies=None):
+    """(ids, toxic, data, offs) of the labelled training documents; with ``copies``, without those it names."""
+    labels, copied = Labels(files), None if copies is None else Copies(copies)
     for b in batches:
         ids = b.column(0).to_pylist()
         toxic = labels.of(ids)
         use = (toxic >= 0) & ~held_out(ids)
+        if copied is not None:
+            use &= ~copied.spare(ids, toxic, b.column(2).to_numpy(zero_copy_only=False))
         toxic, ids = toxic[use], np.array([0 if i is None else i for i in ids], np.int64)[use]
         for lo, hi, data, offs in text_pieces(b.column(1).filter(pa.array(use))):
             yield ids[lo:hi], toxic[lo:hi], data, offs
 
 
-def find_markers(docs: DataFrame, files: list) -> np.ndarray:
-    """Sorted hashes of features held by enough toxic and few other training documents, counted over all of them."""
-    count = shards(docs.sparkSession, 1)
+class Copies:
+    """The doc_id that stands for each text that several labelled training documents hold, by hash of text and label, from mapped files."""
+
+    def __init__(self, files: list[tuple[int, int, str]]):
+        self.parts = [(low, high, read_file(name, "<i8").reshape(2, -1)) for low, high, name in files]
+
+    def spare(self, ids: list, toxic: np.ndarray, text_hash: np.ndarray) -> np.ndarray:
+        """Whether another document stands for the text; rows that share the doc_id all stay."""
+        x, key = np.array([-(1 << 63) if i is None else i for i in ids], np.int64), _text_key(text_hash, toxic)
+        out = np.zeros(len(x), bool)
+        for low, high, rows in self.parts:
+            inside = np.flatnonzero((key >= low) & (key <= high))
+            at = np.minimum(np.searchsorted(rows[0], key[inside]), rows.shape[1] - 1)
+            out[inside] = (rows[0][at] == key[inside]) & (rows[1][at] != x[inside])
+        return out
+
+
+def _text_key(text_hash: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    return (mix(text_hash.astype(np.int64).view(np.uint64)) ^ np.where(toxic == 1, np.uint64(1), np.uint64(0))).view(np.int64)
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    return narrow(docs, doc_id="doc_id", text="text").withColumn("text_hash", F.xxhash64("text"))
+
+
+def write_copies(docs: DataFrame, files: list) -> list[tuple[int, int, str]]:
+    """Sorted files of the texts held by several labelled training documents, as in ``write_labels``; the least doc_id stands for a text."""
+    folder = scratch(docs.sparkSession, "copies")
+
+    def keys(batches):
+        labels = Labels(files)
+        for b in batches:
+            ids = b.column(0).to_pylist()
+            toxic = labels.of(ids)
+            use = (toxic >= 0) & ~held_out(ids)
+            key = _text_key(b.column(1).to_numpy(zero_copy_only=False), toxic)
+            yield pa.record_batch([pa.array(key[use]), b.column(0).filter(pa.array(use))], ["key", "doc_id"])
+
+    def save(batches):
+        parts = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches if b.num_rows]
+        if parts:
+            key, ids = (np.concatenate(x) for x in zip(*parts, strict=True))
+            name = f"{folder}/{int(key[0]) & (1 << 64) - 1:016x}.copies"
+            write_file(name, key.astype("<i8").tobytes(), ids.astype("<i8").tobytes())
+            yield pa.record_batch([pa.array([int(key[0])]), pa.array([int(key[-1])]), pa.array([name])], ["low", "high", "name"])
+
+    seen = _hashed(docs).select("doc_id", "text_hash").mapInArrow(keys, "key long, doc_id long").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
+    several = stored(seen.where("last > doc_id").select("key", "doc_id"), "copied")
+    made = several.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(save, "low long, high long, name string").collect()
+    return sorted((r.low, r.high, r.name) for r in made)
+
+
+class Markers:
+    """Hashes of marker features, from mapped files sorted within ranges of the hash."""
+
+    def __init__(self, count: int, files: dict[int, str]):
+        self.count, self.files, self.opened = count, files, {}
+
+    def among(self, x: np.ndarray) -> np.ndarray:
+        flat = x.ravel()
+        order = np.argsort(flat)
+        shard = (flat[order] >> np.uint64(32)) * np.uint64(self.count) >> np.uint64(32)
+        cuts = np.searchsorted(shard, np.arange(self.count + 1).astype(np.uint64))
+        out = np.zeros(len(flat), bool)
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
+            if s in self.files:
+                if s not in self.opened:
+                    self.opened[s] = read_file(self.files[s], "<u8")
+                at = order[cuts[s]:cuts[s + 1]]
+                out[at] = _among(self.opened[s], flat[at])
+        return out.reshape(x.shape)
+
+
+def find_markers(docs: DataFrame, files: list) -> tuple[int, dict[int, str]]:
+    """All features held by enough toxic and few other training documents, counted over all of them, equal texts with one label once.
+
+    Number of hash ranges, and the file of sorted hashes of each range that has any.
+    """
+    count, folder, copies = shards(docs.sparkSession, 1), scratch(docs.sparkSession, "markers"), write_copies(docs, files)
 
     def count_features(batches):
         def emit(held):
@@ -141,7 +219,7 @@ def find_markers(docs: DataFrame, files: list) -> np.ndarray:
             return pa.record_batch([pa.array(full.astype(np.int32)), pa.array(pack, pa.binary())], ["shard", "block"])
 
         held, n = [], 0
-        for _, toxic, data, offs in _labelled_pieces(batches, files):
+        for _, toxic, data, offs in _labelled_pieces(batches, files, copies):
             starts, ends, first = word_bounds(data, offs)
             codes, features = _distinct(data, starts, ends)
             row = np.repeat(np.arange(len(toxic)), np.diff(first))
@@ -173,11 +251,14 @@ def find_markers(docs: DataFrame, files: list) -> np.ndarray:
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         a, b = (np.add.reduceat(np.concatenate(v)[order].astype(np.int64), first) for v in (a, b))
         good = (a >= MARKER_DOCS) & (a >= MARKER_SHARE * (a + b + 1))
-        return pa.table({"h": pa.array(k[first][good].view(np.int64)), "n": pa.array(a[good])})
+        if not good.any():
+            return pa.table({"shard": pa.array([], pa.int32()), "name": pa.array([], pa.string())})
+        name = f"{folder}/{key[0].as_py():06d}.markers"
+        write_file(name, k[first][good].tobytes())
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "name": pa.array([name])})
 
-    found = narrow(docs, doc_id="doc_id", text="text").mapInArrow(count_features, "shard int, block binary").groupBy("shard").applyInArrow(select, "h long, n long")
-    top = heaviest(stored(found, "markers"), "n", MARKERS).toPandas()
-    return np.sort(top["h"].to_numpy(np.int64).view(np.uint64))
+    found = _hashed(docs).mapInArrow(count_features, "shard int, block binary").groupBy("shard").applyInArrow(select, "shard int, name string")
+    return count, {r.shard: r.name for r in found.collect()}
 
 
 def _among(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -187,7 +268,7 @@ def _among(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_keys[at] == x
 
 
-def sample_segments(docs: DataFrame, files: list, markers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sample_segments(docs: DataFrame, files: list, markers: tuple[int, dict[int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features, tags, present) of the sampled training segments: about ``SEGMENTS`` at most, whatever the corpus.
 
     One pass counts the segments of both kinds, a second one sends those whose hash lies below the share wanted.
@@ -195,13 +276,19 @@ def sample_segments(docs: DataFrame, files: list, markers: np.ndarray) -> tuple[
     wide, rows = 1 + len(LEADING), narrow(docs, doc_id="doc_id", text="text")
 
     def segments(batches):
+        known = Markers(*markers)
         for ids, toxic, data, offs in _labelled_pieces(batches, files):
             starts, ends, first = word_bounds(data, offs)
             if not len(starts):
                 continue
             codes, features = _distinct(data, starts, ends)
             row = np.repeat(np.arange(len(toxic)), np.diff(first))
-            tag = (_among(markers, features).any(1)[codes]) & (toxic[row] == 1)
+            tag = np.zeros(len(codes), bool)
+            held = np.flatnonzero(toxic[row] == 1)
+            some = np.unique(codes[held])
+            marked = np.zeros(len(features), bool)
+            marked[some] = known.among(features[some]).any(1)
+            tag[held] = marked[codes[held]]
             part = (np.arange(len(codes)) - first[row]) // SEGMENT
             cut = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (part[1:] != part[:-1])]))
             some = np.add.reduceat(tag.astype(np.int64), cut) > 0
