@@ -59,3 +59,18 @@ def test_small_chunks_change_nothing(spark, monkeypatch):
 
 def test_no_documents(none):
     assert repeats.without_repeats(none).count() == 0
+
+
+def test_hot_anchors_are_counted_window_by_window(spark):
+    """A passage with other surroundings in every document: its contexts don't meet in one shard, the result stays."""
+    assert repeats._least_count(repeats._packed_count(np.array([1, 2, 128, 129, 5_000]))).tolist()[:4] == [1, 2, 128, 128]
+    rows = passages()
+    for length, gram in ((200, 64), (12, 5)):
+        assert run(frame(spark, rows).repartition(4), length, gram, 1) == plain(rows, length)
+    shared = prose(901, 60)
+    rows = [(k, f"{prose(5000 + k, 12)} {shared} {prose(7000 + k, 12)}") for k in range(300)]
+    df = frame(spark, rows).repartition(4)
+    assert run(df, 200, 64, 60) == plain(rows, 200)
+    windows, heated, strings, count = repeats.find_repeats(df, hot=60)
+    sizes = [len(repeats.Lookup(windows, count)._shard(s)[0]) for s in range(count)]
+    assert heated is not None and max(sizes) < 150

@@ -15,6 +15,10 @@ have equal anchors at the same offset, so they can only meet under one anchor.
    by growing left part; an interval of weight one is dropped, and no string
    is followed past ``LENGTH``. At left part e, neighbours in an interval whose
    common prefix from the anchor on is at least ``LENGTH - e`` are repeated.
+   An anchor met more than ``HOT`` times could fill a task with contexts that
+   differ around a common passage. Its windows are counted one by one instead,
+   by string hash like the anchors themselves, so that its work spreads over
+   all shards.
 4. The windows found repeated, a bit for each e, are laid down sorted by
    context hash; tasks map them, mark their documents and cut the marked bytes.
 
@@ -30,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.shared import _BYTE, _P, _PINV, _powers, mix, narrow, read_file, scratch, shards, text_pieces, write_file
 
@@ -38,6 +43,8 @@ LENGTH, GRAM = 200, 64
 CHUNK, TIE_BITS = 1 << 19, 20
 #: Text and contexts a task holds at a time.
 PIECE, SENT = 1 << 20, 12 << 20
+#: Occurrences from which the windows of an anchor are counted apart; either way gives the same result.
+HOT = 20_000
 
 
 def _window_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -81,6 +88,19 @@ def _shard_of(h: np.ndarray, count: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
 
 
+def window_hashes(data: np.ndarray, key: np.ndarray, first: np.ndarray, last: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash with its anchor) of every window of the runs of one call of ``anchors``."""
+    if not len(key):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    n, a = last - first + 1, int(first.min())
+    start = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+    part = data[a:int(last.max()) + length]
+    sums = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum(_BYTE[part] * _powers(_P, len(part)), out=sums[1:])
+    s = start - a
+    return start, mix(mix((sums[s + length] - sums[s]) * _powers(_PINV, len(part))[s]) + np.repeat(key, n))
+
+
 class Lookup:
     """Sorted 64-bit keys in files by shard, each with a fixed number of bytes beside it."""
 
@@ -174,10 +194,14 @@ def _text_only(docs: DataFrame) -> DataFrame:
     return narrow(docs, text="text")
 
 
-def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[str, int]:
-    """Count and expand over all documents; the folder of repeated windows by context, and its number of shards."""
+def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[str, str | None, str, int]:
+    """Count and expand over all documents.
+
+    The folders of repeated windows by context, of hot anchors (None without any) and of their repeated windows by string
+    hash, and the number of shards of each.
+    """
     spark, count = docs.sparkSession, shards(docs.sparkSession, 4)
-    seen, windows = scratch(spark, "anchors"), scratch(spark, "windows")
+    seen, windows, heated, strings = (scratch(spark, x) for x in ("anchors", "windows", "hot", "strings"))
     meta = np.dtype([("key", "<u8"), ("ctx", "<u8"), ("left", "<u2"), ("spare", "<u2"), ("weight", "<u4"), ("size", "<u4")])
 
     def blocks(shard, pack):
@@ -185,43 +209,60 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tup
         full = np.flatnonzero(np.diff(cuts))
         return pa.record_batch([pa.array(full.astype(np.int32)), pa.array([pack(cuts[i], cuts[i + 1]) for i in full], pa.binary())], ["shard", "block"])
 
-    def count_anchors(batches):
-        def emit(held):
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            twice = (c > 1).astype(np.uint8)
-            return blocks(_shard_of(h, count), lambda a, b: h[a:b].tobytes() + twice[a:b].tobytes())
-
-        held, n = [], 0
-        for b in batches:
-            for _, _, data, offs in text_pieces(b.column(0), PIECE):
-                for key, *_ in anchors(data, offs, length, gram):
-                    held.append(key)
-                    n += len(key)
-                if n > 1_500_000:
-                    yield emit(held)
-                    held, n = [], 0
-        if n:
-            yield emit(held)
-
-    def keep_repeated(key, block):
-        s, h, twice = key[0].as_py(), [], []
-        for x in block.column("block"):
-            raw = x.as_py()
-            n = len(raw) // 9
-            h.append(np.frombuffer(raw, "<u8", n))
-            twice.append(np.frombuffer(raw, np.uint8, n, 8 * n))
-        h, twice = np.concatenate(h), np.concatenate(twice)
-        order = np.argsort(h, kind="stable")
-        h, twice = h[order], twice[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        often = (np.diff(np.append(first, len(h))) > 1) | (np.maximum.reduceat(twice, first) > 0)
-        write_file(f"{seen}/{s:06d}.key", h[first][often].tobytes())
-        return pa.table({"shard": pa.array([s], pa.int32()), "n": pa.array([int(often.sum())])})
-
-    _text_only(docs).mapInArrow(count_anchors, "shard int, block binary").groupBy("shard").applyInArrow(keep_repeated, "shard int, n long").write.format("noop").mode("overwrite").save()
+    def counted(hashes, folder, often):
+        """Keys of ``hashes`` (of the bytes of a piece) met more than once, in ``folder``, and those met more than ``hot`` times in ``often``; the number of the latter."""
+
+        def count_keys(batches):
+            def emit(held):
+                h, c = np.unique(np.concatenate(held), return_counts=True)
+                number = _packed_count(c)
+                return blocks(_shard_of(h, count), lambda a, b: h[a:b].tobytes() + number[a:b].tobytes())
+
+            held, n = [], 0
+            for b in batches:
+                for _, _, data, offs in text_pieces(b.column(0), PIECE):
+                    for key in hashes(data, offs):
+                        held.append(key)
+                        n += len(key)
+                    if n > 1_500_000:
+                        yield emit(held)
+                        held, n = [], 0
+            if n:
+                yield emit(held)
+
+        def keep_repeated(key, block):
+            s, h, number = key[0].as_py(), [], []
+            for x in block.column("block"):
+                raw = x.as_py()
+                n = len(raw) // 9
+                h.append(np.frombuffer(raw, "<u8", n))
+                number.append(np.frombuffer(raw, np.uint8, n, 8 * n))
+            h, number = np.concatenate(h), np.concatenate(number)
+            order = np.argsort(h, kind="stable")
+            h, number = h[order], _least_count(number[order])
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            total = np.add.reduceat(number, first)
+            write_file(f"{folder}/{s:06d}.key", h[first][total > 1].tobytes())
+            many = total > hot
+            if often is not None and many.any():
+                write_file(f"{often}/{s:06d}.key", h[first][many].tobytes())
+            return pa.table({"shard": pa.array([s], pa.int32()), "n": pa.array([int(many.sum())])})
+
+        made = _text_only(docs).mapInArrow(count_keys, "shard int, block binary").groupBy("shard").applyInArrow(keep_repeated, "shard int, n long")
+        return made.agg(F.sum("n")).first()[0] or 0
+
+    def hot_windows(data, offs):
+        known = lookup(heated, count)
+        for key, _, first, last, _ in anchors(data, offs, length, gram):
+            hit = np.flatnonzero(known.find(_shard_of(key, count), key)[0])
+            yield window_hashes(data, key[hit], first[hit], last[hit], length)[1]
+
+    any_hot = counted(lambda data, offs: (key for key, *_ in anchors(data, offs, length, gram)), seen, heated) > 0
+    if any_hot:
+        counted(hot_windows, strings, None)
 
     def send_contexts(batches):
-        known = lookup(seen, count)
+        known, apart = lookup(seen, count), lookup(heated, count) if any_hot else None
 
         def emit(rows):
             m = np.array([(*k, v[1], v[2], v[3], len(v[0])) for k, v in rows.items()], meta)
@@ -241,6 +282,8 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tup
                 raw = data.tobytes()
                 for key, a, first, last, ctx in anchors(data, offs, length, gram):
                     hit, _ = known.find(_shard_of(key, count), key)
+                    if apart is not None:
+                        hit &= ~apart.find(_shard_of(key, count), key)[0]
                     hit = np.flatnonzero(hit)
                     for k, c, p, lo, hi in zip(key[hit].tolist(), ctx[hit].tolist(), a[hit].tolist(), first[hit].tolist(), last[hit].tolist(), strict=True):
                         got = rows.get((k, c))
@@ -281,12 +324,29 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tup
         return pa.table({"shard": pa.array([s], pa.int32()), "n": pa.array([len(ctx)])})
 
     _text_only(docs).mapInArrow(send_contexts, "shard int, block binary").groupBy("shard").applyInArrow(expand, "shard int, n long").write.format("noop").mode("overwrite").save()
-    return windows, count
+    return windows, heated if any_hot else None, strings, count
+
+
+def _packed_count(c: np.ndarray) -> np.ndarray:
+    """A count in one byte: exact up to 128, above it a quarter of a power of two, rounded down."""
+    return np.where(c <= 128, c, 128 + np.minimum(127, np.floor(4 * np.log2(np.maximum(c, 128) / 128)))).astype(np.uint8)
+
+
+def _least_count(b: np.ndarray) -> np.ndarray:
+    x = b.astype(np.float64)
+    return np.where(x <= 128, x, np.floor(128 * 2 ** ((x - 128) / 4)))
 
 
-def _covered(data, offs, windows: str, count: int, length: int, gram: int) -> np.ndarray:
+def _covered(data, offs, found: tuple, length: int, gram: int) -> np.ndarray:
+    windows, heated, strings, count = found
     have, change = lookup(windows, count, -(-(length - gram + 1) // 8)), np.zeros(len(data) + 1, np.int32)
-    for key, a, _, _, ctx in anchors(data, offs, length, gram):
+    for key, a, low, high, ctx in anchors(data, offs, length, gram):
+        if heated is not None:
+            hot = np.flatnonzero(lookup(heated, count).find(_shard_of(key, count), key)[0])
+            start, string = window_hashes(data, key[hot], low[hot], high[hot], length)
+            start = start[lookup(strings, count).find(_shard_of(string, count), string)[0]]
+            np.add.at(change, start, 1)
+            np.add.at(change, start + length, -1)
         hit, bits = have.find(_shard_of(key, count), ctx)
         hit = np.flatnonzero(hit)
         row, e = np.nonzero(np.unpackbits(bits[hit], axis=1, count=length - gram + 1))
@@ -296,18 +356,18 @@ def _covered(data, offs, windows: str, count: int, length: int, gram: int) -> np
     return np.cumsum(change[:-1]) > 0
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left).
 
     A byte goes when some string of ``length`` bytes that covers it also starts anywhere else, in the same document or
     another; matches never cross documents. A null text is empty. Shorter texts lose nothing.
     """
-    windows, count = find_repeats(docs, length, gram)
+    repeated = find_repeats(docs, length, gram, hot)
 
     def run(batches):
         for b in batches:
             for lo, hi, data, offs in text_pieces(b.column(1), PIECE):
-                gone = _covered(data, offs, windows, count, length, gram)
+                gone = _covered(data, offs, repeated, length, gram)
                 rise = gone.copy()
                 rise[1:] &= ~gone[:-1]
                 begin = offs[:-1][np.diff(offs) > 0]
