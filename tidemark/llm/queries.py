@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, grid_join, kneser_ney, mixing, ngram_join, pii, quality, repeats, token_files, toxic_spans
+from tidemark.llm import byte_bpe, grid_join, kneser_ney, merkle, mixing, ngram_join, pii, quality, repeats, token_files, toxic_spans
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,9 @@ def op9(spark, folder):
 def op10(spark, folder):
     """Ids of all documents by the rank file, and the bytes decoded from them."""
     return byte_bpe.round_trip(table(spark, folder, "documents"))
+
+
+@query("op11_merkle_manifest", merkle.oracle())
+def op11(spark, folder):
+    """Manifest of all documents, a proof of each, and what it makes of rows that were tampered with."""
+    return merkle.checked(table(spark, folder, "documents"))
