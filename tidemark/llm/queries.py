@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, grid_join, kneser_ney, merkle, mixing, ngram_join, pii, quality, repeats, token_files, toxic_spans
+from tidemark.llm import byte_bpe, grid_join, hard_negatives, kneser_ney, merkle, mixing, ngram_join, norm_buckets, pii, quality, repeats, token_files, toxic_spans
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,27 @@ def op10(spark, folder):
 def op11(spark, folder):
     """Manifest of all documents, a proof of each, and what it makes of rows that were tampered with."""
     return merkle.checked(table(spark, folder, "documents"))
+
+
+_INTEGERS = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+@query("op12_hard_negatives", f"""
+WITH t AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_INTEGERS} AND label IS NOT NULL),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other, list_dot_product(a.v, b.v)::BIGINT AS score FROM t a JOIN t b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, s.other AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other)""")
+def op12(spark, folder):
+    """Hard negatives of every anchor's positives among all embeddings, some labels switched."""
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"), hard_negatives.switched_label())
+
+
+@query("op13_norm_buckets", f"""
+WITH t AS MATERIALIZED (SELECT vec_id, {_INTEGERS}),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM t q JOIN t c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s QUALIFY row_number() OVER w <= 5 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)""")
+def op13(spark, folder):
+    """The five highest integer products of every query row with all embeddings."""
+    return norm_buckets.top_products(table(spark, folder, "embeddings"))
