@@ -115,7 +115,7 @@ s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.ve
 p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
 SELECT anchor_id, positive_id, row_number() OVER w AS rank, s.other AS negative_id, positive_score, s.score AS negative_score
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
-QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other)""")
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other) QUALIFY row_number() OVER w <= 10""")
 def op12(spark, folder):
     """Hard negatives of every anchor's positives among all embeddings, some labels switched."""
     return hard_negatives.hard_negatives(table(spark, folder, "embeddings"), hard_negatives.switched_label())
@@ -124,7 +124,7 @@ def op12(spark, folder):
 @query("op13_norm_buckets", f"""
 WITH t AS MATERIALIZED (SELECT vec_id, {_INTEGERS}),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM t q JOIN t c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
-SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s QUALIFY row_number() OVER w <= 5 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)""")
+SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""")
 def op13(spark, folder):
     """The five highest integer products of every query row with all embeddings."""
     return norm_buckets.top_products(table(spark, folder, "embeddings"))
