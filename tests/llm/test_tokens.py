@@ -13,9 +13,7 @@ from tidemark.llm.shared import scratch
 def plain_tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(token_files.vocabulary_file())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(token_files.vocabulary_file())
 
 
 def test_chunks_give_the_library_ids(odd):
@@ -28,6 +26,28 @@ def test_chunks_give_the_library_ids(odd):
     assert [np.frombuffer(g, enc.dtype).tolist() for g in got] == [w.ids for w in want]
 
 
+def test_special_strings(spark):
+    """As the library has them by default, or as text on request."""
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|> b  <|endoftext|>", " <|endoftext|>", "<|endoftext|> <|endoftext|>\n<|endoftext|>", "<|endo ftext|>", ""]
+    for as_text in (False, True):
+        plain = plain_tokenizer()
+        plain.encode_special_tokens = as_text
+        enc = token_files.ChunkEncoder(token_files.vocabulary_file(), as_text)
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(g, enc.dtype).tolist() for g in enc.encode_many(texts)] == want
+        assert (50256 in want[0]) != as_text
+    got = token_files.token_file_digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in got] == [len(plain_tokenizer().encode(t, add_special_tokens=False).ids) + 1 for t in texts]
+
+
+def test_memory_starts_anew(monkeypatch, odd):
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)
+    enc = token_files.ChunkEncoder(token_files.vocabulary_file())
+    plain = plain_tokenizer()
+    for _, t in odd:
+        assert np.frombuffer(enc.encode_many([t or ""])[0], enc.dtype).tolist() == plain.encode(t or "", add_special_tokens=False).ids
+
+
 def test_token_files(docs, odd):
     t = plain_tokenizer()
     got = token_files.token_file_digests(docs).collect()

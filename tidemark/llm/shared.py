@@ -6,6 +6,7 @@ import mmap
 import posixpath
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -51,15 +52,22 @@ def _store(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def write_file(path: str, *parts) -> None:
-    """Write one flat file; it appears under its name only when whole, so a repeated task does no harm."""
+@contextmanager
+def writing(path: str):
+    """An open flat file; it appears under its name only when whole, so a repeated task does no harm."""
     store, name = _store(path)
     store.create_dir(posixpath.dirname(name), recursive=True)
     draft = f"{name}.{uuid.uuid4().hex}.draft"
     with store.open_output_stream(draft) as out:
+        yield out
+    store.move(draft, name)
+
+
+def write_file(path: str, *parts) -> None:
+    """Write one flat file of ``parts``."""
+    with writing(path) as out:
         for p in parts:
             out.write(p)
-    store.move(draft, name)
 
 
 def read_file(path: str, dtype) -> np.ndarray:

@@ -18,7 +18,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import narrow, read_file, scratch, text_pieces, write_file
+from tidemark.llm.shared import narrow, read_file, scratch, text_pieces, write_file, writing
 
 VOCABULARY, END_ID, NO_ID = "byte_bpe_50k.json", 0, -(1 << 63)
 #: Chunks of text whose ids a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 1_000_000
+#: New chunks encoded in one string; how byte-level vocabularies spell a space.
+TOGETHER, SPACE = 64, "\u0120"
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -46,23 +48,41 @@ class ChunkEncoder:
     A space between two characters that are not white space always begins a
     match of the byte-level pattern, so a text falls into chunks there and the
     ids of the text are those of its chunks in turn. Chunks repeat, texts don't.
-    ``known`` has chunks without the space in front of them.
+    ``known`` has chunks without the space in front of them. New chunks are
+    encoded many in a string: a token that begins with a space begins a chunk.
+
+    Strings of special tokens in a text become their ids, as the library does by default; with ``special_as_text`` they
+    are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.tokenizer.encode_special_tokens = special_as_text
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2") if max(vocabulary.values()) < 1 << 16 else np.dtype("<u4")
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for t, i in vocabulary.items() if t.startswith(SPACE)]] = True
         self.known: dict[str, bytes] = {}
+        self.known_heads: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> Iterator[bytes]:
         for lo in range(0, len(texts), 10_000):
             for e in self.tokenizer.encode_batch_fast(texts[lo:lo + 10_000], add_special_tokens=False):
                 yield np.asarray(e.ids, self.dtype).tobytes()
 
+    def _together(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks without a space in them, each with a space in front."""
+        strings = [" " + " ".join(chunks[lo:lo + TOGETHER]) for lo in range(0, len(chunks), TOGETHER)]
+        ids = np.frombuffer(b"".join(self._encoded(strings)), self.dtype)
+        edges = (np.append(np.flatnonzero(self.begins[ids]), len(ids)) * self.dtype.itemsize).tolist()
+        if len(edges) != len(chunks) + 1:
+            raise ValueError("the vocabulary does not keep spaces at the start of tokens")
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in pairwise(edges)]
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes of ``dtype``."""
         cut = [t.split(" ") for t in texts]
@@ -71,47 +91,57 @@ class ChunkEncoder:
         if odd:  # a cut next to white space is no safe one
             cut = [c if odd.isdisjoint(c) else _SPLIT.split(t) for c, t in zip(cut, texts, strict=True)]
             wanted = set().union(*cut)
-        missing = list(wanted - self.known.keys())
-        if len(self.known) + len(missing) > REMEMBERED:
+        heads = {c[0] for c in cut}
+        if len(self.known) + len(self.known_heads) > REMEMBERED:
             self.known = {k: self.known[k] for k in wanted & self.known.keys()}
-        self.known.update(zip(missing, self._encoded([" " + k for k in missing]), strict=True))
+            self.known_heads = {k: self.known_heads[k] for k in heads & self.known_heads.keys()}
+        missing = set().union(*(islice(c, 1, None) for c in cut)) - self.known.keys()
+        spaced = [k for k in missing if " " in k or not k or k[0].isspace() or k[-1].isspace()]
+        plain = list(missing.difference(spaced))
+        self.known.update(zip(plain, self._together(plain), strict=True))
+        self.known.update(zip(spaced, self._encoded([" " + k for k in spaced]), strict=True))
+        new = list(heads - self.known_heads.keys())
+        self.known_heads.update(zip(new, self._encoded(new), strict=True))
         get = self.known.__getitem__
-        heads = self._encoded([c[0] for c in cut])
-        return [b"".join([head, *map(get, islice(c, 1, None))]) for head, c in zip(heads, cut, strict=True)]
+        return [b"".join([self.known_heads[c[0]], *map(get, islice(c, 1, None))]) for c in cut]
 
 
 @lru_cache(2)
-def encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+def encoder(path: str, special_as_text: bool = False) -> ChunkEncoder:
+    return ChunkEncoder(path, special_as_text)
 
 
-def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int | None = END_ID) -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int | None = END_ID, special_as_text: bool = False) -> DataFrame:
     """Write shards below ``folder`` and return the manifest: shard, n_docs, n_tokens, base_docs, base_tokens, width.
 
     Order is doc_id (null first, written as the least 64-bit integer), equal ids by a hash of the text; a null text is empty. A task that runs
-    again writes the same files. The manifest has one row a shard and is made on the driver from that many rows.
+    again writes the same files. Ids go to the file as they are made; a task holds the ids of one piece of text and 16
+    bytes a document. ``<|endoftext|>`` and other special strings in a text become their ids unless ``special_as_text``.
+    The manifest has one row a shard and is made on the driver from that many rows.
     """
     path, spark = vocabulary or vocabulary_file(), docs.sparkSession
     rows = narrow(docs, doc_id="doc_id", text="text").withColumn("tie", F.xxhash64("text"))
     dealt = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def run(batches):
-        enc, shard = encoder(path), TaskContext.get().partitionId()
+        enc, shard = encoder(path, special_as_text), TaskContext.get().partitionId()
         end = b"" if end_id is None else np.asarray([end_id], enc.dtype).tobytes()
-        ids, sizes, keys = [], [], []
-        for b in batches:
-            keys.append(b.column(0).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8"))
-            for lo, hi, _, _ in text_pieces(b.column(1)):
-                texts = [t or "" for t in b.column(1).slice(lo, hi - lo).to_pylist()]
-                coded = [x + end for x in enc.encode_many(texts)]
-                sizes.append(np.fromiter(map(len, coded), np.int64, len(coded)) // enc.dtype.itemsize)
-                ids.append(b"".join(coded))
-        if keys and sizes:
-            offs = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype("<i8")
-            for tail, parts in (("bin", ids), ("off", [offs.tobytes()]), ("doc", [k.tobytes() for k in keys])):
-                write_file(f"{folder}/{shard:06d}.{tail}", *parts)
-            yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([len(offs) - 1], pa.int64()), pa.array([int(offs[-1])], pa.int64()), pa.array([enc.dtype.itemsize], pa.int32())],
-                                  ["shard", "n_docs", "n_tokens", "width"])
+        sizes, keys = [], []
+        first = next(batches, None)
+        if first is None:
+            return
+        with writing(f"{folder}/{shard:06d}.bin") as out:
+            for b in chain([first], batches):
+                keys.append(b.column(0).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8"))
+                for lo, hi, _, _ in text_pieces(b.column(1)):
+                    coded = [x + end for x in enc.encode_many([t or "" for t in b.column(1).slice(lo, hi - lo).to_pylist()])]
+                    sizes.append(np.fromiter(map(len, coded), np.int64, len(coded)) // enc.dtype.itemsize)
+                    out.write(b"".join(coded))
+        offs = np.concatenate([[0], np.cumsum(np.concatenate([[], *sizes]))]).astype("<i8")
+        for tail, parts in (("off", [offs.tobytes()]), ("doc", [k.tobytes() for k in keys])):
+            write_file(f"{folder}/{shard:06d}.{tail}", *parts)
+        yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([len(offs) - 1], pa.int64()), pa.array([int(offs[-1])], pa.int64()), pa.array([enc.dtype.itemsize], pa.int32())],
+                              ["shard", "n_docs", "n_tokens", "width"])
 
     made = sorted(dealt.select("doc_id", "text").mapInArrow(run, "shard int, n_docs long, n_tokens long, width int").collect())
     out, docs_before, before = [], 0, 0
