@@ -86,24 +86,30 @@ class ChunkEncoder:
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes of ``dtype``."""
         cut = [t.split(" ") for t in texts]
-        wanted = set().union(*cut)
-        odd = {k for k in wanted if not k or k[0].isspace() or k[-1].isspace()}
-        if odd:  # a cut next to white space is no safe one
-            cut = [c if odd.isdisjoint(c) else _SPLIT.split(t) for c, t in zip(cut, texts, strict=True)]
-            wanted = set().union(*cut)
-        heads = {c[0] for c in cut}
+        seen = set().union(*cut)
         if len(self.known) + len(self.known_heads) > REMEMBERED:
-            self.known = {k: self.known[k] for k in wanted & self.known.keys()}
-            self.known_heads = {k: self.known_heads[k] for k in heads & self.known_heads.keys()}
-        missing = set().union(*(islice(c, 1, None) for c in cut)) - self.known.keys()
-        spaced = [k for k in missing if " " in k or not k or k[0].isspace() or k[-1].isspace()]
-        plain = list(missing.difference(spaced))
+            self.known, self.known_heads = {k: self.known[k] for k in seen & self.known.keys()}, {}
+        fresh = seen - self.known.keys()
+        odd = {k for k in fresh if not k or k[0].isspace() or k[-1].isspace()}
+        apart: dict[str, bytes] = {}
+        loose = [i for i, c in enumerate(cut) if not odd.isdisjoint(c)] if odd else []
+        if loose:  # a cut next to white space is no safe one
+            for i in loose:
+                cut[i] = _SPLIT.split(texts[i])
+            tails = set().union(*(islice(cut[i], 1, None) for i in loose)) - self.known.keys()
+            rare = [k for k in tails if " " in k or k[0].isspace() or k[-1].isspace()]
+            apart = dict(zip(rare, self._encoded([" " + k for k in rare]), strict=True))
+            fresh = (fresh - odd) | tails.difference(rare)
+        plain = list(fresh)
         self.known.update(zip(plain, self._together(plain), strict=True))
-        self.known.update(zip(spaced, self._encoded([" " + k for k in spaced]), strict=True))
-        new = list(heads - self.known_heads.keys())
+        new = list({c[0] for c in cut} - self.known_heads.keys())
         self.known_heads.update(zip(new, self._encoded(new), strict=True))
-        get = self.known.__getitem__
-        return [b"".join([self.known_heads[c[0]], *map(get, islice(c, 1, None))]) for c in cut]
+        get, out = self.known.__getitem__, []
+        loose_ones = set(loose)
+        for i, c in enumerate(cut):
+            tail = map(get, islice(c, 1, None)) if i not in loose_ones else (apart[k] if k in apart else get(k) for k in islice(c, 1, None))
+            out.append(b"".join([self.known_heads[c[0]], *tail]))
+        return out
 
 
 @lru_cache(2)
