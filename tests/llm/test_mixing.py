@@ -9,7 +9,7 @@ from tidemark.llm import mixing
 def test_marginals_meet_targets(spark):
     rows = [(f"s{a}", f"l{b}", f"t{c}", 10 + 97 * a + 31 * b + 5 * c * a * a) for a in range(5) for b in range(3) for c in range(4)]
     cells = spark.createDataFrame([*rows, ("s9", "l0", "t0", 0)], "source string, lang string, topic string, n_tokens long")
-    out = mixing.raked(cells, rounds=25)
+    out = mixing.raked(cells)
     total = sum(r[3] for r in rows)
     for d in mixing.DIMENSIONS:
         want = {r[d]: r.target for r in mixing._targets(cells, d, mixing.FLATTEN).collect()}
@@ -34,20 +34,44 @@ def test_sample_follows_probability(spark):
     assert share == pytest.approx(0.3, abs=0.02)
 
 
-def test_draws_meet_targets_when_weights_are_great(spark):
-    """Rare classes get weights far above 1 / KEPT_SHARE."""
-    rows = [(i, "legal icense term" if i % 100 == 0 else "made | cells" if i % 40 == 1 else "plain words here", "de" if i % 25 == 3 else "en", "s1" if i % 50 == 7 else "s0") for i in range(8_000)]
+def test_sample_meets_targets(spark):
+    """Rare classes get weights far above one; no probability exceeds one, and the expected shares are the targets."""
+    rows = [(i, "legal license term" if i % 800 == 0 else "made | cells" if i % 40 == 1 else "plain words here", "de" if i % 25 == 3 else "en", "s1" if i % 50 == 7 else "s0") for i in range(8_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     out = mixing.weighted(docs).cache()
-    assert out.agg(F.max("weight")).first()[0] * mixing.KEPT_SHARE > 2
+    most = out.agg(F.max("weight"), F.max("prob")).first()
+    assert most[0] > 1 / mixing.KEPT_SHARE and most[1] == pytest.approx(1)
     cells = out.groupBy(*mixing.DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens"))
-    got = mixing.drawn(docs).cache()
-    assert got.columns == docs.columns
-    assert {r.doc_id for r in got.select("doc_id").distinct().collect()} == {r.doc_id for r in out.where("kept").collect()}
-    have = got.withColumn("topic", mixing.topic(F.col("text")))
+    total = out.agg(F.sum(F.col("n_tokens") * F.col("prob"))).first()[0]
     for d in mixing.DIMENSIONS:
         want = {r[d]: r.target for r in mixing._targets(cells, d, mixing.FLATTEN).collect()}
-        share = {r[d]: r["count"] / got.count() for r in have.groupBy(d).count().collect()}
-        assert share == pytest.approx(want, rel=0.15)
-    mean = spark.range(20_000).select(mixing.draws(F.lit(2.3), F.col("id")).alias("n")).agg(F.avg("n")).first()[0]
-    assert mean == pytest.approx(2.3, abs=0.02)
+        have = {r[d]: r.t / total for r in out.groupBy(d).agg(F.sum(F.col("n_tokens") * F.col("prob")).alias("t")).collect()}
+        assert have == pytest.approx(want, rel=1e-6)
+    got = mixing.sample(docs)
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in out.where("kept").collect())
+
+
+def test_weights_of_a_loop(spark):
+    """Against plain rounds; empty cells make the fitting slow."""
+    rows = [("a", "x", "p", 50), ("a", "y", "q", 5), ("b", "x", "q", 8), ("c", "y", "p", 1), ("c", "z", "q", 20)]
+    targets, w = [], [1.0] * 5
+    for k in range(3):
+        sums = {}
+        for r in rows:
+            sums[r[k]] = sums.get(r[k], 0) + r[3]
+        targets.append({c: s ** mixing.FLATTEN / sum(x ** mixing.FLATTEN for x in sums.values()) for c, s in sums.items()})
+    for _ in range(9):
+        for k in range(3):
+            have = {}
+            for r, x in zip(rows, w, strict=True):
+                have[r[k]] = have.get(r[k], 0) + r[3] / 84 * x
+            w = [x * targets[k][r[k]] / have[r[k]] for r, x in zip(rows, w, strict=True)]
+    out = mixing.raked(spark.createDataFrame(rows, "source string, lang string, topic string, n_tokens long"), rounds=9)
+    assert {tuple(r[:3]): r.weight for r in out.collect()} == pytest.approx({r[:3]: x for r, x in zip(rows, w, strict=True)}, rel=1e-6)
+
+
+def test_topic(spark):
+    texts = ["", "plain words", "see | here | there", "mail a@b.c", "license and copyright", "x = {y};", "http://a.b/c", "one = | two", ("word " * 99) + "a@b", ("word " * 150) + "a@b", "a\tb"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.topic(F.col("text"))).collect()]
+    assert got == ["prose", "prose", "table", "contact", "legal", "code", "web", "table", "contact", "prose", "table"]

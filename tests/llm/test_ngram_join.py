@@ -68,8 +68,20 @@ def test_no_documents(none):
     assert ngram_join.keep_one(none).count() == 0
 
 
-def test_one_of_each_stays(docs, odd):
-    kept = ngram_join.keep_one(docs)
+def test_one_of_each_stays(spark, docs, odd):
+    """Rows that share a doc_id or have none are rows of their own: one of each component stays, whatever its id."""
+    more = [(i, t) for _, t in odd[:14] for i in (None, 7)] + [(None, odd[5][1])] * 3
+    rows = [*odd, *more]
+    df = frame(spark, rows).repartition(3)
+    kept = ngram_join.keep_one(df)
     assert kept.columns == docs.columns
-    gone = {int(i) for i, n, c in plain(odd) if n and i != "None" and i != c}
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in odd if i not in gone)
+    numbered = {(k, n, c) for k, n, c in ((int(k), n, int(c)) for k, n, c in plain([(k, t) for k, (_, t) in enumerate(rows)]))}
+    groups = defaultdict(list)
+    for k, n, c in numbered:
+        groups[c if n else ("none", k)].append(rows[k])
+    want = [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values()]
+    got = kept.collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in want)
+    of = {t: c if n else None for (k, n, c) in numbered for t in [rows[k][1]]}
+    with_words = [of[r.text] for r in got if of[r.text] is not None]
+    assert len(with_words) == len(set(with_words))

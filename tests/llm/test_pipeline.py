@@ -39,5 +39,10 @@ def test_query_matches_sql(spark, name):
     assert ok, message
 
 
-def test_ten_queries():
-    assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda n: int(n.split("_")[0][2:]))] == [f"op{k}" for k in range(1, 11)]
+def test_a_query_for_every_operator():
+    assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda n: int(n.split("_")[0][2:]))] == [f"op{k}" for k in range(1, 14)]
+
+
+def test_empty_table(spark, none, tmp_path):
+    none.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -72,5 +72,7 @@ def test_hot_anchors_are_counted_window_by_window(spark):
     df = frame(spark, rows).repartition(4)
     assert run(df, 200, 64, 60) == plain(rows, 200)
     windows, heated, strings, count = repeats.find_repeats(df, hot=60)
-    sizes = [len(repeats.Lookup(windows, count)._shard(s)[0]) for s in range(count)]
+    sizes = [len(repeats.Lookup(*windows, count)._shard(s)[0]) for s in range(count)]
+    with pytest.raises(FileNotFoundError):
+        repeats.Lookup(windows[0] + "-lost", windows[1], count)._shard(windows[1][0])
     assert heated is not None and max(sizes) < 150

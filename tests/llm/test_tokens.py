@@ -86,6 +86,21 @@ def test_pieces_encode_as_the_whole():
         assert codec.decode(ids) == text.encode()
 
 
+def test_long_white_space(monkeypatch, spark):
+    """Short runs taken apart give the library's ids; runs that end the library's matcher are coded and restored."""
+    codec, rnd = byte_bpe.codec(byte_bpe.rank_file()), random.Random(6)
+    with monkeypatch.context() as m:
+        m.setattr(byte_bpe, "WHOLE_CHARS", 4)
+        m.setattr(byte_bpe, "_RUN", byte_bpe.re.compile(byte_bpe._RUN.pattern.replace(str(byte_bpe.LONG_RUN), "2")))
+        for _ in range(3000):
+            text = "".join(rnd.choice([" ", "\n", "\t", "\x85", "\u3000", "\x1c", "a", "'s", "7", "!?"]) * rnd.choice([1, 1, 2, 5]) for _ in range(rnd.randint(0, 12)))
+            assert codec.encode(text) == codec._enc.encode_ordinary(text)
+    long = [" " * 2_000_000, "a" + "\n" * 2_000_000 + "b", "x " + " \n" * 1_000_000 + " word\n" + "\t" * 1_500_000]
+    got = byte_bpe.round_trip(spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert all(r.restored for r in got)
+    assert got[0].n_tokens == 2_000_000 and got[1].n_tokens == 2_000_002
+
+
 def test_round_trip(docs, odd):
     codec = byte_bpe.codec(byte_bpe.rank_file())
     want = sorted((str(i), n, a, b, True) for i, t in odd for ids in [codec._enc.encode_ordinary(t or "")] for n, a, b in

@@ -4,6 +4,10 @@ Long texts are cut where no match of the pattern can span the cut: before a
 single space that stands between two characters that are not white space.
 Every match of the pattern ends or begins there whatever surrounds it, so the
 pieces encode to the same ids as the whole text.
+
+The library's matcher ends the process on runs of about a million white-space
+characters. Such a run is one match of the pattern, all but its last character
+when text follows; that match goes straight to the merges.
 """
 
 from __future__ import annotations
@@ -23,6 +27,9 @@ from tidemark.llm.shared import narrow
 
 RANKS, WHOLE_CHARS = "byte_bpe_multi_50k.tiktoken", 1 << 16
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: Runs of so many characters with the White_Space property are matched here; the library manages nine times as many.
+LONG_RUN = 100_000
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 def rank_file(name: str = RANKS) -> str:
@@ -50,6 +57,14 @@ class Codec:
             return []
         if len(text) <= WHOLE_CHARS:
             return self._enc.encode_ordinary(text)
+        ids, at = [], 0
+        for run in _RUN.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            ids += self._cut(text[at:run.start()]) + self._enc._encode_single_piece(text[run.start():end])
+            at = end
+        return ids + self._cut(text[at:])
+
+    def _cut(self, text: str) -> list[int]:
         ids: list[int] = []
         for piece in pieces(text):
             ids += self._enc.encode_ordinary(piece)

@@ -17,7 +17,7 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     before = None
-    for _ in range(rounds):
+    for _ in range(rounds):  # each about halves the longest way to a root
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -29,5 +29,7 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
         if before == now:
             break
         before = now
+    else:
+        raise RuntimeError(f"components still change after {rounds} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

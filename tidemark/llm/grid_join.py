@@ -233,7 +233,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     directions, folder = rotation(distinct), scratch(vectors.sparkSession, "blocks")
     blocks = stored(_sequence(_projected(distinct, directions, eps), directions, eps, folder), "sequence")
     pairs = stored(_block_pairs(blocks, eps), "pairs")
-    found = stored(_joined(pairs.repartition("a", "b"), directions, folder, cosine), "found")
+    n, cores = pairs.count(), vectors.sparkSession.sparkContext.defaultParallelism
+    # By number: the rows are names, so their bytes say nothing about the work, and adaptive coalescing would leave one task.
+    found = stored(_joined(pairs.repartition(max(1, min(n, max(4 * cores, n // 64))), "a", "b"), directions, folder, cosine), "found")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     comp = connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     about = distinct.select("node", "weight", "least").join(links, "node", "left").join(comp, "node", "left").select(

@@ -109,6 +109,8 @@ class Model:
 
     folder: str
     bases: tuple[int, ...]
+    #: Shards that have pairs.
+    paired: tuple[int, ...]
     tokens: int
     cc_total: int
     pair_discounts: tuple[float, float, float]
@@ -134,16 +136,15 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 class Shards:
     """Mapped arrays of a model; each shard is opened when first asked for."""
 
-    def __init__(self, folder: str, bases: tuple[int, ...]):
-        self.folder, self.bases, self.opened = folder, np.array(bases), {}
+    def __init__(self, folder: str, bases: tuple[int, ...], paired: tuple[int, ...] = ()):
+        self.folder, self.bases, self.paired, self.opened = folder, np.array(bases), frozenset(paired), {}
 
     def array(self, shard: int, name: str, dtype) -> np.ndarray:
         key = shard, name
         if key not in self.opened:
-            try:
-                self.opened[key] = read_file(f"{self.folder}/{shard:06d}.{name}", dtype)
-            except FileNotFoundError:  # a shard that got no word or pair is not written
-                self.opened[key] = np.empty(0, dtype)
+            # A shard that got no word, or no pair, is not written; any other file must be there.
+            written = shard in self.paired if name in ("k", "n", "ctx") else self.bases[shard + 1] > self.bases[shard]
+            self.opened[key] = read_file(f"{self.folder}/{shard:06d}.{name}", dtype) if written else np.empty(0, dtype)
         return self.opened[key]
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
@@ -151,7 +152,7 @@ class Shards:
         count = len(self.bases) - 1
         out = np.full(len(hashes), -1, np.int64)
         cuts = np.searchsorted(_shard_of(hashes, count), np.arange(count + 1))
-        for s in np.flatnonzero(np.diff(cuts)):
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
             h = self.array(s, "h", "<u8")
             if len(h):
                 q = hashes[cuts[s]:cuts[s + 1]]
@@ -163,7 +164,7 @@ class Shards:
         """Values at sorted ids, all known."""
         out = np.empty(len(ids), dtype)
         cuts = np.searchsorted(ids, self.bases)
-        for s in np.flatnonzero(np.diff(cuts)):
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
             out[cuts[s]:cuts[s + 1]] = self.array(s, name, dtype)[ids[cuts[s]:cuts[s + 1]] - self.bases[s]]
         return out
 
@@ -173,7 +174,7 @@ class Shards:
         cuts = np.searchsorted(first, np.append(self.bases[:-1], self.bases[-1] + 1))
         cuts[0] = 0
         out = np.zeros(len(keys), np.uint32)
-        for s in np.flatnonzero(np.diff(cuts)):
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
             k = self.array(s, "k", "<u8")
             if len(k):
                 q = keys[cuts[s]:cuts[s + 1]]
@@ -183,8 +184,8 @@ class Shards:
 
 
 @lru_cache(1)
-def opened(folder: str, bases: tuple[int, ...]) -> Shards:
-    return Shards(folder, bases)
+def opened(folder: str, bases: tuple[int, ...], paired: tuple[int, ...] = ()) -> Shards:
+    return Shards(folder, bases, paired)
 
 
 def _shard_of(hashes: np.ndarray, count: int) -> np.ndarray:
@@ -254,7 +255,7 @@ def fit(docs: DataFrame) -> Model:
             cuts = np.searchsorted(first, np.append(edges[:-1], start_id + 1))
             cuts[0] = 0
             step = np.diff(first, prepend=0)
-            for s in np.flatnonzero(np.diff(cuts)):
+            for s in np.flatnonzero(np.diff(cuts)).tolist():
                 step[cuts[s]] = first[cuts[s]] - edges[s]
             return _blocks(cuts, step.astype("<u4"), (k & np.uint64(0xFFFFFFFF)).astype("<u4"), c.astype("<u4"))
 
@@ -301,7 +302,8 @@ def fit(docs: DataFrame) -> Model:
     d1, d2, d3 = by_word = discounts(*word[1:5])
     more = start_id - word["m1"] - word["m2"]
     spare = (d1 * word["m1"] + d2 * word["m2"] + d3 * more) / max(1, word["total"])
-    return Model(folder, bases, tokens, word["total"], discounts(*pair[:4]), by_word, spare)
+    paired = tuple(sorted(r.shard for r in pairs.where("block IS NULL").select("shard").collect()))  # a row a shard at most
+    return Model(folder, bases, paired, tokens, word["total"], discounts(*pair[:4]), by_word, spare)
 
 
 def _discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
@@ -319,7 +321,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     start_id, total = words, model.tokens
 
     def run(batches):
-        have = opened(folder, bases)
+        have = opened(folder, bases, model.paired)
         for b in batches:
             keys = b.column(0).to_pylist()
             held = held_out(keys)
@@ -367,7 +369,7 @@ def _contexts(have: Shards, ids: np.ndarray) -> np.ndarray:
     """Context rows at sorted known ids; the beginning's lies behind the last shard's words."""
     out = np.zeros(len(ids), _CTX)
     cuts = np.searchsorted(ids, np.append(have.bases[:-1], have.bases[-1] + 1))
-    for s in np.flatnonzero(np.diff(cuts)):
+    for s in np.flatnonzero(np.diff(cuts)).tolist():
         part = slice(cuts[s], cuts[s + 1])
         rows = have.array(s, "ctx", _CTX)
         if len(rows):

@@ -2,12 +2,11 @@
 
 Documents are summed to cells (source, language, topic) of tokens. Each round
 scales the cells' weights so that their tokens meet the target share of every
-source, then of every language, then of every topic. A document is drawn
-``KEPT_SHARE`` times its cell's weight times on average: the whole part for
-certain, the rest decided by a hash of its id. So the draws have the target
-shares in expectation however great a weight is; ``prob`` is the probability of
-being drawn at all, and the documents drawn at all don't have those shares once
-a weight exceeds 1 / ``KEPT_SHARE``.
+source, then of every language, then of every topic, until a round changes no
+weight any more. A document is kept with the probability ``share`` times its
+cell's weight, where ``share`` is at most one over the greatest weight: so no
+probability exceeds one and the sample has the target shares in expectation,
+with every document at most once.
 """
 
 from __future__ import annotations
@@ -20,21 +19,34 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import stored
 
 DIMENSIONS = ("source", "lang", "topic")
-#: Target shares are the observed ones to this power, made to sum to one: large classes give way to small ones.
-FLATTEN, ROUNDS, KEPT_SHARE, SEED = 0.7, 12, 0.8, "mix-1"
+#: Target shares are the observed ones to this power, made to sum to one: large classes give way to small ones. The
+#: greatest weight, and with it the part of the documents that a sample without repeats can hold, follows from it.
+FLATTEN = 0.95
+#: No more than this part of the tokens is kept, even where no weight exceeds one.
+KEPT_SHARE, SEED = 0.8, "mix-1"
+#: A round that changes weights by less than this (relative) is the last.
+TOLERANCE, ROUNDS = 1e-10, 30
 WORD = r"[^\x20\x09-\x0D]+"
+#: Marks of each kind of writing, and how many of a hundred words have to be matched by a kind's marks.
+MARKS = {"legal": "[Ll]icen[cs]e|[Cc]opyright|LICENSE|COPYRIGHT|[Ww]arrant", "table": r"[|]|\t", "contact": r"@|\+[0-9]", "web": "://|www[.]", "code": "[{};=<>]"}
+MARKED, OTHER = 1, "prose"
 
 
-def topic(text: Column) -> Column:
-    """Kind of writing by plain marks in the text."""
-    return (F.when(text.contains("icense"), "legal").when(text.contains(" | "), "table").when(text.contains("@"), "contact")
-            .when(text.contains("://"), "web").otherwise("prose"))
+def topic(text: Column, n_words: Column | None = None) -> Column:
+    """Kind of writing with the most marks, the first of equals; ``prose`` if there are fewer than ``MARKED`` in a hundred words."""
+    words = F.regexp_count(text, F.lit(WORD)) if n_words is None else n_words
+    hits = [F.regexp_count(text, F.lit(p)) for p in MARKS.values()]
+    most = F.struct(F.greatest(*hits).alias("most"), words.alias("n"), *[h.alias(k) for k, h in zip(MARKS, hits, strict=True)])
+    # The counts are made once, then looked at.
+    named = F.transform(F.array(most), lambda m: F.coalesce(F.when((m["n"] == 0) | (m["most"] * (100 // MARKED) < m["n"]), OTHER), *[F.when(m[k] == m["most"], k) for k in MARKS]))
+    return named[0]
 
 
 def _attributes(docs: DataFrame) -> DataFrame:
     text = F.coalesce("`text`", F.lit(""))
+    words = F.regexp_count(text, F.lit(WORD)).cast("long")
     return docs.select(F.col("`doc_id`").alias("doc_id"), F.coalesce("`source`", F.lit("")).alias("source"), F.coalesce("`lang`", F.lit("")).alias("lang"),
-                       topic(text).alias("topic"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_tokens"))
+                       topic(text, words).alias("topic"), words.alias("n_tokens"))
 
 
 def _targets(cells: DataFrame, dimension: str, flatten: float) -> DataFrame:
@@ -43,21 +55,29 @@ def _targets(cells: DataFrame, dimension: str, flatten: float) -> DataFrame:
     return sums.select(dimension, (F.col("p") / sums.agg(F.sum("p")).scalar()).alias("target"))
 
 
-def raked(cells: DataFrame, dimensions: Sequence[str] = DIMENSIONS, flatten: float = FLATTEN, rounds: int = ROUNDS) -> DataFrame:
+def raked(cells: DataFrame, dimensions: Sequence[str] = DIMENSIONS, flatten: float = FLATTEN, tolerance: float = TOLERANCE, rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (dimensions, n_tokens) with the weight that brings their token shares to the targets.
 
-    Sums and joins over cells only, written to the shared folder once a round. Cells without tokens have weight 1.
+    Sums and joins over cells only, written to the shared folder once a round; the driver sees one number a round.
+    Cells without tokens have weight 1. Where cells are empty that the targets would need, rounds may go on for long;
+    after ``rounds`` of them the last weights stand, with the last dimension's shares met exactly.
     """
     cells = stored(cells, "cells")
     total = cells.agg(F.sum("n_tokens").cast("double")).scalar()
     targets = {d: stored(_targets(cells, d, flatten), "targets") for d in dimensions}
     now = stored(cells.where("n_tokens > 0").select(*dimensions, (F.col("n_tokens") / total).alias("share")).withColumn("weight", F.lit(1.0)), "raked")
     for _ in range(rounds):
+        nxt = now.withColumn("was", F.col("weight"))
         for d in dimensions:
-            have = now.groupBy(d).agg(F.sum(F.col("share") * F.col("weight")).alias("have")).join(targets[d], d).select(d, (F.col("target") / F.col("have")).alias("factor"))
-            now = now.join(have, d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        now = stored(now.select(*dimensions, "share", "weight"), "raked")
-    return cells.join(now.drop("share"), list(dimensions), "left").select(*dimensions, "n_tokens", F.coalesce("weight", F.lit(1.0)).alias("weight"))
+            # Sorted joins: a hash table for each of the small sides of every round would fill the driver.
+            have = nxt.groupBy(d).agg(F.sum(F.col("share") * F.col("weight")).alias("have")).join(targets[d].hint("merge"), d).select(d, (F.col("target") / F.col("have")).alias("factor"))
+            nxt = nxt.join(have.hint("merge"), d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+        now = stored(nxt.select(*dimensions, "share", "weight", F.abs(F.col("weight") / F.col("was") - 1).alias("change")), "raked")
+        change = now.agg(F.max("change")).first()[0]
+        now = now.drop("change")
+        if change is None or change < tolerance:
+            break
+    return stored(cells.join(now.drop("share"), list(dimensions), "left").select(*dimensions, "n_tokens", F.coalesce("weight", F.lit(1.0)).alias("weight")), "weights")
 
 
 def uniform(key: Column, seed: str = SEED) -> Column:
@@ -65,61 +85,53 @@ def uniform(key: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":" + seed))), 1, 8), 16, 10).cast("double") / F.lit(float(2 ** 32))
 
 
+def _calibrated(attributes: DataFrame, kept_share: float) -> DataFrame:
+    """(dimensions, weight, prob) of every cell: prob is the weight times the share that keeps the greatest one at 1 or below."""
+    cells = raked(attributes.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")))
+    most = cells.agg(F.max(F.when(F.col("n_tokens") > 0, F.col("weight")))).scalar()
+    prob = F.col("weight") * F.least(F.lit(kept_share), 1.0 / most)
+    return stored(cells.select(*DIMENSIONS, "weight", F.least(F.lit(1.0), F.coalesce(prob, F.lit(kept_share))).alias("prob")), "probabilities")
+
+
 def weighted(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, weight, prob, kept per document.
 
-    Null source or language is the class "", null text has no tokens. Repeated rows are decided alike.
+    Null source or language is the class "", null text has no tokens. Cells without tokens have weight 1 and move no
+    share. Repeated rows are decided alike.
     """
     attributes = stored(_attributes(docs), "attributes")
-    weights = raked(attributes.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens"))).drop("n_tokens")
-    prob = F.least(F.lit(1.0), F.lit(kept_share) * F.col("weight"))
-    return attributes.join(weights, list(DIMENSIONS)).withColumn("prob", prob).withColumn("kept", uniform(F.col("doc_id")) < F.col("prob")).select(
-        "doc_id", *DIMENSIONS, "n_tokens", "weight", "prob", "kept")
+    cells = _calibrated(attributes, kept_share)
+    return attributes.join(cells, list(DIMENSIONS)).withColumn("kept", uniform(F.col("doc_id")) < F.col("prob")).select("doc_id", *DIMENSIONS, "n_tokens", "weight", "prob", "kept")
 
 
-def _sampled(docs: DataFrame, kept_share: float, times) -> DataFrame:
-    """The documents with all their columns, each as many times as ``times`` (a function of its draws) says."""
-    weights = raked(_attributes(docs).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens"))).drop("n_tokens")
+def sample(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
+    """The kept documents with all their columns; their tokens have the target shares in expectation."""
+    cells = _calibrated(stored(_attributes(docs), "attributes"), kept_share)
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = dict(zip(docs.columns, names, strict=True))
     col = lambda k: F.col(at[k])
     keyed = docs.toDF(*names).withColumns({"source": F.coalesce(col("source"), F.lit("")), "lang": F.coalesce(col("lang"), F.lit("")), "topic": topic(F.coalesce(col("text"), F.lit("")))})
-    chosen = keyed.join(weights, list(DIMENSIONS)).withColumn("draws", draws(F.lit(kept_share) * F.col("weight"), col("doc_id"))).where("draws > 0")
-    return times(chosen).select(*names).toDF(*docs.columns)
+    return keyed.join(cells, list(DIMENSIONS)).where(uniform(col("doc_id")) < F.col("prob")).select(*names).toDF(*docs.columns)
 
 
-def draws(expected: Column, key: Column) -> Column:
-    """Whole number of draws with the mean ``expected``; at least one exactly where the hash of the key is below ``expected``."""
-    whole = F.floor(expected)
-    return (whole + (uniform(key) < expected - whole).cast("long")).cast("int")
-
-
-def sample(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
-    """The documents drawn at least once, once each, with all their columns; for the target shares take ``drawn``."""
-    return _sampled(docs, kept_share, lambda chosen: chosen)
-
-
-def drawn(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
-    """The sample with the target shares in expectation: documents with all their columns, one row per draw."""
-    return _sampled(docs, kept_share, lambda chosen: chosen.withColumn("draw", F.explode(F.array_repeat(F.lit(0), F.col("draws")))))
-
-
-def oracle() -> str:
+def oracle(rounds: int = ROUNDS) -> str:
     """The same in SQL, all rounds written out."""
-    ctes = [r"""a AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
-  CASE WHEN contains(text, 'icense') THEN 'legal' WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '@') THEN 'contact'
-       WHEN contains(text, '://') THEN 'web' ELSE 'prose' END AS topic, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents)""",
+    hits = ", ".join(f"len(regexp_extract_all(t, '{p}')) AS h_{k}" for k, p in MARKS.items())
+    most = f"greatest({', '.join('h_' + k for k in MARKS)})"
+    ctes = [f"""w AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
+h AS (SELECT doc_id, source, lang, len(regexp_extract_all(t, '{WORD}'))::BIGINT AS n_tokens, {hits} FROM w),
+a AS (SELECT doc_id, source, lang, n_tokens, CASE WHEN n_tokens = 0 OR {most} * {100 // MARKED} < n_tokens THEN '{OTHER}' {' '.join(f"WHEN h_{k} = {most} THEN '{k}'" for k in MARKS)} END AS topic FROM h)""",
             "cells AS (SELECT source, lang, topic, sum(n_tokens) AS n FROM a GROUP BY ALL HAVING sum(n_tokens) > 0)"]
     for d in DIMENSIONS:
         ctes.append(f"t_{d} AS (SELECT {d}, pow(sum(n)::DOUBLE, {FLATTEN}::DOUBLE) / sum(pow(sum(n)::DOUBLE, {FLATTEN}::DOUBLE)) OVER () AS target FROM cells GROUP BY {d})")
     ctes.append("r0 AS (SELECT source, lang, topic, n::DOUBLE / sum(n) OVER () AS share, 1::DOUBLE AS weight FROM cells)")
     last, k = "r0", 0
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         for d in DIMENSIONS:
             k += 1
             ctes.append(f"r{k} AS MATERIALIZED (SELECT source, lang, topic, share, weight * (target / sum(share * weight) OVER (PARTITION BY {d})) AS weight FROM {last} JOIN t_{d} USING ({d}))")
             last = f"r{k}"
+    prob = f"least(1::DOUBLE, coalesce(weight, 1) * least({KEPT_SHARE}::DOUBLE, 1 / (SELECT max(weight) FROM {last})))"
     return "WITH " + ",\n".join(ctes) + f"""
-SELECT doc_id, source, lang, topic, n_tokens, round(coalesce(weight, 1), 6) AS weight, round(least(1::DOUBLE, {KEPT_SHARE}::DOUBLE * coalesce(weight, 1)), 6) AS prob,
-  (u / 4294967296::DOUBLE) < least(1::DOUBLE, {KEPT_SHARE}::DOUBLE * coalesce(weight, 1)) AS kept
+SELECT doc_id, source, lang, topic, n_tokens, round(coalesce(weight, 1), 6) AS weight, round({prob}, 6) AS prob, (u / 4294967296::DOUBLE) < {prob} AS kept
 FROM (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':{SEED}'), 1, 8))::BIGINT AS u FROM a) LEFT JOIN {last} USING (source, lang, topic)"""

@@ -236,7 +236,7 @@ def _keep_named(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         held, total, part = [], 0, 0
 
         def flush():
-            name = f"{folder}/{TaskContext.get().partitionId():06d}-{part:04d}.grams"
+            name = f"{folder}/{TaskContext.get().partitionId():06d}-{TaskContext.get().taskAttemptId()}-{part:04d}.grams"  # rows hold places in this attempt's file
             write_file(name, *[g.tobytes() for _, g in held])
             n = np.array([len(g) for _, g in held], np.int64)
             odd = [np.packbits(np.bincount((g % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1).view("<i8") for _, g in held]
@@ -371,6 +371,18 @@ def components(docs: DataFrame, k: int = WORDS, threshold: tuple[int, int] = THR
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the smallest doc_id of each component, all columns kept; documents without words all stay."""
-    label = components(docs).where("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(label, docs["doc_id"] == label["__gone"], "left_anti")
+    """One row of each component, all columns kept; rows without words all stay.
+
+    The row with the smallest doc_id stays, null after all others; of several such rows the one with the least hash of
+    all its columns; of equal rows any one.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, names, strict=True))
+    # A written number for each row: rows that share a doc_id, or have none, are told apart by it.
+    rows = stored(docs.toDF(*names).withColumn("__no", F.monotonically_increasing_id()), "numbered")
+    found = components(rows.select(F.col("__no").alias("doc_id"), F.col(at["text"]).alias("text"))).where("n_shingles > 0")
+    order = F.struct(F.col(at["doc_id"]).isNull(), F.col(at["doc_id"]), F.xxhash64(*names), "__no")
+    keyed = rows.select("__no", order.alias("o")).join(found.select(F.col("doc_id").alias("__no"), "component_id"), "__no")
+    first = keyed.groupBy("component_id").agg(F.min("o").alias("o")).select(F.col("o.__no").alias("__kept"))
+    gone = keyed.join(first, F.col("__no") == F.col("__kept"), "left_anti").select(F.col("__no").alias("__gone"))
+    return rows.join(gone, F.col("__no") == F.col("__gone"), "left_anti").select(*names).toDF(*docs.columns)

@@ -102,17 +102,17 @@ def window_hashes(data: np.ndarray, key: np.ndarray, first: np.ndarray, last: np
 
 
 class Lookup:
-    """Sorted 64-bit keys in files by shard, each with a fixed number of bytes beside it."""
+    """Sorted 64-bit keys in files by shard, each with a fixed number of bytes beside it. Shards that were not written hold nothing; a written one must be there."""
 
-    def __init__(self, folder: str, count: int, beside: int = 0):
-        self.folder, self.count, self.beside, self.opened = folder, count, beside, {}
+    def __init__(self, folder: str, written: tuple[int, ...], count: int, beside: int = 0):
+        self.folder, self.written, self.count, self.beside, self.opened = folder, frozenset(written), count, beside, {}
 
     def _shard(self, s: int):
         if s not in self.opened:
-            try:
+            if s in self.written:
                 keys = read_file(f"{self.folder}/{s:06d}.key", "<u8")
                 self.opened[s] = keys, read_file(f"{self.folder}/{s:06d}.val", np.uint8).reshape(len(keys), self.beside) if self.beside else None
-            except FileNotFoundError:  # nothing fell into this shard
+            else:
                 self.opened[s] = np.empty(0, np.uint64), np.empty((0, self.beside), np.uint8)
         return self.opened[s]
 
@@ -121,7 +121,7 @@ class Lookup:
         order = np.lexsort((keys, shard))
         cuts = np.searchsorted(shard[order], np.arange(self.count + 1))
         hit, values = np.zeros(len(keys), bool), np.zeros((len(keys), self.beside), np.uint8)
-        for s in np.flatnonzero(np.diff(cuts)):
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
             have, beside = self._shard(s)
             if len(have):
                 q = order[cuts[s]:cuts[s + 1]]
@@ -133,8 +133,8 @@ class Lookup:
 
 
 @lru_cache(4)
-def lookup(folder: str, count: int, beside: int = 0) -> Lookup:
-    return Lookup(folder, count, beside)
+def lookup(folder: str, written: tuple[int, ...], count: int, beside: int = 0) -> Lookup:
+    return Lookup(folder, written, count, beside)
 
 
 def repeated_windows(keys: np.ndarray, contexts: list[bytes], left: np.ndarray, spare: np.ndarray, weight: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
@@ -249,20 +249,22 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
             return pa.table({"shard": pa.array([s], pa.int32()), "n": pa.array([int(many.sum())])})
 
         made = _text_only(docs).mapInArrow(count_keys, "shard int, block binary").groupBy("shard").applyInArrow(keep_repeated, "shard int, n long")
-        return made.agg(F.sum("n")).first()[0] or 0
+        got = made.collect()  # a row a shard
+        return (folder, tuple(sorted(r.shard for r in got))), (often, tuple(sorted(r.shard for r in got if r.n)))
 
     def hot_windows(data, offs):
-        known = lookup(heated, count)
+        known = lookup(*heated, count)
         for key, _, first, last, _ in anchors(data, offs, length, gram):
             hit = np.flatnonzero(known.find(_shard_of(key, count), key)[0])
             yield window_hashes(data, key[hit], first[hit], last[hit], length)[1]
 
-    any_hot = counted(lambda data, offs: (key for key, *_ in anchors(data, offs, length, gram)), seen, heated) > 0
+    seen, heated = counted(lambda data, offs: (key for key, *_ in anchors(data, offs, length, gram)), seen, heated)
+    any_hot = len(heated[1]) > 0
     if any_hot:
-        counted(hot_windows, strings, None)
+        strings, _ = counted(hot_windows, strings, None)
 
     def send_contexts(batches):
-        known, apart = lookup(seen, count), lookup(heated, count) if any_hot else None
+        known, apart = lookup(*seen, count), lookup(*heated, count) if any_hot else None
 
         def emit(rows):
             m = np.array([(*k, v[1], v[2], v[3], len(v[0])) for k, v in rows.items()], meta)
@@ -323,8 +325,8 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
         write_file(f"{windows}/{s:06d}.key", ctx[order].tobytes())
         return pa.table({"shard": pa.array([s], pa.int32()), "n": pa.array([len(ctx)])})
 
-    _text_only(docs).mapInArrow(send_contexts, "shard int, block binary").groupBy("shard").applyInArrow(expand, "shard int, n long").write.format("noop").mode("overwrite").save()
-    return windows, heated if any_hot else None, strings, count
+    made = _text_only(docs).mapInArrow(send_contexts, "shard int, block binary").groupBy("shard").applyInArrow(expand, "shard int, n long").collect()
+    return (windows, tuple(sorted(r.shard for r in made))), heated if any_hot else None, strings, count
 
 
 def _packed_count(c: np.ndarray) -> np.ndarray:
@@ -339,12 +341,12 @@ def _least_count(b: np.ndarray) -> np.ndarray:
 
 def _covered(data, offs, found: tuple, length: int, gram: int) -> np.ndarray:
     windows, heated, strings, count = found
-    have, change = lookup(windows, count, -(-(length - gram + 1) // 8)), np.zeros(len(data) + 1, np.int32)
+    have, change = lookup(*windows, count, -(-(length - gram + 1) // 8)), np.zeros(len(data) + 1, np.int32)
     for key, a, low, high, ctx in anchors(data, offs, length, gram):
         if heated is not None:
-            hot = np.flatnonzero(lookup(heated, count).find(_shard_of(key, count), key)[0])
+            hot = np.flatnonzero(lookup(*heated, count).find(_shard_of(key, count), key)[0])
             start, string = window_hashes(data, key[hot], low[hot], high[hot], length)
-            start = start[lookup(strings, count).find(_shard_of(string, count), string)[0]]
+            start = start[lookup(*strings, count).find(_shard_of(string, count), string)[0]]
             np.add.at(change, start, 1)
             np.add.at(change, start + length, -1)
         hit, bits = have.find(_shard_of(key, count), ctx)
