@@ -26,8 +26,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: a sample with the target shares of sources, languages and topics; rare documents are drawn several times."""
-    return mixing.drawn(docs)
+    """Operator 5: a sample with the target shares of sources, languages and topics, each document at most once."""
+    return mixing.sample(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
