@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +30,16 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Keep the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (tests on one machine) a new temporary
-    folder is made.
+    Only when nothing is configured and driver and executors are one process
+    (tests) a new temporary folder is made; a cluster without a shared folder
+    is an error, as its machines would not see each other's files.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
 
 
