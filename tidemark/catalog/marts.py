@@ -517,12 +517,19 @@ def k17_leak(t):
 
 from tidemark.plans import panels as PN  # noqa: E402
 from tidemark.plans import state as S  # noqa: E402
+from tidemark.catalog.fits import ridge_sql  # noqa: E402
 from tidemark.plans import walkforward as WF  # noqa: E402
 
 RIDGE_FEATURES = ["trend_score", "breadth_score", "risk_on_score", "risk_off_score", "market_vol_20d", "kospi_ret_1m"]
 
 
-@query("k15_calibrated_forecast")
+CTES["k15_rows"] = """SELECT t.asof_date, t.market_scope, t.forecast_horizon, t.ret AS target_forward_return, m.trend_score, m.breadth_score, m.risk_on_score, m.risk_off_score, m.vol_20d AS market_vol_20d, m.kospi_ret_1m
+FROM k12_target t JOIN k1_scored m USING (asof_date, market_scope)"""
+
+
+@query("k15_calibrated_forecast", ridge_sql("SELECT * FROM k15_rows", ["market_scope", "forecast_horizon"], "asof_date", RIDGE_FEATURES, "target_forward_return", f"""
+SELECT asof_date, market_scope, forecast_horizon, known AS training_sample_count, {r('pred')} AS predicted_forward_return, {r('score', 4)} AS calibrated_forecast_score, label AS calibrated_forecast_label,
+  confidence AS calibration_confidence_score FROM p""", embargo=20))
 def k15(t):
     market, _ = k1_frames(t)
     target = T.forecast_targets(k12_closes(t)).select(*T.KEYS, "target_forward_return")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.expressions import rd
+from tidemark.catalog.fits import ridge_sql
+from tidemark.catalog.marts import proxy_sql
 from tidemark.catalog.registry import CTES, query, r
 from tidemark.operators import metrics as M
 from tidemark.operators import windows as W
@@ -38,7 +40,12 @@ def probabilities(df, keys):
     return df.select(*keys, *[rd(c, 4).alias(c) for c in PROBS.values()])
 
 
-@query("m1_walk_forward_ridge")
+CTES["m_features"] = proxy_sql("scope_prices", "market_scope")
+CTES["m_returns"] = f"SELECT market_scope, date AS asof_date, {', '.join(FEATURES)}, lead(close, 5) OVER ({PS}) / close - 1 AS target FROM m_features"
+
+
+@query("m1_walk_forward_ridge", ridge_sql("SELECT * FROM m_returns", ["market_scope"], "asof_date", FEATURES, "target", f"""
+SELECT market_scope, asof_date, known AS training_sample_count, {r('pred')} AS prediction, label AS calibrated_forecast_label, confidence AS calibration_confidence_score FROM p""", embargo=5))
 def m1(t):
     out = WF.walk_forward_ridge(returns(t), ["market_scope"], "asof_date", FEATURES, "target", embargo_rows=5)
     return out.select("market_scope", "asof_date", "training_sample_count", rd("predicted_forward_return").alias("prediction"), "calibrated_forecast_label", "calibration_confidence_score")

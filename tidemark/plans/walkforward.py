@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions import labels as L
 from tidemark.functions.numeric import as_col, clip, ratio
+from tidemark.operators.expanding import block_moments, expanding_medians
 from tidemark.operators.windows import Axis
 from tidemark.session import cut_lineage
 
@@ -54,37 +55,23 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(min(df.sparkSession.sparkContext.defaultParallelism, 200), *cols)
 
 
-def _fold_medians(rows: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """Exact medians of the training rows of each fold.
-
-    Medians do not add up over blocks, so each labelled row meets the folds after
-    its block; a key has one row per day and a fold per ``refit`` days.
-    """
-    last = rows.groupBy(*keys).agg(F.max("__fold").alias("__last")).where(F.col("__last").isNotNull())
-    train = rows.where(F.col("__block").isNotNull()).join(last, list(keys)).where(F.col("__block") <= F.col("__last"))
-    reached = spread(train, *keys, "__block").withColumn("__fold", F.explode(F.sequence("__block", "__last")))
-    mids = reached.groupBy(*keys, "__fold").agg(*[F.percentile(f, 0.5).alias(f) for f in features])
-    return mids.select(*keys, "__fold", F.array(*[F.coalesce(f, F.lit(0.0)) for f in features]).alias("medians"))
-
-
 def _fold_grams(rows: DataFrame, keys: Sequence[str], features: Sequence[str], target: str) -> DataFrame:
-    """Upper triangle of the moment matrix of [values, null marks, 1, target] per fold.
-
-    Sums are made per block map-side and accumulated over the blocks of a key.
-    """
+    """Upper triangle of the moment matrix of [values, null marks, 1, target] per fold: sums of blocks, added up over the blocks of a key."""
     cells = [*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features], *[F.col(f).isNull().cast("double") for f in features], F.lit(1.0), F.col(target).cast("double")]
-    p = len(cells)
-    z = rows.where(F.col("__block").isNotNull()).select(*keys, "__block", F.array(*cells).alias("z"))
-    pairs = [i * p + j for i in range(p) for j in range(i, p)]
-    long = spread(z, *keys, "__block").withColumn("pair", F.explode(F.array(*[F.lit(x) for x in pairs])))
-    product = F.get("z", F.floor(F.col("pair") / p).cast("int")) * F.get("z", F.col("pair") % p)
-    blocks = long.groupBy(*keys, "__block", "pair").agg(F.sum(product).alias("s"))
+    blocks = block_moments(rows, keys, "__block", cells)
     upto = Window.partitionBy(*keys, "pair").orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
     total = blocks.withColumn("s", F.sum("s").over(upto))
     return total.groupBy(*keys, F.col("__block").alias("__fold")).agg(F.array_sort(F.collect_list(F.struct("pair", "s"))).alias("__g")).select(
         *keys, "__fold", F.transform("__g", lambda x: x["s"]).alias("gram"))
 
 
+def _fold_medians(rows: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Exact medians of the training rows of each fold; 0 for a feature without values."""
+    folds = rows.where(F.col("__fold").isNotNull()).select(*keys, "__fold").distinct()
+    mids = expanding_medians(rows, keys, "__block", folds, "__fold", features)
+    return mids.withColumn("medians", F.transform("medians", lambda x: F.coalesce(x, F.lit(0.0))))
+
+
 def _solver(k: int, alpha: float, l1: float = 0.0, l2: float = 0.0, sweeps: int = 500):
     """Coefficients of one fold from its moments; a row is a (2k+2)-wide triangle.
 
