@@ -72,6 +72,5 @@ def test_weights_of_a_loop(spark):
 
 
 def test_topic(spark):
-    texts = ["", "plain words", "see | here | there", "mail a@b.c", "license and copyright", "x = {y};", "http://a.b/c", "one = | two", ("word " * 99) + "a@b", ("word " * 150) + "a@b", "a\tb"]
-    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.topic(F.col("text"))).collect()]
-    assert got == ["prose", "prose", "table", "contact", "legal", "code", "web", "table", "contact", "prose", "table"]
+    texts = ["", "plain words", "see | here", "mail a@b.c", "license by a@b", "see http://a.b/c", "a|b"]
+    assert [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.topic(F.col("text"))).collect()] == ["prose", "prose", "table", "contact", "legal", "web", "prose"]
