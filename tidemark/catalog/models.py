@@ -19,6 +19,7 @@ from tidemark.plans.research import axis_dataset
 
 SCOPE = Axis.of("market_scope", "date")
 PS = "PARTITION BY market_scope ORDER BY date"
+FIVE_CLASSES = ["strong_down", "mild_down", "sideways", "mild_up", "strong_up"]
 FEATURES = ["ret_1m", "ret_3m", "vol_20d", "mdd_3m", "above_sma20", "above_sma60", "trading_value_expansion_ratio"]
 
 
@@ -141,13 +142,17 @@ def m4(t):
     return out.where(F.col("prediction").isNotNull()).groupBy("market_scope", "model").agg(*M.regression_errors("prediction", "target")).select("market_scope", "model", "n", rd("mae").alias("mae"))
 
 
-def run(t, kind, first_year, fit=None):
-    return MD.walk_forward_direction(directions(t), ["market_scope"], "asof_date", FEATURES, "label", kind, first_year=first_year, fit=fit)
+def run(t, kind, first_year):
+    return MD.walk_forward_direction(directions(t), ["market_scope"], "asof_date", FEATURES, "label", kind, first_year=first_year)
+
+
+def logistic(t, first_year, parts=0):
+    return MD.walk_forward_logistic(directions(t), ["market_scope"], "asof_date", FEATURES, "label", first_year=first_year, parts=parts)
 
 
 @query("m7_logistic_directions")
 def m7(t):
-    out, _ = run(t, "logistic", 1998)
+    out, _ = logistic(t, 1998)
     return probabilities(out, ["market_scope", "asof_date", "test_year", "actual_label"])
 
 
@@ -165,14 +170,14 @@ def m7_boosted(t):
 
 @query("m8_sigmoid_calibration")
 def m8(t):
-    out, _ = run(t, "logistic", 2001, MD.sigmoid_calibrated)
+    out, _ = logistic(t, 2001, parts=3)
     return probabilities(out, ["market_scope", "asof_date", "test_year", "actual_label"])
 
 
 @query("m9_coefficients")
 def m9(t):
-    _, models = run(t, "logistic", 2000)
-    return MD.coefficients(models, t.spark).withColumn("coefficient", rd("coefficient", 4))
+    _, rows = logistic(t, 2000)
+    return rows.withColumn("coefficient", rd("coefficient", 4))
 
 
 @query("m16_holdout_directions")
@@ -181,10 +186,34 @@ def m16(t):
     return probabilities(out, ["market_scope", "asof_date", "actual_label", "latest"])
 
 
+@query("m16_holdout_five_classes")
+def m16_five(t):
+    out = MD.holdout_direction(directions(t), ["market_scope"], "asof_date", FEATURES, "direction_label_5d", FIVE_CLASSES)
+    return out.select("market_scope", "asof_date", "actual_label", "latest", *[rd(c, 4).alias(c) for c in MD.prob_names(FIVE_CLASSES)])
+
+
+FIVE_LABEL = "CASE WHEN fwd <= q[1] THEN 'strong_down' WHEN fwd <= q[2] THEN 'mild_down' WHEN fwd <= q[3] THEN 'sideways' WHEN fwd <= q[4] THEN 'mild_up' WHEN fwd IS NOT NULL THEN 'strong_up' END"
+
+
+@query("m16_five_class_metrics", f"""
+WITH f AS (SELECT market_scope, date, lead(close, 5) OVER ({PS}) / close - 1 AS fwd FROM scope_prices),
+l AS (SELECT market_scope, date, {FIVE_LABEL} AS a FROM f JOIN (SELECT market_scope, quantile_cont(fwd, [0.2, 0.4, 0.6, 0.8]) AS q FROM f GROUP BY 1) USING (market_scope)),
+p AS (SELECT market_scope, a, lag(a) OVER ({PS}) AS p FROM l),
+c AS (SELECT market_scope, k, count(*) FILTER (a = k AND p = k) AS tp, count(*) FILTER (a = k) AS na, count(*) FILTER (p = k) AS np FROM p, (SELECT unnest([{', '.join(f"'{c}'" for c in FIVE_CLASSES)}]) AS k) WHERE a IS NOT NULL AND p IS NOT NULL GROUP BY 1, 2)
+SELECT market_scope, sum(na)::BIGINT AS n, {r('sum(tp) / sum(na)::DOUBLE')} AS accuracy, {r('avg(CASE WHEN na > 0 THEN tp / na::DOUBLE END)')} AS balanced_accuracy,
+  {r('sum(CASE WHEN na + np > 0 THEN 2 * tp / (na + np)::DOUBLE ELSE 0 END) / 5')} AS macro_f1 FROM c GROUP BY 1""")
+def m16_metrics(t):
+    """Scores of five classes; the label of the day before stands for a prediction."""
+    rows = directions(t).select("market_scope", "asof_date", F.col("direction_label_5d").alias("a"))
+    rows = rows.withColumn("p", F.lag("a").over(Axis.of("market_scope", "asof_date").by)).where("a IS NOT NULL AND p IS NOT NULL")
+    card = M.classification_scorecard(rows, ["market_scope"], "a", "p", classes=FIVE_CLASSES)
+    return card.select("market_scope", "n", *[rd(c).alias(c) for c in ("accuracy", "balanced_accuracy", "macro_f1")])
+
+
 @query("m17_raw_against_calibrated")
 def m17(t):
-    raw, _ = run(t, "logistic", 2001)
-    calibrated, _ = run(t, "logistic", 2001, MD.sigmoid_calibrated)
+    raw, _ = logistic(t, 2001)
+    calibrated, _ = logistic(t, 2001, parts=3)
     both = raw.withColumn("model", F.lit("raw")).unionByName(calibrated.withColumn("model", F.lit("sigmoid")))
     from tidemark.functions import labels as L
     from tidemark.plans.backtest import run_backtest, with_confidence
@@ -201,6 +230,6 @@ def m17(t):
 
 @query("m18_logistic_diagnostics")
 def m18(t):
-    out, models = run(t, "logistic", 2000)
-    pack = MD.logistic_diagnostics(out, MD.coefficients(models, t.spark), ["market_scope"])
+    out, rows = logistic(t, 2000)
+    pack = MD.logistic_diagnostics(out, rows, ["market_scope"])
     return pack["importance"].select("class", "feature", rd("mean_coefficient", 3).alias("mean_coefficient"), "positive_years", "negative_years", "years")

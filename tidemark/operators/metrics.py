@@ -174,9 +174,9 @@ def with_class_metrics(df: DataFrame, classes: Sequence[str] = CLASSES) -> DataF
     })
 
 
-def classification_scorecard(df: DataFrame, keys: Sequence[str], actual: str, predicted: str) -> DataFrame:
+def classification_scorecard(df: DataFrame, keys: Sequence[str], actual: str, predicted: str, classes: Sequence[str] = CLASSES) -> DataFrame:
     """A13. One row of counts per key on the map side, metrics on the result."""
-    return with_class_metrics(df.groupBy(*keys).agg(*class_counts(actual, predicted)))
+    return with_class_metrics(df.groupBy(*keys).agg(*class_counts(actual, predicted, classes)), classes)
 
 
 def confusion(df: DataFrame, keys: Sequence[str], actual: str, predicted: str, classes: Sequence[str] = CLASSES) -> DataFrame:

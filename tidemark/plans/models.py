@@ -16,6 +16,7 @@ from tidemark.operators import relational as R
 from tidemark.operators import windows as W
 from tidemark.operators.relational import pick_first
 from tidemark.operators.windows import Axis
+from tidemark.plans import foldmodels as FM
 from tidemark.plans.backtest import PROBS
 from tidemark.session import cut_lineage
 from tidemark.sources.tables import unite
@@ -121,14 +122,11 @@ def preprocessing_stages(numeric: Sequence[str], categorical: Sequence[str] = ()
 
 
 def classifier(kind: str, seed: int = 42):
-    """M7. Direction classifiers on balanced row weights."""
-    from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+    """M7. Direction classifiers of trees on balanced row weights; the logistic one is ``walk_forward_logistic``."""
+    from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 
-    common = {"featuresCol": "features", "labelCol": "__y", "weightCol": "__w"}
-    if kind == "logistic":
-        return LogisticRegression(maxIter=60, regParam=0.001, family="multinomial", **common)
     if kind == "random_forest":
-        return RandomForestClassifier(numTrees=60, maxDepth=6, minInstancesPerNode=20, seed=seed, **common)
+        return RandomForestClassifier(numTrees=60, maxDepth=6, minInstancesPerNode=20, seed=seed, featuresCol="features", labelCol="__y", weightCol="__w")
     if kind == "boosted":
         return OneVsRest(classifier=GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.06, seed=seed, featuresCol="features", labelCol="__y"), featuresCol="features", labelCol="__y", weightCol="__w")
     raise ValueError(f"unknown classifier {kind}")
@@ -214,7 +212,7 @@ def _no_predictions(df: DataFrame, columns: Sequence[str], label: str) -> DataFr
 
 
 def walk_forward_direction(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], label: str, kind: str, first_year: int = 2022, min_train: int = 400,
-                           min_test: int = 30, fit=None) -> tuple[DataFrame, list[tuple[dict, object, list[str]]]]:
+                           min_test: int = 30) -> tuple[DataFrame, list[tuple[dict, object, list[str]]]]:
     """M7. Yearly walk-forward class probabilities per key; returns predictions and the fitted models.
 
     The dataset has one row per day and key and is materialised once for all fits.
@@ -231,8 +229,8 @@ def walk_forward_direction(df: DataFrame, keys: Sequence[str], order: str, featu
     def run(fold):
         rows = scoped(fold)
         train, test = rows.where(F.col("test_year") < fold["test_year"]), rows.where(F.col("test_year") == fold["test_year"])
-        model, usable = (fit or fit_direction)(train, features, label, kind)
-        scored = class_probabilities(model, test, kind) if fit is None else model(test)
+        model, usable = fit_direction(train, features, label, kind)
+        scored = class_probabilities(model, test, kind)
         return fold, model, usable, scored.select(*keys, order, "test_year", F.col(label).alias("actual_label"), *PROBS.values())
 
     done = in_parallel(folds, run)
@@ -240,69 +238,40 @@ def walk_forward_direction(df: DataFrame, keys: Sequence[str], order: str, featu
     return unite(frames).withColumn("model", F.lit(kind)), [(d[0], d[1], d[2]) for d in done]
 
 
-def coefficients(models: Sequence[tuple[dict, object, list[str]]], spark) -> DataFrame:
-    """M9. Class x feature coefficients of fitted logistic pipelines as rows."""
-    rows = []
-    for fold, model, usable in models:
-        matrix = model.stages[-1].coefficientMatrix.toArray()
-        keyed = tuple(str(v) for k, v in fold.items() if k not in ("n", "past", "kinds"))
-        rows += [(*keyed, c, f, float(matrix[i][j])) for i, c in enumerate(CLASSES) for j, f in enumerate(usable)]
-    names = [k for k in (models[0][0] if models else {"fold": 0}) if k not in ("n", "past", "kinds")]
-    return spark.createDataFrame(rows, ", ".join([*[f"{n} string" for n in names], "class string", "feature string", "coefficient double"]))
+def prob_names(classes: Sequence[str]) -> list[str]:
+    return [f"prob_{c}" for c in classes]
 
 
-def sigmoid_calibrated(train: DataFrame, features: Sequence[str], label: str, kind: str, order: str = "asof_date", parts: int = 3):
-    """M8. Classifier with per-class sigmoid calibration on forward folds of the training rows.
+def walk_forward_logistic(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], label: str, first_year: int = 2022, min_train: int = 400, min_test: int = 30,
+                          classes: Sequence[str] = CLASSES, parts: int = 0) -> tuple[DataFrame, DataFrame]:
+    """M7, M8, M9. Yearly walk-forward logistic probabilities per key, and the folds' coefficients by class and feature.
 
-    Base models are fitted on growing heads of the training period and scored on
-    the part that follows; one logistic curve per class maps those held-out scores
-    to frequencies. Returns (scoring function, features).
+    All folds of all keys are fitted together. With ``parts`` the probabilities are calibrated: growing heads of a year's
+    training rows are fitted, a sigmoid per class is put through each head's scores of the run that follows, and a test
+    row has the mean of the heads' calibrated probabilities.
     """
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
-    ranked = train.withColumn("__part", F.ntile(parts + 1).over(Window.partitionBy(F.lit(0)).orderBy(order)))
-    held = []
-    for i in range(1, parts + 1):
-        model, _ = fit_direction(ranked.where(F.col("__part") <= i), features, label, kind)
-        held.append(class_probabilities(model, ranked.where(F.col("__part") == i + 1), kind))
-    scores = cut_lineage(unite(held).select(label, *PROBS.values()))
-    logit = lambda c: F.log(F.greatest(F.col(c), F.lit(1e-6)) / F.greatest(1.0 - F.col(c), F.lit(1e-6)))
-    curves = {}
-    for c, p in PROBS.items():
-        rows = VectorAssembler(inputCols=["__s"], outputCol="__v").transform(scores.withColumns({"__s": logit(p), "__t": (F.col(label) == c).cast("double")}))
-        fitted = LogisticRegression(featuresCol="__v", labelCol="__t", maxIter=50).fit(rows)
-        curves[c] = (float(fitted.coefficients[0]), float(fitted.intercept))
-    final, usable = fit_direction(train, features, label, kind)
-
-    def score(rows: DataFrame) -> DataFrame:
-        raw = class_probabilities(final, rows, kind)
-        for c, p in PROBS.items():
-            a, b = curves[c]
-            raw = raw.withColumn(f"__c_{c}", 1.0 / (1.0 + F.exp(-(a * logit(p) + b))))
-        total = F.col("__c_down") + F.col("__c_sideways") + F.col("__c_up")
-        return raw.withColumns({p: F.col(f"__c_{c}") / total for c, p in PROBS.items()}).drop("__c_down", "__c_sideways", "__c_up")
-
-    return score, usable
-
-
-def holdout_direction(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], label: str, kind: str = "logistic", min_rows: int = 200) -> DataFrame:
-    """M13, M16. Holdout predictions per key plus the prediction of the newest row (``latest`` = 1)."""
-    present = any_present(*features)
-    split = cut_lineage(holdout_split(df.where(F.col(label).isNotNull() & present), keys, order))
-    newest = R.latest_per_key(df.where(present).select(*keys, order, *features, label), keys, [order])
-    groups = split.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(label).alias("kinds")).where((F.col("n") >= min_rows) & (F.col("kinds") >= 3)).collect()
-
-    def run(group):
-        mine = lambda d: d.where(functools.reduce(lambda a, b: a & b, [F.col(k) == group[k] for k in keys]))
-        rows = mine(split)
-        model, _ = fit_direction(rows.where("is_train"), features, label, kind)
-        out = [class_probabilities(model, d.select(*keys, order, *features, label), kind).withColumn("latest", F.lit(flag))
-               for d, flag in ((rows.where("NOT is_train"), 0), (mine(newest), 1))]
-        return out[0].unionByName(out[1]).select(*keys, order, F.col(label).alias("actual_label"), *PROBS.values(), "latest")
-
-    frames = in_parallel(groups, run)
-    return unite(frames or [_no_predictions(split, [*keys, order], label).withColumn("latest", F.lit(0))])
+    data = df.where(F.col(label).isNotNull()).withColumn("test_year", F.year(order))
+    folds = FM.prefix_folds(data, keys, order, features, label, classes, FM.year_cuts(keys, "test_year", first_year, min_train, min_test, parts))
+    fitted, names = FM.fit(folds), prob_names(classes)
+    rows = folds.rows.where("__no IS NOT NULL").select(*keys, order, "test_year", F.col(label).alias("actual_label"), *features)
+    used = (FM.calibrated(folds, fitted) if parts else fitted.where("lo IS NULL")).withColumn("test_year", F.floor(F.col("fold") / 10).cast("int"))
+    out = FM.probabilities(folds, rows.join(used, [*keys, "test_year"]), names, curves=parts > 0)
+    if parts:
+        out = out.groupBy(*keys, order, "test_year", "actual_label").agg(*[F.avg(n).alias(n) for n in names])
+    whole = fitted.where("lo IS NULL").withColumn("fold", F.floor(F.col("fold") / 10).cast("int"))
+    coefficients = FM.coefficient_rows(folds, whole).withColumnRenamed("fold", "test_year")
+    return out.select(*keys, order, "test_year", "actual_label", *names).withColumn("model", F.lit("logistic")), coefficients
+
+
+def holdout_direction(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], label: str, classes: Sequence[str] = CLASSES, min_rows: int = 200) -> DataFrame:
+    """M13, M16. Holdout predictions per key plus the prediction of the newest row (``latest`` = 1); any set of classes."""
+    folds = FM.prefix_folds(df, keys, order, features, label, classes, FM.holdout_cuts(keys, min_rows))
+    fitted, names = FM.fit(folds), prob_names(classes)
+    rows = folds.rows.select(*keys, order, F.col(label).alias("actual_label"), *features, F.col("__no").alias("no"))
+    newest = R.latest_per_key(rows, keys, [order]).withColumn("latest", F.lit(1))
+    tests = rows.join(fitted.select(*keys, "last"), list(keys)).where(F.col("no") > F.col("last")).drop("last").withColumn("latest", F.lit(0))
+    both = tests.unionByName(newest).join(fitted, list(keys))
+    return FM.probabilities(folds, both, names).select(*keys, order, "actual_label", *names, "latest")
 
 
 def holdout_regression(df: DataFrame, keys: Sequence[str], order: str, features: Sequence[str], target: str, categorical: Sequence[str] = ()) -> DataFrame:
