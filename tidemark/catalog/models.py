@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.expressions import rd
-from tidemark.catalog.fits import ridge_sql
+from tidemark.catalog.fits import fold_rows_sql, ridge_sql
 from tidemark.catalog.marts import proxy_sql
 from tidemark.catalog.registry import CTES, query, r
 from tidemark.operators import metrics as M
@@ -142,6 +142,13 @@ def m4(t):
     return out.where(F.col("prediction").isNotNull()).groupBy("market_scope", "model").agg(*M.regression_errors("prediction", "target")).select("market_scope", "model", "n", rd("mae").alias("mae"))
 
 
+@query("m4_fold_rows", "WITH " + ", ".join(f"{n} AS ({body})" for n, body in fold_rows_sql("SELECT * FROM m_returns", "market_scope", "asof_date", "target", 756, 20, 5).items()) + """
+SELECT market_scope, a.fold, n_train, last_train, n_predicted, first_predicted, last_predicted FROM (SELECT market_scope, fold, count(*) AS n_predicted, min(asof_date) AS first_predicted, max(asof_date) AS last_predicted FROM fr WHERE fold IS NOT NULL GROUP BY 1, 2) a
+JOIN (SELECT market_scope, f AS fold, count(*) AS n_train, max(asof_date) AS last_train FROM ft GROUP BY 1, 2) b USING (market_scope, fold)""")
+def m4_rows(t):
+    return WF.fold_rows(returns(t), ["market_scope"], "asof_date", "target", embargo_rows=5)
+
+
 def run(t, kind, first_year):
     return MD.walk_forward_direction(directions(t), ["market_scope"], "asof_date", FEATURES, "label", kind, first_year=first_year)
 
