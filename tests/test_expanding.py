@@ -47,3 +47,17 @@ def test_moments(spark):
     for (k, b), g in p.groupby(["k", "b"]):
         z = np.column_stack([g.x, g.y, np.ones(len(g))])
         assert [sums[k, b, i] for i in range(6)] == pytest.approx((z.T @ z)[np.triu_indices(3)])
+
+
+@pytest.mark.parametrize("n", [3, 800])
+def test_modes(spark, n):
+    rng = np.random.default_rng(5)
+    p = pd.DataFrame({"k": rng.choice(["a", "b"], n), "b": rng.integers(0, 12, n), "c": rng.choice(["x", "y", "z", None], n), "d": rng.integers(0, 3, n).astype(str)})
+    folds = [(k, f) for k in "ab" for f in (-1, 0, 4, 5, 20)]
+    got = X.expanding_modes(spark.createDataFrame(p), ["k"], "b", spark.createDataFrame(folds, "k string, f int"), "f", ["c", "d"])
+    want = set()
+    for k, f in folds:
+        for c in ("c", "d"):
+            counts = p[(p.k == k) & (p.b <= f)][c].dropna().value_counts()
+            want.add((k, f, c, min(counts[counts == counts.max()].index) if len(counts) else None))
+    assert {tuple(r) for r in got.collect()} == want

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.expressions import rd
 from tidemark.catalog.registry import query, r
+from tidemark.session import scratch_folder
 from tidemark.sources import landed as G
 from tidemark.sources import sinks as K
 from tidemark.sources import tables as B
+from tidemark.sources import versions as V
 
 
 def document(df, keys, element, shape_name):
@@ -185,6 +187,55 @@ def s21(t):
     return K.merged(old, new, ["series_id", "asof_date"])
 
 
+@query("s21_published_upsert", "SELECT series_id, asof_date, CASE WHEN asof_date >= DATE '2001-01-01' THEN value + 1 ELSE value END AS value, 2 AS version FROM daily_obs WHERE asof_date >= DATE '2001-01-01' OR asof_date < DATE '2001-06-01'")
+def s21_published(t):
+    """Written and read back: the second version holds the merged rows."""
+    root = scratch_folder(t.spark, "daily-obs")
+    V.upsert(t.daily_obs.where(F.col("asof_date") < "2001-06-01"), root, ["series_id", "asof_date"])
+    V.upsert(t.daily_obs.where(F.col("asof_date") >= "2001-01-01").withColumn("value", F.col("value") + 1), root, ["series_id", "asof_date"])
+    return V.read(t.spark, root).select("series_id", "asof_date", "value", F.lit(V.latest(t.spark, root).number).alias("version"))
+
+
+@query("s22_replace_all", """
+SELECT 1 AS version, count(*) AS row_count, min(asof_date) AS first_date, max(asof_date) AS last_date, false AS is_latest FROM daily_obs
+UNION ALL SELECT 2, count(*), min(asof_date), max(asof_date), true FROM monthly_obs""")
+def s22(t):
+    """A table replaced whole: readers follow the manifest to the second version, the first stays readable."""
+    root = scratch_folder(t.spark, "observations")
+    first, second = V.replace(t.daily_obs, root), V.replace(t.monthly_obs, root)
+    latest = V.latest(t.spark, root).number
+    frames = [V.read(t.spark, root, v.number).agg(F.lit(v.number).alias("version"), F.count(F.lit(1)).alias("row_count"), F.min("asof_date").alias("first_date"), F.max("asof_date").alias("last_date"),
+                                                  F.lit(v.number == latest).alias("is_latest")) for v in (first, second)]
+    return frames[0].unionByName(frames[1])
+
+
+@query("s23_csv_pair", "SELECT market_scope, date, close, which FROM scope_prices, (VALUES ('full'), ('current')) w(which) WHERE which = 'full' OR date >= DATE '1997-01-01'")
+def s23(t):
+    """Full and current CSV, both written and read back."""
+    full, current = scratch_folder(t.spark, "csv-full"), scratch_folder(t.spark, "csv-current")
+    schema = "market_scope string, date date, close double"
+    K.write_csv_pair(t.scope_prices.select("market_scope", "date", "close"), full, current, F.col("date") >= "1997-01-01")
+    return B.read_csv(t.spark, full, schema).withColumn("which", F.lit("full")).unionByName(B.read_csv(t.spark, current, schema).withColumn("which", F.lit("current")))
+
+
+@query("s5_csv_scan", "SELECT series_id, asof_date, value FROM daily_obs")
+def s5(t):
+    """A CSV file whose header begins with a byte-order mark."""
+    folder = scratch_folder(t.spark, "csv")
+    t.daily_obs.select(F.col("series_id").alias("\ufeffseries_id"), "asof_date", "value").write.option("header", True).csv(folder)
+    return B.read_csv(t.spark, folder, "series_id string, asof_date date, value double")
+
+
+@query("s6_optional_scan", "SELECT series_id, asof_date, value, 'there' AS origin FROM monthly_obs")
+def s6(t):
+    """A folder that is there and one that is not: the absent one gives no rows of its schema."""
+    there, absent = scratch_folder(t.spark, "monthly"), scratch_folder(t.spark, "absent")
+    t.monthly_obs.write.parquet(there)
+    schema = "series_id string, asof_date date, value double"
+    read = lambda path, origin: B.optional_parquet(t.spark, path, schema).select("series_id", "asof_date", "value", F.lit(origin).alias("origin"))
+    return read(there, "there").unionByName(read(absent, "absent"))
+
+
 @query("s24_payload_rows", """
 SELECT 'KR' AS market, count(*) AS documents, count(DISTINCT date) AS days, min(date) AS first_day FROM scope_prices GROUP BY 1""")
 def s24(t):

@@ -23,6 +23,12 @@ def d_(x: float) -> str:
     return f"({x})::DOUBLE"
 
 
+def direction_sql(c: str) -> str:
+    """Reading of a score by its name."""
+    words = " OR ".join(f"contains({c}, '{w}')" for w in ("pressure", "stress", "risk_off", "drawdown", "aversion", "volatility"))
+    return f"CASE WHEN {words} THEN 'higher_is_riskier' WHEN ends_with({c}, '_score') OR ends_with({c}, '_ratio') THEN 'higher_is_better' ELSE 'descriptive' END"
+
+
 # -- K1, K2 -----------------------------------------------------------------------------
 
 def proxy_sql(source: str, key: str) -> str:
@@ -506,7 +512,10 @@ def k17(t):
     return out.select("market_scope", "forecast_horizon", "dimension_value", "n", rd("mean_target_forward_return", 5).alias("mean_target_forward_return"), rd("baseline_hit_rate", 5).alias("baseline_hit_rate"))
 
 
-@query("k17_leakage_report")
+@query("k17_leakage_report", """
+SELECT unnest(['source_before_asof', 'target_after_asof', 'no_target_in_features']) AS check_name, unnest([count(*) FILTER (source_date >= asof_date), count(*) FILTER (end_date <= asof_date), 0]) AS failed_rows, count(*) AS checked_rows,
+  unnest([CASE WHEN count(*) FILTER (source_date >= asof_date) = 0 THEN 'ok' ELSE 'failed' END, CASE WHEN count(*) FILTER (end_date <= asof_date) = 0 THEN 'ok' ELSE 'failed' END, 'ok']) AS status
+FROM (SELECT asof_date, asof_date - 1 AS source_date, t.end_date FROM k16_base JOIN k12_target t USING (asof_date, market_scope, forecast_horizon) WHERE t.ret IS NOT NULL)""")
 def k17_leak(t):
     validation, target = k13_frame(t)
     inputs = k16_frame(t).withColumn("source_date", F.date_sub("asof_date", 1))
@@ -715,7 +724,11 @@ def p23(t):
     return feature_cap(t.scores, ["s1", "s2", "s3", "u1"], 0.95, 2).select("feature")
 
 
-@query("p41_score_directions")
+P41_COLUMNS = {**{c: c for c in [*K1_SCORES, *K1_RATIOS]}, "risk_score": "stress", "market_vol_20d": "vol_20d", "market_mdd_3m": "mdd_3m", "market_breadth_above_sma20": "above_sma20"}
+
+
+@query("p41_score_directions", f"""
+SELECT column_name, {direction_sql('column_name')} AS direction, present FROM (SELECT unnest([{', '.join(f"'{c}'" for c in P41_COLUMNS)}]) AS column_name, unnest([{', '.join(f'count({c})' for c in P41_COLUMNS.values())}]) AS present FROM k1_scored)""")
 def p41(t):
     market, _ = k1_frames(t)
     tagged = I.with_directions(market)

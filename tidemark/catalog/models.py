@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.expressions import rd
 from tidemark.catalog.fits import fold_rows_sql, ridge_sql
-from tidemark.catalog.marts import proxy_sql
-from tidemark.catalog.registry import CTES, query, r
+from tidemark.catalog.marts import direction_sql, proxy_sql
+from tidemark.catalog.registry import CTES, query, r, sql_clip
 from tidemark.operators import metrics as M
+from tidemark.operators.expanding import expanding_modes
 from tidemark.operators import windows as W
 from tidemark.operators.windows import Axis
 from tidemark.plans import context as C
@@ -23,6 +24,9 @@ FIVE_CLASSES = ["strong_down", "mild_down", "sideways", "mild_up", "strong_up"]
 FEATURES = ["ret_1m", "ret_3m", "vol_20d", "mdd_3m", "above_sma20", "above_sma60", "trading_value_expansion_ratio"]
 
 
+CTES["m_features"] = proxy_sql("scope_prices", "market_scope")
+
+
 def features(t):
     return C.proxy_features(t.scope_prices, "market_scope").withColumnRenamed("date", "asof_date")
 
@@ -41,7 +45,6 @@ def probabilities(df, keys):
     return df.select(*keys, *[rd(c, 4).alias(c) for c in PROBS.values()])
 
 
-CTES["m_features"] = proxy_sql("scope_prices", "market_scope")
 CTES["m_returns"] = f"SELECT market_scope, date AS asof_date, {', '.join(FEATURES)}, lead(close, 5) OVER ({PS}) / close - 1 AS target FROM m_features"
 
 
@@ -70,6 +73,50 @@ CMP = """SELECT market_scope, forecast_horizon, count(*) AS n, corr(a, real) AS
 FROM m_pred WHERE a IS NOT NULL AND b IS NOT NULL AND real IS NOT NULL GROUP BY 1, 2"""
 
 
+M2_SCORE = sql_clip("(a - m) / nullif(s, 0)")
+
+
+@query("m2_calibrated_scores", f"""
+SELECT market_scope, date, forecast_horizon, {r('a', 8)} AS predicted_forward_return, {r('z', 6)} AS calibrated_forecast_score, CASE WHEN z IS NULL THEN NULL WHEN z >= 0.75 THEN 'bullish' WHEN z >= 0.2 THEN 'mild_bullish'
+  WHEN z > -0.2 THEN 'neutral' WHEN z > -0.75 THEN 'mild_bearish' ELSE 'bearish' END AS calibrated_forecast_label,
+  CASE WHEN a IS NULL THEN 0 ELSE {r(sql_clip("0.45::DOUBLE * least(1::DOUBLE, sqrt(c / 1000.0::DOUBLE)) + 0.35::DOUBLE * (1.0::DOUBLE - ((a IS NULL)::INT + (b IS NULL)::INT) / 2.0::DOUBLE) + 0.20::DOUBLE * least(1::DOUBLE, abs(coalesce(z, 0)) / 1.5::DOUBLE)", 0, 1), 4)} END AS calibration_confidence_score
+FROM (SELECT *, {M2_SCORE} AS z FROM (SELECT *, avg(real) OVER w AS m, stddev_pop(real) OVER w AS s, count(real) OVER w AS c FROM m_pred WINDOW w AS (PARTITION BY market_scope, forecast_horizon ORDER BY date ROWS BETWEEN 280 PRECEDING AND 21 PRECEDING)))""")
+def m2(t):
+    """Scores of the stand-in prediction against the targets known by then."""
+    past = Axis.of(["market_scope", "forecast_horizon"], "date").by.rowsBetween(-280, -21)
+    rows = stand_in(t).withColumns({"m": F.avg("real").over(past), "s": F.stddev_pop("real").over(past), "c": F.count("real").over(past)})
+    return WF.calibrated(rows, "a", "m", "s", "c", ["a", "b"]).select("market_scope", "date", "forecast_horizon", "predicted_forward_return", "calibrated_forecast_score", "calibrated_forecast_label", "calibration_confidence_score")
+
+
+@query("m6_mode_imputation", """
+WITH o AS (SELECT o_orderstatus AS scope, year(o_orderdate) AS y, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS c FROM orders),
+f AS (SELECT DISTINCT scope, y FROM o),
+m AS (SELECT f.scope, f.y, o.c, count(*) AS n FROM f JOIN o ON o.scope = f.scope AND o.y < f.y WHERE o.c IS NOT NULL GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY f.scope, f.y ORDER BY count(*) DESC, o.c) = 1)
+SELECT o.scope, o.y AS test_year, coalesce(o.c, m.c) AS category, count(*) AS n, count(*) FILTER (o.c IS NULL) AS imputed FROM o LEFT JOIN m ON m.scope = o.scope AND m.y = o.y GROUP BY 1, 2, 3""")
+def m6_modes(t):
+    """Missing categories of a year take the most frequent one of the years before."""
+    rows = t.table("orders").select(F.col("o_orderstatus").alias("scope"), F.year("o_orderdate").alias("test_year"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("c"))
+    folds = rows.select("scope", (F.col("test_year") - 1).alias("before")).distinct()
+    modes = expanding_modes(rows, ["scope"], "test_year", folds, "before", ["c"]).select("scope", (F.col("before") + 1).alias("test_year"), "mode")
+    filled = rows.join(modes, ["scope", "test_year"], "left").withColumn("category", F.coalesce("c", "mode"))
+    return filled.groupBy("scope", "test_year", "category").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("c").isNull()).alias("imputed"))
+
+
+@query("m13_evaluation", f"""
+WITH l AS (SELECT market_scope, date, CASE WHEN fwd <= q[2] THEN 'down' WHEN fwd <= q[3] THEN 'sideways' WHEN fwd IS NOT NULL THEN 'up' END AS a FROM (SELECT market_scope, date, lead(close, 5) OVER ({PS}) / close - 1 AS fwd FROM scope_prices) f
+  JOIN (SELECT market_scope, quantile_cont(fwd, [0.2, 0.4, 0.6, 0.8]) AS q FROM (SELECT market_scope, lead(close, 5) OVER ({PS}) / close - 1 AS fwd FROM scope_prices) GROUP BY 1) USING (market_scope)),
+p AS (SELECT *, lag(a) OVER ({PS}) AS p, year(date) AS test_year FROM l),
+c AS (SELECT market_scope, test_year, k, count(*) FILTER (a = k AND p = k) AS tp, count(*) FILTER (a = k) AS na, count(*) FILTER (p = k) AS np FROM p, (SELECT unnest(['down', 'sideways', 'up']) AS k) WHERE a IS NOT NULL AND p IS NOT NULL GROUP BY 1, 2, 3)
+SELECT market_scope, test_year, sum(na)::BIGINT AS n, {r('sum(tp) / sum(na)::DOUBLE')} AS accuracy, {r('avg(CASE WHEN na > 0 THEN tp / na::DOUBLE END)')} AS balanced_accuracy,
+  {r('sum(CASE WHEN na + np > 0 THEN 2 * tp / (na + np)::DOUBLE ELSE 0 END) / 3')} AS macro_f1, {r('max(na) / sum(na)::DOUBLE')} AS majority_baseline FROM c GROUP BY 1, 2""")
+def m13(t):
+    """Yearly scores of one model's predictions beside the majority class; the label of the day before stands for a prediction."""
+    rows = directions(t).select("market_scope", "asof_date", F.year("asof_date").alias("test_year"), F.col("label").alias("a"))
+    rows = rows.withColumn("p", F.lag("a").over(Axis.of("market_scope", "asof_date").by)).where("a IS NOT NULL AND p IS NOT NULL")
+    card = M.classification_scorecard(rows, ["market_scope", "test_year"], "a", "p")
+    return card.select("market_scope", "test_year", "n", *[rd(c).alias(c) for c in ("accuracy", "balanced_accuracy", "macro_f1", "majority_baseline")])
+
+
 @query("m14_model_comparison", f"SELECT market_scope, forecast_horizon, n AS overlap_rows, {r('ca - cb')} AS corr_diff, {r('ha - hb')} AS hit_diff, {r('ea - eb')} AS mae_diff FROM ({CMP})")
 def m14(t):
     return MD.compare_models(stand_in(t), "a", "b", "real").select("market_scope", "forecast_horizon", "overlap_rows", *[rd(f"{c}_diff").alias(f"{c}_diff") for c in ("corr", "hit", "mae")])
@@ -120,7 +167,11 @@ def p22(t):
     return M.feature_usability(rows, ["market_scope"], ["value", "flat"]).drop("rows")
 
 
-@query("p21_feature_columns")
+NUMERIC = ["close", "value", "ret_1m", "ret_3m", "above_sma20", "above_sma60", "above_sma120", "new_high_ratio_20d", "new_low_ratio_20d", "trading_value_expansion_ratio", "ret_pos_1m", "vol_20d", "mdd_3m"]
+
+
+@query("p21_feature_columns", f"""
+SELECT feature, {direction_sql('feature')} AS direction, present FROM (SELECT unnest([{', '.join(f"'{c}'" for c in NUMERIC)}]) AS feature, unnest([{', '.join(f'count({c})' for c in NUMERIC)}]) AS present FROM m_features)""")
 def p21(t):
     from tidemark.plans.model_input import feature_columns, score_direction
 
@@ -240,3 +291,17 @@ def m18(t):
     out, rows = logistic(t, 2000)
     pack = MD.logistic_diagnostics(out, rows, ["market_scope"])
     return pack["importance"].select("class", "feature", rd("mean_coefficient", 3).alias("mean_coefficient"), "positive_years", "negative_years", "years")
+
+
+@query("m15_latest_inference")
+def m15(t):
+    """Fit each scope on all its rows, publish the model, load it again and score the newest day."""
+    from tidemark.plans import foldmodels as FM
+    from tidemark.session import scratch_folder
+
+    rows, root = directions(t), scratch_folder(t.spark, "direction-model")
+    folds = FM.prefix_folds(rows, ["market_scope"], "asof_date", FEATURES, "label", list(PROBS), FM.whole_cuts(["market_scope"], 200))
+    version = FM.save(folds, FM.fit(folds), root)
+    model, fitted = FM.load(t.spark, root)
+    out = FM.score_newest(model, fitted, rows, "asof_date", list(PROBS.values()))
+    return probabilities(out, ["market_scope", "asof_date"]).withColumn("model_version", F.lit(version.number))

@@ -88,12 +88,24 @@ def k21(t):
     return out.select(*B.TRADE_KEYS, "days", rd("sharpe", 4).alias("sharpe"), *[rd(c, 5).alias(c) for c in ("avg_exposure", "avg_turnover", "low_confidence_ratio")])
 
 
-@query("k21_best_rules")
+TRADE = f"candidate_type, {K}, rule_name, confidence_floor"
+CTES["k21_best"] = f"""SELECT * FROM (SELECT *, max(sharpe) OVER (PARTITION BY market_scope, forecast_horizon) AS top FROM k21_card WHERE sharpe IS NOT NULL) WHERE sharpe >= top - {NEAR_BEST_TOLERANCE}
+QUALIFY row_number() OVER (PARTITION BY market_scope, forecast_horizon ORDER BY low_confidence_ratio, round(sharpe, 8) DESC, round(cum, 8) DESC, {TRADE}) = 1"""
+EXPOSURE = "CASE rule_name " + " ".join(f"WHEN '{k}' THEN CASE WHEN low THEN {v['fallback']} WHEN direction = 'up' THEN {v['up']} WHEN direction = 'down' THEN {v['down']} ELSE {v['sideways']} END" for k, v in RULE_PROFILES.items()) + " END"
+CTES["k22_rows"] = f"""SELECT *, confidence < confidence_floor AS low FROM (SELECT b.*, c.decision_method, p.asof_date, t.down_threshold, greatest(prob_down, prob_sideways, prob_up) AS confidence,
+    CASE WHEN c.decision_method = 'threshold' AND t.down_threshold IS NOT NULL THEN {THRESH.format('t.down_threshold', 't.up_threshold')} ELSE {ARGMAX} END AS direction
+  FROM k21_best b JOIN k21_cand c USING (candidate_type, {K}) JOIN (SELECT * FROM predictions QUALIFY row_number() OVER (PARTITION BY {K} ORDER BY asof_date DESC) = 1) p USING ({K})
+  LEFT JOIN (SELECT {K}, max_by(down_threshold, test_year) AS down_threshold, max_by(up_threshold, test_year) AS up_threshold FROM (SELECT m.* FROM m10_best m JOIN (SELECT {K}, max(asof_date) AS newest FROM predictions GROUP BY ALL) n USING ({K}) WHERE m.test_year <= year(n.newest)) GROUP BY {K}) t USING ({K}))"""
+
+
+@query("k21_best_rules", f"SELECT {TRADE}, {r('sharpe', 4)} AS sharpe, {r('low_confidence_ratio', 5)} AS low_confidence_ratio FROM k21_best")
 def k21_best(t):
     return B.best_rules(k21_frames(t)[1], NEAR_BEST_TOLERANCE).select(*B.TRADE_KEYS, rd("sharpe", 4).alias("sharpe"), rd("low_confidence_ratio", 5).alias("low_confidence_ratio"))
 
 
-@query("k22_signal_handoff")
+@query("k22_signal_handoff", f"""
+SELECT asof_date, market_scope, forecast_horizon, model AS model_name, decision_method, direction AS predicted_direction, {r('confidence')} AS confidence, rule_name, ({EXPOSURE})::DOUBLE AS recommended_exposure,
+  concat_ws(';', CASE WHEN decision_method = 'threshold' AND down_threshold IS NULL THEN 'missing_threshold_used_argmax' END, CASE WHEN low THEN 'low_confidence_fallback' END) AS quality_warnings FROM k22_rows""")
 def k22(t):
     from tidemark.plans.handoff import signal_rows
 

@@ -89,3 +89,20 @@ def block_moments(rows: DataFrame, keys: Sequence[str], block: str, cells: Seque
 
     sums = z.mapInArrow(run, f"{kinds}, sums array<double>").select(*keys, block, F.posexplode("sums").alias("pair", "s"))
     return sums.groupBy(*keys, block, "pair").agg(F.sum("s").alias("s"))
+
+
+def expanding_modes(rows: DataFrame, keys: Sequence[str], block: str, folds: DataFrame, fold: str, columns: Sequence[str]) -> DataFrame:
+    """(keys, ``fold``, column, mode): most frequent value of each column over the rows with ``block`` <= the fold's, the least of equals; null without values.
+
+    Counts only grow with the blocks, so the mode up to a block is the value of the greatest running count met so far: one
+    window over value counts per block, whatever the number of folds.
+    """
+    at = [*keys, "column"]
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    long = rows.where(F.col(block).isNotNull()).select(*keys, F.col(block).cast("long").alias("block"), F.explode(cells).alias("x")).select(*keys, "block", "x.*").where("value IS NOT NULL")
+    counted = long.groupBy(*at, "value", "block").agg(F.count("*").alias("n"))
+    running = counted.withColumn("n", F.sum("n").over(Window.partitionBy(*at, "value").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)))
+    asked = folds.select(*keys, F.col(fold).cast("long").alias("block")).distinct().withColumn("column", F.explode(F.array(*[F.lit(c) for c in columns])))
+    both = running.select(*at, "block", F.struct((-F.col("n")).alias("n"), "value").alias("least"), F.lit(False).alias("asked")).unionByName(asked.withColumn("asked", F.lit(True)), allowMissingColumns=True)
+    upto = Window.partitionBy(*at).orderBy("block").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.withColumn("mode", F.min("least").over(upto)["value"]).where("asked").select(*keys, F.col("block").cast(folds.schema[fold].dataType).alias(fold), "column", "mode")

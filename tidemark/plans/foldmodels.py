@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.expanding import expanding_medians
+from tidemark.operators.relational import latest_per_key
 from tidemark.session import cut_lineage
+from tidemark.sources import versions
 
 #: Rows of a pack; most Newton steps, and the change of a coefficient that ends them.
 PACK, STEPS, AT_REST = 4096, 40, 1e-10
@@ -333,3 +335,35 @@ def holdout_cuts(keys: Sequence[str], min_rows: int, share: float = 0.8, most: i
         return per.select(*keys, F.lit(0).alias("fold"), F.least(F.greatest(F.floor(n * share), n - most), n - least).alias("last"), none.alias("lo"), none.alias("hi"))
 
     return cuts
+
+
+def whole_cuts(keys: Sequence[str], min_rows: int) -> Callable[[DataFrame], DataFrame]:
+    """M15. One fold a key that trains on all its rows."""
+    def cuts(train: DataFrame) -> DataFrame:
+        none = F.lit(None).cast("long")
+        return train.groupBy(*keys).agg(F.count("*").alias("last")).where(F.col("last") >= min_rows).select(*keys, F.lit(0).alias("fold"), "last", none.alias("lo"), none.alias("hi"))
+
+    return cuts
+
+
+def save(folds: Folds, fitted: DataFrame, root: str) -> versions.Version:
+    """M15. Publish fitted folds as the next version of the model at ``root``, with the names it needs."""
+    return versions.replace(fitted, root, {"keys": folds.keys, "features": folds.features, "classes": folds.classes})
+
+
+def load(spark, root: str, number: int | None = None) -> tuple[Folds, DataFrame]:
+    """M15. A published model (the latest, or a numbered version) for ``probabilities``; without rows to train on."""
+    found = versions.latest(spark, root) if number is None else versions.manifest(spark, root, number)
+    if found is None:
+        raise FileNotFoundError(f"no model is published at {root}")
+    fitted = versions.read(spark, root, found.number)
+    p = found.properties
+    return Folds(p["keys"], p["features"], p["classes"], None, None, fitted), fitted
+
+
+def score_newest(model: Folds, fitted: DataFrame, rows: DataFrame, order: str, names: Sequence[str]) -> DataFrame:
+    """M15. Keys, ``order`` and class probabilities of the newest row of each key that has a feature, by the key's model."""
+    some = reduce(lambda a, b: a | b, [F.col(f).isNotNull() for f in model.features])
+    clean = rows.withColumns({f: F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")) for f in model.features}).where(some)
+    newest = latest_per_key(clean.select(*model.keys, order, *model.features), model.keys, [order])
+    return probabilities(model, newest.join(fitted, model.keys), names).select(*model.keys, order, *names)

@@ -141,15 +141,20 @@ def walk_forward_ridge(df: DataFrame, keys: Sequence[str], order: str, features:
     filled = F.array(*[F.coalesce(F.col(f), F.get("medians", F.lit(i))) for i, f in enumerate(features)])
     dot = F.aggregate(F.zip_with(filled, "weights", lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
     out = out.withColumn("__pred", F.col("intercept") + dot)
-    out = out.withColumn("__score", clip(ratio(F.col("__pred") - F.col("target_mean"), "target_std")))
+    return calibrated(out, "__pred", "target_mean", "target_std", "training_sample_count", features).drop(
+        "__pred", "__fold", "__block", "intercept", "weights", "medians", "target_mean", "target_std")
+
+
+def calibrated(df: DataFrame, pred: str, mean: str, std: str, count: str, features: Sequence[str]) -> DataFrame:
+    """M2. Score of a prediction against its training targets, label, and confidence from sample size, completeness and strength."""
+    df = df.withColumn("__score", clip(ratio(F.col(pred) - F.col(mean), std)))
     missing = [as_col(f).isNull().cast("int") for f in features]
     complete = 1.0 - sum(missing[1:], missing[0]) / len(features)
-    sample = F.least(F.lit(1.0), F.sqrt(F.col("training_sample_count") / 1000.0))
+    sample = F.least(F.lit(1.0), F.sqrt(F.col(count) / 1000.0))
     signal = F.least(F.lit(1.0), F.abs(F.coalesce("__score", F.lit(0.0))) / 1.5)
-    confidence = F.when(F.col("__pred").isNull(), 0.0).otherwise(F.round(clip(0.45 * sample + 0.35 * complete + 0.20 * signal, 0, 1), 4))
-    return out.withColumns({"predicted_forward_return": F.round("__pred", 8), "calibrated_forecast_score": F.round("__score", 6),
-                            "calibrated_forecast_label": L.calibrated("__score"), "calibration_confidence_score": confidence}).drop(
-        "__pred", "__score", "__fold", "__block", "intercept", "weights", "medians", "target_mean", "target_std")
+    confidence = F.when(F.col(pred).isNull(), 0.0).otherwise(F.round(clip(0.45 * sample + 0.35 * complete + 0.20 * signal, 0, 1), 4))
+    return df.withColumns({"predicted_forward_return": F.round(pred, 8), "calibrated_forecast_score": F.round("__score", 6),
+                           "calibrated_forecast_label": L.calibrated("__score"), "calibration_confidence_score": confidence}).drop("__score")
 
 
 # Candidate regressors (elastic net 0.0008 with l1 share 0.15, ridge 3); the boosted one has its own in ``boosting``.

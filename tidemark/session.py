@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import posixpath
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return posixpath.join(spark.sparkContext.getCheckpointDir(), f"{name}-{uuid.uuid4().hex}")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder; survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)

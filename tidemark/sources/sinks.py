@@ -62,11 +62,11 @@ def days_replaced(old: DataFrame, new: DataFrame, date: str) -> DataFrame:
     return old.join(new.select(date).distinct(), date, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def write_csv_pair(df: DataFrame, full: str, current: str) -> None:
-    """S23. Full and current CSV from one materialised frame."""
+def write_csv_pair(df: DataFrame, full: str, current: str, is_current: Column | None = None) -> None:
+    """S23. Full CSV and the current one (all rows, or those that ``is_current`` keeps) from one materialised frame."""
     once = cut_lineage(df)
-    for path in (full, current):
-        once.write.mode("overwrite").option("header", True).csv(path)
+    for path, rows in ((full, once), (current, once if is_current is None else once.where(is_current))):
+        rows.write.mode("overwrite").option("header", True).csv(path)
 
 
 def payload_rows(df: DataFrame, market: Column, asof: Column, kind: str, fields: Sequence[str]) -> DataFrame:
