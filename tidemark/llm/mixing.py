@@ -25,7 +25,7 @@ FLATTEN = 0.95
 #: No more than this part of the tokens is kept, even where no weight exceeds one.
 KEPT_SHARE, SEED = 0.8, "mix-1"
 #: A round that changes weights by less than this (relative) is the last.
-TOLERANCE, ROUNDS = 1e-10, 30
+TOLERANCE, ROUNDS = 1e-10, 12
 WORD = r"[^\x20\x09-\x0D]+"
 #: Kinds of writing by a mark that a text holds, the first that fits; all others are ``OTHER``. Counts of marks would tell
 #: more, but each is one more pass over every text.
@@ -62,19 +62,23 @@ def raked(cells: DataFrame, dimensions: Sequence[str] = DIMENSIONS, flatten: flo
     """
     cells = stored(cells, "cells")
     total = cells.agg(F.sum("n_tokens").cast("double")).scalar()
-    targets = {d: stored(_targets(cells, d, flatten), "targets") for d in dimensions}
-    now = stored(cells.where("n_tokens > 0").select(*dimensions, (F.col("n_tokens") / total).alias("share")).withColumn("weight", F.lit(1.0)), "raked")
+    now = cells.where("n_tokens > 0").select(*dimensions, (F.col("n_tokens") / total).alias("share"), F.lit(1.0).alias("weight"))
+    for d in dimensions:
+        now = now.join(_targets(cells, d, flatten).withColumnRenamed("target", f"t_{d}").hint("merge"), d)
+    kept = [*dimensions, "share", *[f"t_{d}" for d in dimensions]]
+    now = stored(now.select(*kept, "weight"), "raked")
     for _ in range(rounds):
         nxt = now.withColumn("was", F.col("weight"))
         for d in dimensions:
-            # Sorted joins: a hash table for each of the small sides of every round would fill the driver.
-            have = nxt.groupBy(d).agg(F.sum(F.col("share") * F.col("weight")).alias("have")).join(targets[d].hint("merge"), d).select(d, (F.col("target") / F.col("have")).alias("factor"))
+            # Sorted joins: a hash table for the small side of every step of every round would fill the driver.
+            have = nxt.groupBy(d).agg((F.first(f"t_{d}") / F.sum(F.col("share") * F.col("weight"))).alias("factor"))
             nxt = nxt.join(have.hint("merge"), d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        now = stored(nxt.select(*dimensions, "share", "weight", F.abs(F.col("weight") / F.col("was") - 1).alias("change")), "raked")
+        now = stored(nxt.select(*kept, "weight", F.abs(F.col("weight") / F.col("was") - 1).alias("change")), "raked")
         change = now.agg(F.max("change")).first()[0]
         now = now.drop("change")
         if change is None or change < tolerance:
             break
+    now = now.select(*dimensions, "share", "weight")
     return stored(cells.join(now.drop("share"), list(dimensions), "left").select(*dimensions, "n_tokens", F.coalesce("weight", F.lit(1.0)).alias("weight")), "weights")
 
 
