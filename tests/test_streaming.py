@@ -1,6 +1,7 @@
 """Streams against their batch twins, across several micro-batches."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -49,11 +50,27 @@ def test_state_survives_batches(spark, tmp_path):
     for r in rows:
         spark.createDataFrame([r], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = D.landing_stream(spark, str(tmp_path / "in"), spark.createDataFrame(rows, schema).schema, files_per_batch=1)
-    out = D.run_to_table(D.state_changes(stream, "code", "t", "label", "score"), str(tmp_path / "out")).orderBy("asof_ts").collect()
+    out = D.run_to_table(D.state_changes(stream, "code", "t", "label", "score"), str(tmp_path / "out"), empty_batches=False).orderBy("asof_ts").collect()
     assert [(r.prev_label, r.change_direction, r.state_hours, r.material_change) for r in out] == [
         (None, "unchanged", 0.0, 1), ("up", "stronger", 0.25, 0), ("up", "weaker", 0.0, 1), ("down", "unchanged", 0.25, 0)]
 
 
+def test_state_of_a_silent_key_ends(spark, tmp_path):
+    """The bars of a second run find the state of the first only within its time to live."""
+    schema = "code string, t timestamp_ntz, label string, score double"
+
+    def seen(idle_ms, folder):
+        for k, row in enumerate([("x", at(0), "up", 1.0), ("x", at(15), "down", -1.0)]):
+            spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(str(folder / "in"))
+            stream = D.landing_stream(spark, str(folder / "in"), spark.createDataFrame([row], schema).schema)
+            out = D.run_to_table(D.state_changes(stream, "code", "t", "label", "score", idle_ms=idle_ms), str(folder / "out"), empty_batches=False)
+            time.sleep(3 if k == 0 else 0)
+        return out.orderBy("asof_ts").collect()[1].prev_label
+
+    assert seen(3_600_000, tmp_path / "long") == "up"
+    assert seen(1_000, tmp_path / "short") is None
+
+
 def test_current_point_sink(spark, tmp_path):
     from tidemark.plans.panels import current_point
 

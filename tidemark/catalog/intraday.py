@@ -109,7 +109,7 @@ def d9(t):
     landed = D.landing_stream(t.spark, D.run_to_folder(closed), closed.schema)
     live = landed.withColumn("score", F.round(F.col("change_pct") * 120, 9))
     live = live.withColumn("label", L.ladder("score", [(">=", 0.4, "up"), (">", -0.4, "flat")], "down"))
-    out = D.run_to_table(D.state_changes(live, "signal_code", "asof_ts", "label", "score"))
+    out = D.run_to_table(D.state_changes(live, "signal_code", "asof_ts", "label", "score"), empty_batches=False)
     return out.drop("score").withColumn("state_hours", rd("state_hours", 4))
 
 

@@ -724,7 +724,8 @@ def p23(t):
     return feature_cap(t.scores, ["s1", "s2", "s3", "u1"], 0.95, 2).select("feature")
 
 
-P41_COLUMNS = {**{c: c for c in [*K1_SCORES, *K1_RATIOS]}, "risk_score": "stress", "market_vol_20d": "vol_20d", "market_mdd_3m": "mdd_3m", "market_breadth_above_sma20": "above_sma20"}
+P41_COLUMNS = {**{c: c for c in [*K1_SCORES, *K1_RATIOS]}, "risk_score": "stress", "market_vol_20d": "vol_20d", "market_mdd_3m": "mdd_3m", **{f"market_breadth_{c}": c for c in ("ret_pos_1m", "above_sma20", "above_sma60", "above_sma120")},
+               **{c: c for c in ("new_high_ratio_20d", "new_low_ratio_20d", "trading_value_expansion_ratio")}}
 
 
 @query("p41_score_directions", f"""

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions import labels as L
 from tidemark.functions.dates import as_instant, as_wall
@@ -33,14 +33,16 @@ def landing_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.p
     return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(folder)
 
 
-def run_to_folder(stream: DataFrame, folder: str | None = None, mode: str = "append") -> str:
+def run_to_folder(stream: DataFrame, folder: str | None = None, mode: str = "append", empty_batches: bool = True) -> str:
     """Drain everything available into Parquet; returns the folder of the rows.
 
     Output and progress live under the shared checkpoint folder of the session;
-    the file sink commits each batch once.
+    the file sink commits each batch once. Empty batches let a watermark close
+    what it has passed; ``empty_batches=False`` ends with the last input.
     """
     spark = stream.sparkSession
     ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(empty_batches).lower())
     base = folder or f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
     query = (stream.writeStream.outputMode(mode).format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/progress")
              .trigger(availableNow=True).start())
@@ -48,9 +50,9 @@ def run_to_folder(stream: DataFrame, folder: str | None = None, mode: str = "app
     return f"{base}/rows"
 
 
-def run_to_table(stream: DataFrame, folder: str | None = None, mode: str = "append") -> DataFrame:
+def run_to_table(stream: DataFrame, folder: str | None = None, mode: str = "append", empty_batches: bool = True) -> DataFrame:
     """``run_to_folder`` and read the rows back."""
-    return stream.sparkSession.read.schema(stream.schema).parquet(run_to_folder(stream, folder, mode))
+    return stream.sparkSession.read.schema(stream.schema).parquet(run_to_folder(stream, folder, mode, empty_batches))
 
 
 def deduplicated(snapshots: DataFrame, keys: Sequence[str], ts: str, delay: str = DELAY) -> DataFrame:
@@ -153,34 +155,51 @@ def session_close(snapshots: DataFrame, ts: str, code: str, value: str, delay: s
 # -- sequential state ----------------------------------------------------------------------
 
 CHANGE_SCHEMA = "key string, asof_ts timestamp_ntz, label string, score double, prev_label string, change_direction string, state_hours double, material_change int"
-STATE_SCHEMA = "label string, score double, since timestamp_ntz"
+#: Last label and score of a key, and the start of its state in microseconds.
+STATE_SCHEMA = "label string, score double, since long"
+#: A key that has sent nothing for so long is forgotten; its next bar begins anew.
+IDLE_MS = 30 * 24 * 3600 * 1000
+STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def _track(step: float):
-    def track(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks), ignore_index=True).sort_values("asof_ts")
-        label, score, since = state.get if state.exists else (None, None, None)
+class ChangeTracker(StatefulProcessor):
+    """D9, D10. Compares every bar of a key with the one before; the typed state lives ``idle_ms`` after its last update."""
+
+    def __init__(self, step: float, idle_ms: int):
+        self.step, self.idle_ms = step, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", STATE_SCHEMA, ttlDurationMs=self.idle_ms)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        bars = pd.concat(list(rows), ignore_index=True).sort_values("asof_ts")
+        label, score, since = self.last.get() if self.last.exists() else (None, None, None)
+        since = None if since is None else pd.Timestamp(since, unit="us")
         out = []
-        for r in rows.itertuples(index=False):
+        for r in bars.itertuples(index=False):
             changed = label is not None and r.label != label
             side = "unchanged" if score is None or abs(r.score - score) <= 1e-9 else ("stronger" if r.score > score else "weaker")
-            material = int(label is None or changed or abs(r.score - score) >= step or (r.score > 0) - (r.score < 0) != (score > 0) - (score < 0))
+            material = int(label is None or changed or abs(r.score - score) >= self.step or (r.score > 0) - (r.score < 0) != (score > 0) - (score < 0))
             since = r.asof_ts if label is None or changed else since
             out.append((key[0], r.asof_ts, r.label, r.score, label, side, (r.asof_ts - since).total_seconds() / 3600.0, material))
             label, score = r.label, r.score
-        state.update((label, score, since.to_pydatetime() if hasattr(since, "to_pydatetime") else since))
+        self.last.update((label, float(score), int((since - pd.Timestamp(0)) // pd.Timedelta(microseconds=1))))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in CHANGE_SCHEMA.split(", ")])
 
-    return track
+    def close(self) -> None:
+        pass
 
 
-def state_changes(closed: DataFrame, key: str, ts: str, label: str, score: str, step: float = 0.35) -> DataFrame:
+def state_changes(closed: DataFrame, key: str, ts: str, label: str, score: str, step: float = 0.35, idle_ms: int = IDLE_MS) -> DataFrame:
     """D9, D10. Previous state, direction, hours in state and material change of every closed bar.
 
-    The state of a key is its last label, score and start of the current state.
+    The state of a key is its last label, score and start of the current state; it ends ``idle_ms`` after the key's last
+    bar has been seen. Keyed state with a time to live needs the RocksDB store, which is set for the session. Drain it
+    with ``empty_batches=False``: the clock alone would call for one more batch for ever.
     """
+    closed.sparkSession.conf.set(*STORE)
     rows = closed.select(F.col(key).cast("string").alias("key"), F.col(ts).alias("asof_ts"), F.col(label).alias("label"), F.col(score).alias("score"))
-    return rows.groupBy("key").applyInPandasWithState(_track(step), CHANGE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    return rows.groupBy("key").transformWithStateInPandas(ChangeTracker(step, idle_ms), CHANGE_SCHEMA, "append", "processingTime")
 
 
 def current_points_sink(daily_path: str, key: str, value: str, apply) -> Mapping:
